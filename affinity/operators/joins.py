@@ -1,0 +1,29 @@
+"""Dimension joins with a checked broadcast.
+
+A dimension side is broadcast only when an upper bound on its row count,
+known before the join runs, is within ``affinity.broadcast.maxRows``. The
+bound comes from the source table the side is derived from (a left join or
+aggregate of it never has more rows). Beyond the bound the join is a plain
+shuffle join, where AQE may still pick a broadcast at runtime from measured
+sizes and splits skewed partitions of the fact side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get("affinity.broadcast.maxRows", None)
+    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
+                   dim_rows: int | None = None) -> DataFrame:
+    """``fact`` joined to ``dim``; ``dim`` is broadcast iff ``dim_rows`` is a known, small bound."""
+    if dim_rows is not None and dim_rows <= max_broadcast_rows(fact):
+        dim = F.broadcast(dim)
+    return fact.join(dim, on, how)

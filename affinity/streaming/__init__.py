@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled workload is a batch pipeline (features, labelled pairs, model,
+recommendations); it has no stream sources, windows over event time or
+stateful operators, so nothing here is built.
+"""
