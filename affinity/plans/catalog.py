@@ -3,6 +3,7 @@
 Each query reads the whole source tables of ``sf_dir``. Double outputs are
 rounded to 6 decimals only here, at the very end, so that engines summing in
 different orders compare equal; the library functions keep full precision.
+Lists are emitted as ``[a b]`` text.
 """
 
 from __future__ import annotations
@@ -13,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinity.functions.encode import encode_customers
+from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
+from affinity.operators import labels, metrics, pairs, recommend
+from affinity.operators.model import AffinityScorer, TreeParams, fit_trees, tree_scores
 from affinity.sources import tables
+from affinity.sources.schemas import LABEL_COL
 
 DECIMALS = 6
 
@@ -26,50 +32,220 @@ def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
 
 
 class Inputs:
-    """Source tables of one scale directory plus the row bounds used for broadcast checks."""
+    """Source tables of one scale directory, the derived tables, and row bounds for broadcast checks."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, scorer: AffinityScorer | None = None):
         self.spark, self.sf_dir = spark, sf_dir
+        self.scorer = scorer or AffinityScorer()
 
-    @property
-    def customers(self) -> DataFrame:
-        return tables.customers(self.spark, self.sf_dir)
+    customers = property(lambda self: tables.customers(self.spark, self.sf_dir))
+    products = property(lambda self: tables.products(self.spark, self.sf_dir))
+    tx = property(lambda self: tables.transactions(self.spark, self.sf_dir))
+    requests = property(lambda self: tables.requests(self.spark, self.sf_dir))
+    positives = property(lambda self: tables.label_items(self.spark, self.sf_dir))
+    customer_rows = property(lambda self: tables.table_rows(self.spark, self.sf_dir, "customer"))
+    product_rows = property(lambda self: tables.table_rows(self.spark, self.sf_dir, "part"))
 
-    @property
-    def products(self) -> DataFrame:
-        return tables.products(self.spark, self.sf_dir)
+    def customer_features(self):
+        return feat.customer_features(self.tx, self.products, self.product_rows)
 
-    @property
-    def tx(self) -> DataFrame:
-        return tables.transactions(self.spark, self.sf_dir)
+    def product_features(self):
+        return feat.product_features(self.tx, self.customers, self.customer_rows)
 
-    @property
-    def customer_rows(self) -> int:
-        return tables.table_rows(self.spark, self.sf_dir, "customer")
+    def customers_wf(self):
+        return feat.customers_with_features(self.customers, self.customer_features())
 
-    @property
-    def product_rows(self) -> int:
-        return tables.table_rows(self.spark, self.sf_dir, "part")
+    def products_wf(self):
+        return feat.products_with_features(self.products, self.product_features())
 
+    def labelled(self):
+        return labels.labelled_pairs(self.positives, self.products, product_rows=self.product_rows)
 
-def q_customer_rfm(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return rounded(feat.customer_rfm(i.tx))
+    def training_set(self):
+        return pairs.training_set(self.labelled(), self.customers_wf(), self.products_wf(), self.product_rows)
+
+    def ranked(self):
+        return recommend.ranked_candidates(self.requests, self.customers_wf(), self.products_wf(),
+                                           self.scorer, product_rows=self.product_rows)
+
+    def recommendations(self):
+        return recommend.recommendations(self.requests, self.ranked())
+
+    def scored_pairs(self):
+        return self.scorer.score_pairs(self.training_set())
+
+
+def _q(fn):
+    def run(spark, sf_dir):
+        return fn(Inputs(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
+@_q
+def typed_customers(i):
+    return i.customers
+
+
+@_q
+def typed_products(i):
+    return i.products
+
+
+@_q
+def encoded_customers(i):
+    return encode_customers(i.customers)
+
+
+@_q
+def transactions(i):
+    return i.tx
+
+
+@_q
+def expanded_transactions(i):
+    return feat.expand_transactions(i.tx, i.customers, i.products, i.customer_rows, i.product_rows)
 
 
-def q_favourites(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
+@_q
+def attribute_counts(i):
+    return feat.attribute_counts(i.tx, i.products, i.product_rows)
+
+
+@_q
+def favourites(i):
     return feat.favourites(i.tx, i.products, i.product_rows)
 
 
-def q_customer_features(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    return rounded(feat.customer_features(i.tx, i.products, i.product_rows))
+@_q
+def favourites_rownumber(i):
+    return feat.favourites_rownumber(feat.attribute_counts(i.tx, i.products, i.product_rows), i.products)
+
+
+@_q
+def customer_rfm(i):
+    return rounded(feat.customer_rfm(i.tx))
+
+
+@_q
+def product_price_stats(i):
+    return rounded(feat.product_price_stats(i.tx))
+
+
+@_q
+def product_buyer_stats(i):
+    return rounded(feat.product_buyer_stats(i.tx, i.customers, i.customer_rows))
+
+
+@_q
+def customer_features(i):
+    return rounded(i.customer_features())
+
+
+@_q
+def product_features(i):
+    return rounded(i.product_features())
+
+
+@_q
+def customers_with_features(i):
+    return rounded(i.customers_wf())
+
+
+@_q
+def products_with_features(i):
+    return rounded(i.products_wf())
+
+
+@_q
+def product_numbering(i):
+    return labels.number_products(i.products)
+
+
+@_q
+def label_positives(i):
+    return i.positives.withColumn(LABEL_COL, F.lit(1))
+
+
+@_q
+def label_negatives(i):
+    return labels.sample_negatives(i.positives, i.products, product_rows=i.product_rows)
+
+
+@_q
+def labelled_pairs(i):
+    return i.labelled()
+
+
+@_q
+def pair_features(i):
+    wide = pairs.with_pair_features(pairs.attach_entities(i.labelled(), i.customers_wf(), i.products_wf(),
+                                                          i.product_rows))
+    return rounded(wide.select("split", "time_date", "customer_id", "product_id", "item_key", LABEL_COL,
+                               *pairs.PAIR_FEATURES))
+
+
+@_q
+def training_set(i):
+    return rounded(i.training_set())
+
+
+@_q
+def topk(i):
+    return rounded(i.ranked())
+
+
+@_q
+def recommendations(i):
+    recs = i.recommendations()
+    return recs.select("customer_id", format_id_list(F.col("list_product_id")).alias("list_product_id"))
+
+
+@_q
+def submission(i):
+    return recommend.submission(recommend.prediction_lines(i.recommendations()))
+
+
+@_q
+def scored_pairs(i):
+    s = i.scored_pairs()
+    return rounded(s.select("split", "time_date", "customer_id", "product_id", LABEL_COL, "logit", "probability"))
+
+
+@_q
+def confusion_metrics(i):
+    return rounded(metrics.confusion_metrics(i.scored_pairs(), by=["split"]))
+
+
+@_q
+def ranking_metrics(i):
+    return rounded(metrics.ranking_metrics(i.scored_pairs(), by=["split"]))
+
+
+@_q
+def evaluation_report(i):
+    return rounded(metrics.evaluation_report(i.scored_pairs(), by=["split"]))
+
+
+@_q
+def gbt_scores(i):
+    ts = i.training_set()
+    model = fit_trees(ts.where(F.col("split") == "train"), TreeParams())
+    return tree_scores(model, ts.where(F.col("split") == "val"))
+
+
+@_q
+def gbt_evaluation_report(i):
+    ts = i.training_set()
+    model = fit_trees(ts.where(F.col("split") == "train"), TreeParams())
+    return metrics.evaluation_report(tree_scores(model, ts), prob="probability", score="probability", by=["split"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "customer_rfm": q_customer_rfm,
-        "favourites": q_favourites,
-        "customer_features": q_customer_features,
-    }
+    qs = [typed_customers, typed_products, encoded_customers, transactions, expanded_transactions,
+          attribute_counts, favourites, favourites_rownumber, customer_rfm, product_price_stats,
+          product_buyer_stats, customer_features, product_features, customers_with_features,
+          products_with_features, product_numbering, label_positives, label_negatives, labelled_pairs,
+          pair_features, training_set, topk, recommendations, submission, scored_pairs,
+          confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report]
+    return {q.__name__: q for q in qs}

@@ -16,6 +16,12 @@ SPLIT_DATE = "2001-01-01"
 SEED = 73
 R = 6  # decimals of double outputs, as in the Spark query wrappers
 
+
+def rnd(expr: str, decimals: int = R) -> str:
+    """Round like Spark's ``round`` on doubles: HALF_UP on the shortest decimal form."""
+    return (f"cast(round(cast(cast(cast({expr} as double) as varchar) as decimal(38, 12)), {decimals}) "
+            f"as double)")
+
 CUSTOMERS = """
 select c_custkey as customer_id,
        case when c_custkey % 3 = 0 then null else cast(1 as double) end as FN,
@@ -102,7 +108,7 @@ def _favourite_select(closed_domain: bool = True) -> str:
 def customer_rfm() -> str:
     return f"""with {BASE_CTES}
 select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-       count(*) as total_purchases, round(coalesce(sum(price), 0.0), {R}) as total_spent
+       count(*) as total_purchases, {rnd('coalesce(sum(price), 0.0)')} as total_spent
 from tx where customer_id is not null group by customer_id"""
 
 
@@ -120,13 +126,270 @@ rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date)
         count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
         from tx where customer_id is not null group by customer_id)
 select customer_id, last_purchase_date, first_purchase_date, total_purchases,
-       round(total_spent, {R}) as total_spent, {cols}
+       {rnd('total_spent')} as total_spent, {cols}
 from rfm {joins}"""
 
 
-def queries() -> dict[str, str]:
+
+DEMO = DEMOGRAPHICS
+
+
+def _stats_select() -> str:
+    cols = []
+    for d in DEMO:
+        cols.append(f"avg({d.customer_col}) as {d.mean}")
+        cols.append(f"case when stddev_samp({d.customer_col}) = 0 then 1.0 "
+                    f"else stddev_samp({d.customer_col}) end as {d.std}")
+    return ", ".join(cols)
+
+
+PRODUCT_DOUBLES = ["average_price", "price_std"] + [c for d in DEMOGRAPHICS for c in (d.mean, d.std)]
+CUSTOMER_DOUBLES = ["FN", "active_status", "member_status", "news_frequency", "age", "total_spent"]
+
+
+def rounded_star(doubles: list[str], present: list[str] | None = None) -> str:
+    cols = [c for c in doubles if present is None or c in present]
+    return f"* replace ({', '.join(rnd(c) + ' as ' + c for c in cols)})"
+
+
+def _buyers_cte() -> str:
+    return ("buyers as (select t.product_id, t.price, e.* exclude (customer_id) "
+            "from tx t left join enc e on t.customer_id = e.customer_id where t.product_id is not null)")
+
+
+def product_price_stats() -> str:
+    return f"""with {BASE_CTES}
+select product_id, {rnd('avg(price)')} as average_price, {rnd('stddev_samp(price)')} as price_std,
+       count(*) as popularity
+from tx where product_id is not null group by product_id"""
+
+
+def product_buyer_stats() -> str:
+    return f"""with {BASE_CTES}, {_buyers_cte()}
+select {rounded_star(PRODUCT_DOUBLES[2:])} from (select product_id, {_stats_select()} from buyers group by product_id)"""
+
+
+def _product_features_cte() -> str:
+    return f"""{_buyers_cte()},
+pf as (select product_id, avg(price) as average_price, stddev_samp(price) as price_std,
+       count(*) as popularity, {_stats_select()} from buyers group by product_id)"""
+
+
+def _customer_features_cte() -> str:
+    cols, joins = _favourite_select(True)
+    return f"""{_favourites_ctes()},
+rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
+        count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
+        from tx where customer_id is not null group by customer_id),
+cf as (select customer_id, last_purchase_date, first_purchase_date, total_purchases, total_spent, {cols}
+       from rfm {joins})"""
+
+
+FEATURE_CTES = f"""{BASE_CTES}, {_customer_features_cte()}, {_product_features_cte()},
+cwf as (select * from enc left join cf using (customer_id)),
+pwf as (select * from products left join pf using (product_id))"""
+
+
+def product_features() -> str:
+    return f"with {FEATURE_CTES}\nselect {rounded_star(PRODUCT_DOUBLES)} from pf"
+
+
+def attribute_counts() -> str:
+    parts = [f"select customer_id, '{a}' as attribute, cast({a} as varchar) as value, count(*) as cnt "
+             f"from txp where {a} is not null group by customer_id, {a}" for a in ATTRS]
+    return f"with {BASE_CTES}, {_favourites_ctes()}\n" + "\nunion all\n".join(parts)
+
+
+def favourites_rownumber() -> str:
+    parts = [f"select customer_id, '{f.attribute}' as attribute, cast({f.top} as varchar) as top_value "
+             f"from fav_{f.attribute}" for f in FAVOURITES]
+    return f"with {BASE_CTES}, {_favourites_ctes()}\n" + "\nunion all\n".join(parts)
+
+
+def expanded_transactions() -> str:
+    return f"""with {BASE_CTES}
+select t.*, e.* exclude (customer_id), p.* exclude (product_id)
+from tx t left join enc e on t.customer_id = e.customer_id left join products p on t.product_id = p.product_id"""
+
+
+BUCKETS = 1024
+
+
+def _h60(expr: str) -> str:
+    return f"cast(('0x' || substr(md5({expr}), 1, 15)) as bigint)"
+
+
+NUMBERING_CTE = f"""ids as (select product_id, {_h60('cast(product_id as varchar)')} % {BUCKETS} as bucket from products),
+bcnt as (select bucket, count(*) as n from ids group by bucket),
+boff as (select bucket, coalesce(sum(n) over (order by bucket rows between unbounded preceding and 1 preceding), 0) as off
+         from bcnt),
+numbered as (select product_id,
+             cast(off + row_number() over (partition by bucket order by product_id) - 1 as bigint) as product_idx
+             from ids join boff using (bucket))"""
+
+POSITIVES_CTE = f"""od as (select o_orderkey, o_custkey as customer_id, cast(o_orderdate as date) as time_date from orders),
+oj as (select * from od left join lineitem on l_orderkey = o_orderkey),
+positives as (
+  select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
+         l_partkey as product_id, cast(o_orderkey as varchar) || ':' || cast(l_linenumber as varchar) as item_key
+  from oj where l_partkey is not null
+  union all
+  select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
+         cast(null as bigint) as product_id, '' as item_key
+  from oj group by time_date, customer_id having count(l_partkey) = 0)"""
+
+NEGATIVES_CTE = f"""nprod as (select count(*) as n from products),
+drawn as (select split, time_date, customer_id, item_key,
+          {_h60("concat_ws('|', '" + str(SEED) + "', cast(time_date as varchar), coalesce(cast(customer_id as varchar), 'null'), coalesce(cast(product_id as varchar), 'null'), item_key)")} % (select n from nprod) as product_idx
+          from positives),
+negatives as (select split, time_date, customer_id, item_key, product_id from drawn join numbered using (product_idx)),
+labelled as (select split, time_date, customer_id, product_id, item_key, 1 as link_pred_baseline_target from positives
+             union all
+             select split, time_date, customer_id, product_id, item_key, 0 from negatives)"""
+
+LABEL_CTES = f"{NUMBERING_CTE},\n{POSITIVES_CTE},\n{NEGATIVES_CTE}"
+
+
+def _pair_select() -> str:
+    cols = [f"coalesce({f.top} = {f.attribute}, false) as {f.match}" for f in FAVOURITES]
+    cols += [f"({d.customer_col} - {d.mean}) / {d.std} as {d.difference}" for d in DEMO]
+    return ", ".join(cols)
+
+
+PAIRS_CTE = f"""wide as (select l.*, c.* exclude (customer_id), p.* exclude (product_id)
+         from labelled l left join cwf c on l.customer_id = c.customer_id
+         left join pwf p on l.product_id = p.product_id),
+pairs as (select *, {_pair_select()} from wide)"""
+
+MATCHES = ", ".join(f.match for f in FAVOURITES)
+DIFFS = ", ".join(d.difference for d in DEMO)
+RDIFFS = ", ".join(f"{rnd(d.difference)} as {d.difference}" for d in DEMO)
+TRAINING_DOUBLES = ["total_spent", "average_price", "price_std"] + [d.difference for d in DEMO]
+TRAINING_SELECT = ("split, time_date, customer_id, product_id, last_purchase_date, first_purchase_date, "
+                   "total_purchases, total_spent, link_pred_baseline_target, prod_group_name, average_price, "
+                   f"price_std, popularity, {MATCHES}, {DIFFS}")
+
+
+def _lit(x: float) -> str:
+    return f"cast({float(x)!r} as double)"
+
+
+def _scorer_parts(scorer):
+    c = rnd(f"{_lit(scorer.intercept)} + {_lit(scorer.frequency_weight)} * "
+            f"ln(1.0 + coalesce(cast(total_purchases as double), 0.0))", 9)
+    g = rnd(f"{_lit(scorer.popularity_weight)} * ln(1.0 + coalesce(cast(popularity as double), 0.0))", 9)
+    return c, g
+
+
+def _bonus(scorer, match_expr) -> str:
+    terms = [f"case when {match_expr(f)} then {_lit(scorer.match_weights.get(f.attribute, 0.0))} else 0.0 end"
+             for f in FAVOURITES]
+    return f"greatest(0.0, {', '.join(terms)})"
+
+
+def scored_cte(scorer) -> str:
+    c, g = _scorer_parts(scorer)
+    bonus = _bonus(scorer, lambda f: f.match)
+    return f"""scored as (select *, {rnd(c + ' + ' + g + ' + ' + bonus, 9)} as logit from pairs),
+scored2 as (select *, 1.0 / (1.0 + exp(-logit)) as probability from scored)"""
+
+
+def topk_cte(scorer, k: int = 12) -> str:
+    c, g = _scorer_parts(scorer)
+    tops = ", ".join(f"cf.{f.top}" for f in FAVOURITES)
+    attrs = ", ".join(f"p.{f.attribute}" for f in FAVOURITES)
+    bonus = _bonus(scorer, lambda f: f"rc.{f.top} = pb.{f.attribute}")
+    return f"""req as (select distinct c_custkey as customer_id from customer),
+rc as (select req.customer_id, {c} as c, {tops} from req left join cf using (customer_id)),
+pb as (select p.product_id, {attrs}, {g} as g from products p left join pf using (product_id)),
+allpairs as (select rc.customer_id, pb.product_id, pb.g, {rnd('rc.c + pb.g + ' + bonus, 9)} as logit
+             from rc cross join pb),
+ranked as (select customer_id, product_id, logit,
+           row_number() over (partition by customer_id order by logit desc, g desc, product_id asc) as rank
+           from allpairs where logit >= 0),
+topk as (select customer_id, cast(rank as integer) as rank, product_id, logit, 1.0 / (1.0 + exp(-logit)) as probability
+         from ranked where rank <= {k}),
+recs as (select r.c_custkey as customer_id,
+         '[' || coalesce((select string_agg(cast(t.product_id as varchar), ' ' order by t.rank)
+                           from topk t where t.customer_id = r.c_custkey), '') || ']' as list_product_id
+         from customer r)"""
+
+
+def _confusion_cte() -> str:
+    return f"""conf as (select split, count(*) as n,
+  count(*) filter (where probability >= 0.5 and link_pred_baseline_target = 1) as tp,
+  count(*) filter (where probability >= 0.5 and link_pred_baseline_target = 0) as fp,
+  count(*) filter (where probability < 0.5 and link_pred_baseline_target = 1) as fn,
+  count(*) filter (where probability < 0.5 and link_pred_baseline_target = 0) as tn
+  from scored2 group by split),
+confm as (select *, case when n > 0 then (tp + tn) / n else 0.0 end as accuracy,
+          case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as precision,
+          case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall,
+          case when n > 0 then (tp + fn) / n else 0.0 end as prevalence from conf),
+confx as (select split, n, tp, fp, fn, tn, cast(accuracy as double) as accuracy, cast(precision as double) as precision,
+          cast(recall as double) as recall,
+          cast(recall * precision + (1 - recall) * prevalence as double) as average_precision_hard from confm)"""
+
+
+def _ranking_cte() -> str:
+    return """ps as (select split, logit, cast(sum(link_pred_baseline_target) as double) as pos,
+             cast(sum(1 - link_pred_baseline_target) as double) as neg from scored2 group by split, logit),
+cum as (select *,
+        coalesce(sum(neg) over (partition by split order by logit rows between unbounded preceding and 1 preceding), 0) as neg_below,
+        sum(pos) over (partition by split order by logit desc rows between unbounded preceding and current row) as tp_ge,
+        sum(pos + neg) over (partition by split order by logit desc rows between unbounded preceding and current row) as n_ge
+        from ps),
+tot as (select split, sum(pos) as P, sum(neg) as N from ps group by split),
+rankm as (select split,
+          case when max(P) * max(N) > 0 then sum(pos * (neg_below + neg / 2)) / (max(P) * max(N)) end as auc_roc,
+          case when max(P) > 0 then sum(case when pos > 0 then pos * tp_ge / n_ge else 0 end) / max(P) else 0.0 end
+            as average_precision_ranked
+          from cum join tot using (split) group by split)"""
+
+
+def queries(scorer=None) -> dict[str, str]:
+    from affinity.operators.model import AffinityScorer
+
+    scorer = scorer or AffinityScorer()
+    rr = lambda c: f"{rnd(c)} as {c}"
+    training = f"with {FEATURE_CTES},\n{LABEL_CTES},\n{PAIRS_CTE}\n"
+    scoring = f"with {FEATURE_CTES},\n{LABEL_CTES},\n{PAIRS_CTE},\n{scored_cte(scorer)}"
+    metric_names = ["accuracy", "precision", "recall", "average_precision_hard", "auc_roc", "average_precision_ranked"]
+    report = " union all ".join(f"select split, '{m}' as metric, {rnd(m)} as value from allm"
+                                for m in metric_names)
     return {
-        "customer_rfm": customer_rfm(),
+        "typed_customers": CUSTOMERS,
+        "typed_products": PRODUCTS,
+        "encoded_customers": f"with {BASE_CTES}\nselect * from enc",
+        "transactions": TRANSACTIONS,
+        "expanded_transactions": expanded_transactions(),
+        "attribute_counts": attribute_counts(),
         "favourites": favourites(True),
+        "favourites_rownumber": favourites_rownumber(),
+        "customer_rfm": customer_rfm(),
+        "product_price_stats": product_price_stats(),
+        "product_buyer_stats": product_buyer_stats(),
         "customer_features": customer_features(),
+        "product_features": product_features(),
+        "customers_with_features": f"with {FEATURE_CTES}\nselect {rounded_star(CUSTOMER_DOUBLES)} from cwf",
+        "products_with_features": f"with {FEATURE_CTES}\nselect {rounded_star(PRODUCT_DOUBLES)} from pwf",
+        "product_numbering": f"with {BASE_CTES}, {NUMBERING_CTE}\nselect * from numbered",
+        "label_positives": f"with {BASE_CTES}, {POSITIVES_CTE}\nselect *, 1 as link_pred_baseline_target from positives",
+        "label_negatives": f"with {BASE_CTES}, {LABEL_CTES}\nselect *, 0 as link_pred_baseline_target from negatives",
+        "labelled_pairs": f"with {BASE_CTES}, {LABEL_CTES}\nselect * from labelled",
+        "pair_features": training + f"select split, time_date, customer_id, product_id, item_key, "
+                                    f"link_pred_baseline_target, {MATCHES}, {RDIFFS} from pairs",
+        "training_set": training + f"select {rounded_star(TRAINING_DOUBLES)} from (select {TRAINING_SELECT} from pairs)",
+        "topk": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect customer_id, rank, product_id, "
+                f"{rr('logit')}, {rr('probability')} from topk",
+        "recommendations": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
+        "submission": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
+        "scored_pairs": scoring + f"\nselect split, time_date, customer_id, product_id, link_pred_baseline_target, "
+                                  f"{rr('logit')}, {rr('probability')} from scored2",
+        "confusion_metrics": scoring + f",\n{_confusion_cte()}\nselect split, n, tp, fp, fn, tn, {rr('accuracy')}, "
+                                       f"{rr('precision')}, {rr('recall')}, {rr('average_precision_hard')} from confx",
+        "ranking_metrics": scoring + f",\n{_ranking_cte()}\nselect split, {rr('auc_roc')}, "
+                                     f"{rr('average_precision_ranked')} from rankm",
+        "evaluation_report": scoring + f",\n{_confusion_cte()},\n{_ranking_cte()},\n"
+                                       f"allm as (select * from confx join rankm using (split))\n{report}",
     }
