@@ -101,12 +101,23 @@ def customer_rfm(tx: DataFrame) -> DataFrame:
     return _known_customers(tx).groupBy("customer_id").agg(*_rfm_aggs())
 
 
+def exact_sum(col: str):
+    """Sum of a double column that does not depend on partitioning or row order.
+
+    Values are added as decimal(38,10) (exact for values with up to 10
+    decimals, such as money) and the total is converted to double once.
+    Plain double sums differ in the last bits between runs with different
+    partitioning; these do not.
+    """
+    return F.sum(F.col(col).try_cast("decimal(38,10)")).cast("double")
+
+
 def _rfm_aggs():
     return [
         F.max("time_date").alias("last_purchase_date"),
         F.min("time_date").alias("first_purchase_date"),
         F.count(F.lit(1)).alias("total_purchases"),
-        F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(exact_sum("price"), F.lit(0.0)).alias("total_spent"),
     ]
 
 
@@ -127,7 +138,7 @@ def product_price_stats(tx: DataFrame) -> DataFrame:
 
 def _price_aggs():
     return [
-        F.avg("price").alias("average_price"),
+        (exact_sum("price") / F.count("price")).alias("average_price"),
         F.stddev_samp("price").alias("price_std"),
         F.count(F.lit(1)).alias("popularity"),
     ]

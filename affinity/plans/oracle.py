@@ -108,7 +108,7 @@ def _favourite_select(closed_domain: bool = True) -> str:
 def customer_rfm() -> str:
     return f"""with {BASE_CTES}
 select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-       count(*) as total_purchases, {rnd('coalesce(sum(price), 0.0)')} as total_spent
+       count(*) as total_purchases, {rnd('coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0)')} as total_spent
 from tx where customer_id is not null group by customer_id"""
 
 
@@ -123,7 +123,7 @@ def customer_features() -> str:
     cols, joins = _favourite_select(True)
     return f"""with {BASE_CTES}, {_favourites_ctes()},
 rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-        count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
+        count(*) as total_purchases, coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0) as total_spent
         from tx where customer_id is not null group by customer_id)
 select customer_id, last_purchase_date, first_purchase_date, total_purchases,
        {rnd('total_spent')} as total_spent, {cols}
@@ -159,7 +159,7 @@ def _buyers_cte() -> str:
 
 def product_price_stats() -> str:
     return f"""with {BASE_CTES}
-select product_id, {rnd('avg(price)')} as average_price, {rnd('stddev_samp(price)')} as price_std,
+select product_id, {rnd('cast(sum(cast(price as decimal(38, 2))) as double) / count(price)')} as average_price, {rnd('stddev_samp(price)')} as price_std,
        count(*) as popularity
 from tx where product_id is not null group by product_id"""
 
@@ -171,7 +171,7 @@ select {rounded_star(PRODUCT_DOUBLES[2:])} from (select product_id, {_stats_sele
 
 def _product_features_cte() -> str:
     return f"""{_buyers_cte()},
-pf as (select product_id, avg(price) as average_price, stddev_samp(price) as price_std,
+pf as (select product_id, cast(sum(cast(price as decimal(38, 2))) as double) / count(price) as average_price, stddev_samp(price) as price_std,
        count(*) as popularity, {_stats_select()} from buyers group by product_id)"""
 
 
@@ -179,7 +179,7 @@ def _customer_features_cte() -> str:
     cols, joins = _favourite_select(True)
     return f"""{_favourites_ctes()},
 rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-        count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
+        count(*) as total_purchases, coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0) as total_spent
         from tx where customer_id is not null group by customer_id),
 cf as (select customer_id, last_purchase_date, first_purchase_date, total_purchases, total_spent, {cols}
        from rfm {joins})"""
