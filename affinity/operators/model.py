@@ -128,8 +128,17 @@ def tree_pipeline(params: TreeParams = TreeParams()):
 
 
 def fit_trees(training: DataFrame, params: TreeParams = TreeParams()):
-    """Fit on the frame given (pass the training split) (M1, M3)."""
-    return tree_pipeline(params).fit(model_frame(training))
+    """Fit on the frame given (pass the training split) (M1, M3).
+
+    The learner reads its input several times (split points, binning, the
+    boosting rounds), so the model frame is checkpointed once into the
+    shared checkpoint folder: upstream joins run once and a lost executor
+    re-reads files instead of recomputing the lineage.
+    """
+    from affinity.session import checkpoint_dir
+
+    checkpoint_dir(training.sparkSession)
+    return tree_pipeline(params).fit(model_frame(training).checkpoint())
 
 
 def tree_scores(model, frame: DataFrame) -> DataFrame:

@@ -19,8 +19,25 @@ from pyspark.sql import functions as F
 SPLIT_DATE = _dt.date(2001, 1, 1)
 
 
+# A scan smaller than this many rows is left as it is: it is either broadcast or cheap.
+SPREAD_MIN_ROWS = 100_000
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table.
+
+    A large table stored as a single unsplittable file (one row group) scans
+    in one task, which would serialise everything up to the first shuffle.
+    Only in that case the rows are spread over the available cores; inputs
+    that already split into at least that many tasks (any real-sized
+    dataset) are read as they are, with no extra exchange.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if table_rows(spark, sf_dir, name) >= SPREAD_MIN_ROWS and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 _ROWS: dict[str, int] = {}
