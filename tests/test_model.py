@@ -46,3 +46,15 @@ def test_random_search_small(spark):
     ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
     cv = model.random_search(ts, n_configs=2, folds=2, grid={"maxIter": [2, 3], "maxDepth": [2]})
     assert len(cv.avgMetrics) == 2 and all(0.0 <= m <= 1.0 for m in cv.avgMetrics)
+
+
+def test_train_and_score_jobs(spark):
+    from affinity.plans import jobs
+
+    out = tempfile.mkdtemp(prefix="affinity-jobs-")
+    report = jobs.train(spark, SF_SMALL, out, model.TreeParams(max_iter=3, max_depth=3))
+    got = {(r.split, r.scorer, r.metric) for r in report.collect()}
+    assert ("val", "boosted_trees", "auc_roc") in got and ("train", "affinity", "accuracy") in got
+    recs = jobs.score(spark, SF_SMALL, out)
+    assert recs.count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert os.path.exists(os.path.join(out, "submission"))
