@@ -44,18 +44,22 @@ def with_pair_features(df: DataFrame) -> DataFrame:
 
 
 def attach_entities(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
-                    product_rows: int | None = None) -> DataFrame:
-    """Pairs left-joined to customer (J6) and product (J7) columns."""
-    out = pairs.join(customers_wf, "customer_id", "left")
+                    product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
+    """Pairs left-joined to customer (J6) and product (J7) columns.
+
+    Each side has one row per entity of its source table, so the source row
+    counts bound them for the broadcast check.
+    """
+    out = join_dimension(pairs, customers_wf, "customer_id", "left", customer_rows)
     return join_dimension(out, products_wf, "product_id", "left", product_rows)
 
 
 def training_set(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
-                 product_rows: int | None = None) -> DataFrame:
+                 product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
     """The model frame: keys, label, 9 entity features and 16 pair features.
 
     ``split`` is carried along when present, so both splits are one DataFrame.
     """
-    wide = with_pair_features(attach_entities(pairs, customers_wf, products_wf, product_rows))
+    wide = with_pair_features(attach_entities(pairs, customers_wf, products_wf, product_rows, customer_rows))
     lead = ["split"] if "split" in pairs.columns else []
     return wide.select(*lead, *TRAINING_COLUMNS)

@@ -62,7 +62,8 @@ class Inputs:
         return labels.labelled_pairs(self.positives, self.products, product_rows=self.product_rows)
 
     def training_set(self):
-        return pairs.training_set(self.labelled(), self.customers_wf(), self.products_wf(), self.product_rows)
+        return pairs.training_set(self.labelled(), self.customers_wf(), self.products_wf(), self.product_rows,
+                                  self.customer_rows)
 
     def ranked(self):
         return recommend.ranked_candidates(self.requests, self.customers_wf(), self.products_wf(),
@@ -180,7 +181,7 @@ def labelled_pairs(i):
 @_q
 def pair_features(i):
     wide = pairs.with_pair_features(pairs.attach_entities(i.labelled(), i.customers_wf(), i.products_wf(),
-                                                          i.product_rows))
+                                                          i.product_rows, i.customer_rows))
     return rounded(wide.select("split", "time_date", "customer_id", "product_id", "item_key", LABEL_COL,
                                *pairs.PAIR_FEATURES))
 
