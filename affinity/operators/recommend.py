@@ -29,7 +29,6 @@ from affinity.functions.lists import format_id_list, parse_id_list
 from affinity.functions.pairs import FAVOURITES, match_flag
 from affinity.operators.joins import join_dimension
 from affinity.operators.model import AffinityScorer, probability
-from affinity.session import checkpoint_dir
 
 TOP_K = 12
 GLOBAL = "*"  # attribute / value key of the global top-k list
@@ -75,14 +74,14 @@ def ranked_candidates(requests: DataFrame, customers_wf: DataFrame, products_wf:
 
     Columns: customer_id, rank (1..k), product_id, logit, probability.
     """
-    # The per-value lists hold at most k rows per distinct attribute value, far fewer than the
-    # product table. They are materialised once (shared checkpoint folder), which also gives
-    # their exact size for the broadcast decision; past the limit the join is a shuffle join
-    # whose hot values (the global key, low-cardinality attributes) AQE splits.
-    checkpoint_dir(products_wf.sparkSession)
-    cands = product_candidates(products_wf, scorer, k).checkpoint()
+    # Each product appears at most once per key (11 attributes + the global key), so
+    # 12 x product rows bounds the lists; they are broadcast when that bound is within the
+    # limit. Past it the join is a shuffle join whose hot keys (the global key, values of
+    # low-cardinality attributes) AQE splits on the customer side.
+    cands = product_candidates(products_wf, scorer, k)
+    bound = None if product_rows is None else (len(ATTRIBUTES) + 1) * product_rows
     keys = customer_keys(requests, customers_wf, scorer)
-    joined = join_dimension(keys, cands, ["attribute", "value"], "inner", cands.count())
+    joined = join_dimension(keys, cands, ["attribute", "value"], "inner", bound)
     matches = {f.attribute: match_flag(F.col(f.top), F.col(f.attribute).cast("string")) for f in FAVOURITES}
     scored = joined.select("customer_id", "product_id", "g",
                            scorer.logit(F.col("c"), F.col("g"), scorer.match_bonus(matches)).alias("logit"))
