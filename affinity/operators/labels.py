@@ -63,7 +63,7 @@ def sample_negatives(positives: DataFrame, products: DataFrame, seed: int = SEED
     indexes are uniform, so this join has no hot key.
     """
     numbered = number_products(products, buckets)
-    n = numbered.select(F.count(F.lit(1))).scalar()
+    n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
     keep = [c for c in positives.columns if c != "product_id"]
     drawn = positives.select(*keep, uniform_index(draw_key(seed), n).alias("product_idx"))
     out = join_dimension(drawn, numbered, "product_idx", "inner", product_rows)
