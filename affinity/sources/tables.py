@@ -35,7 +35,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if table_rows(spark, sf_dir, name) >= SPREAD_MIN_ROWS and df.rdd.getNumPartitions() < cores:
+    # the partition count comes from planning the scan; rows are counted (footers only) just
+    # for inputs that scan in fewer tasks than there are cores, i.e. never for large datasets
+    if df.rdd.getNumPartitions() < cores and table_rows(spark, sf_dir, name) >= SPREAD_MIN_ROWS:
         df = df.repartition(cores)
     return df
 
