@@ -76,3 +76,56 @@ def labelled_pairs(positives: DataFrame, products: DataFrame, seed: int = SEED,
     pos = positives.withColumn(LABEL_COL, F.lit(1))
     neg = sample_negatives(positives, products, seed, product_rows)
     return pos.unionByName(neg)
+
+
+# ----------------------------------------------------------------- strict negatives
+
+ROW_KEY = ["split", "time_date", "customer_id", "item_key"]
+
+
+def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED,
+                            product_rows: int | None = None, per_round: int = 4,
+                            buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+    """One negative per positive row that is never one of the customer's positives in that split.
+
+    Exact rejection sampling: draw number j of a row is the keyed draw of
+    (row, j); the negative is the product of the smallest j that is not a
+    positive of the customer. Draws are made ``per_round`` at a time for the
+    rows still unresolved, so the number of rounds follows the data (for a
+    customer owning a fraction f of all products a round fails with
+    probability f ** per_round), and no draw count is capped. Each round's
+    unresolved rows are checkpointed into the shared checkpoint folder. A
+    customer who bought every product has no valid negative; such rows are
+    kept with a null product.
+    """
+    from affinity.session import checkpoint_dir
+
+    checkpoint_dir(positives.sparkSession)
+    numbered = number_products(products, buckets)
+    n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
+    known = (positives.where(F.col("product_id").isNotNull())
+             .select("split", "customer_id", F.col("product_id").alias("neg")).distinct())
+    per_customer = known.groupBy("split", "customer_id").agg(F.count(F.lit(1)).alias("n_known"))
+    rows = positives.select(*ROW_KEY, "product_id")
+    impossible = (rows.join(per_customer, ["split", "customer_id"])
+                  .where(F.col("n_known") >= n).select(*ROW_KEY))
+    pending = rows.join(impossible, ROW_KEY, "left_anti").checkpoint()
+    found = []
+    lo = 0
+    while pending.take(1):
+        draws = pending.select(*ROW_KEY, "product_id",
+                               F.explode(F.sequence(F.lit(lo), F.lit(lo + per_round - 1))).alias("j"))
+        draws = draws.select(*ROW_KEY, "j", uniform_index(
+            key_text(F.lit(str(seed)), F.col("time_date"), F.col("customer_id"), F.col("product_id"),
+                     F.col("item_key"), F.col("j")), n).alias("product_idx"))
+        cand = join_dimension(draws, numbered, "product_idx", "inner", product_rows).withColumnRenamed(
+            "product_id", "neg")
+        ok = cand.join(known, ["split", "customer_id", "neg"], "left_anti")
+        hit = ok.groupBy(*ROW_KEY).agg(F.min_by("neg", "j").alias("product_id")).checkpoint()
+        found.append(hit)
+        pending = pending.join(hit.select(*ROW_KEY), ROW_KEY, "left_anti").checkpoint()
+        lo += per_round
+    out = impossible.withColumn("product_id", F.lit(None).cast("bigint"))
+    for hit in found:
+        out = out.unionByName(hit)
+    return out.select("split", "time_date", "customer_id", "item_key", "product_id").withColumn(LABEL_COL, F.lit(0))

@@ -173,6 +173,11 @@ def label_negatives(i):
     return labels.sample_negatives(i.positives, i.products, product_rows=i.product_rows)
 
 
+@_q
+def label_negatives_strict(i):
+    return labels.sample_negatives_strict(i.positives, i.products, product_rows=i.product_rows)
+
+
 @_q
 def labelled_pairs(i):
     return i.labelled()
@@ -246,7 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs = [typed_customers, typed_products, encoded_customers, transactions, expanded_transactions,
           attribute_counts, favourites, favourites_rownumber, customer_rfm, product_price_stats,
           product_buyer_stats, customer_features, product_features, customers_with_features,
-          products_with_features, product_numbering, label_positives, label_negatives, labelled_pairs,
+          products_with_features, product_numbering, label_positives, label_negatives, label_negatives_strict, labelled_pairs,
           pair_features, training_set, topk, recommendations, submission, scored_pairs,
           confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report]
     return {q.__name__: q for q in qs}

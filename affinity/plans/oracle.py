@@ -231,7 +231,9 @@ POSITIVES_CTE = f"""od as (select o_orderkey, o_custkey as customer_id, cast(o_o
 oj as (select * from od left join lineitem on l_orderkey = o_orderkey),
 positives as (
   select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
-         l_partkey as product_id, cast(o_orderkey as varchar) || ':' || cast(l_linenumber as varchar) as item_key
+         l_partkey as product_id,
+         cast(o_orderkey as varchar) || ':' || cast(l_linenumber as varchar) || ':'
+           || cast(row_number() over (partition by o_orderkey, l_linenumber order by l_partkey) as varchar) as item_key
   from oj where l_partkey is not null
   union all
   select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
@@ -249,6 +251,19 @@ labelled as (select split, time_date, customer_id, product_id, item_key, 1 as li
 
 LABEL_CTES = f"{NUMBERING_CTE},\n{POSITIVES_CTE},\n{NEGATIVES_CTE}"
 
+# Strict negatives: the first of the row's keyed draws j = 0, 1, ... that is not a positive
+# of the customer in the split. 256 draws are enumerated here; at these sizes a row needing
+# more has probability below 1e-300.
+STRICT_CTE = f"""known as (select distinct split, customer_id, product_id as neg from positives where product_id is not null),
+sdraws as (select p.split, p.time_date, p.customer_id, p.item_key, t.j,
+           {_h60("concat_ws('|', '" + str(SEED) + "', cast(p.time_date as varchar), coalesce(cast(p.customer_id as varchar), 'null'), coalesce(cast(p.product_id as varchar), 'null'), p.item_key, cast(t.j as varchar))")} % (select n from nprod) as product_idx
+           from positives p, range(0, 256) t(j)),
+scand as (select d.*, nb.product_id as neg from sdraws d join numbered nb using (product_idx)),
+sok as (select * from scand c where not exists
+        (select 1 from known k where k.split = c.split and k.customer_id = c.customer_id and k.neg = c.neg)),
+strict as (select split, time_date, customer_id, item_key, arg_min(neg, j) as product_id
+           from sok group by split, time_date, customer_id, item_key)"""
+
 
 def _pair_select() -> str:
     cols = [f"coalesce({f.top} = {f.attribute}, false) as {f.match}" for f in FAVOURITES]
@@ -376,6 +391,8 @@ def queries(scorer=None) -> dict[str, str]:
         "product_numbering": f"with {BASE_CTES}, {NUMBERING_CTE}\nselect * from numbered",
         "label_positives": f"with {BASE_CTES}, {POSITIVES_CTE}\nselect *, 1 as link_pred_baseline_target from positives",
         "label_negatives": f"with {BASE_CTES}, {LABEL_CTES}\nselect *, 0 as link_pred_baseline_target from negatives",
+        "label_negatives_strict": f"with {BASE_CTES}, {LABEL_CTES},\n{STRICT_CTE}\n"
+                                  f"select *, 0 as link_pred_baseline_target from strict",
         "labelled_pairs": f"with {BASE_CTES}, {LABEL_CTES}\nselect * from labelled",
         "pair_features": training + f"select split, time_date, customer_id, product_id, item_key, "
                                     f"link_pred_baseline_target, {MATCHES}, {RDIFFS} from pairs",

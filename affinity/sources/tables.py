@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Label lists dated before this day are the training split, the rest validation.
@@ -130,8 +130,8 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     have no items) gives one row with a null product. The same rows come out
     of an order/line-item join plus one aggregate, so no list is ever
     materialised: a customer-day holding a large share of all rows stays
-    spread over many tasks. ``item_key`` identifies the item within its
-    customer-day and keeps the keyed negative draw per row.
+    spread over many tasks. ``item_key`` (order, line number, repeat number)
+    identifies the item within its customer-day and keys the negative draw.
 
     Columns: split, time_date, customer_id, product_id, item_key.
     """
@@ -141,10 +141,15 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     joined = od.join(li, od.o_orderkey == li.l_orderkey, "left")
     split = F.when(F.col("time_date") < F.lit(SPLIT_DATE), "train").otherwise("val")
+    # (order, line number) may repeat in the input; repeats are numbered so that every item
+    # has its own key, as list positions are. The groups are tiny and the window's clustering
+    # is already satisfied by the join's order-key partitioning.
+    dup = F.row_number().over(Window.partitionBy("o_orderkey", "l_linenumber").orderBy("l_partkey"))
     items = joined.where(F.col("l_partkey").isNotNull()).select(
         split.alias("split"), "time_date", "customer_id",
         F.col("l_partkey").alias("product_id"),
-        F.concat_ws(":", F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("item_key"),
+        F.concat_ws(":", F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                    dup.cast("string")).alias("item_key"),
     )
     empty_days = (
         joined.groupBy("time_date", "customer_id")

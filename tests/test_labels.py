@@ -52,3 +52,24 @@ def test_label_items_match_list_semantics(spark):
     a = labels.explode_labels(lists).select("time_date", "customer_id", "product_id")
     b = tables.label_items(spark, SF_SMALL).select("time_date", "customer_id", "product_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_strict_negatives_avoid_known_positives(spark):
+    pos = tables.label_items(spark, SF_SMALL)
+    prods = tables.products(spark, SF_SMALL)
+    neg = labels.sample_negatives_strict(pos, prods, per_round=2)
+    assert neg.count() == pos.count()
+    clash = neg.join(pos.select("split", "customer_id", "product_id"), ["split", "customer_id", "product_id"])
+    assert clash.count() == 0
+    assert neg.where("product_id is null").count() == 0
+
+
+def test_strict_negatives_when_every_product_is_known(spark):
+    prods = spark.createDataFrame([(p,) for p in range(3)], "product_id bigint")
+    d = dt.date(2020, 1, 1)
+    pos = spark.createDataFrame(
+        [("train", d, 1, p, str(p)) for p in range(3)] + [("train", d, 2, 0, "0")],
+        "split string, time_date date, customer_id bigint, product_id bigint, item_key string")
+    got = sorted((r.customer_id, r.product_id) for r in labels.sample_negatives_strict(pos, prods, per_round=1).collect())
+    assert got[:3] == [(1, None), (1, None), (1, None)]
+    assert got[3][0] == 2 and got[3][1] in (1, 2)
