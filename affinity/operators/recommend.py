@@ -54,11 +54,22 @@ def product_candidates(products_wf: DataFrame, scorer: AffinityScorer, k: int =
     return keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
 
 
-def customer_keys(requests: DataFrame, customers_wf: DataFrame, scorer: AffinityScorer) -> DataFrame:
-    """Distinct requested customers with their term c and favourite keys (one row per key)."""
-    req = requests.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
+def customer_keys(requests: DataFrame, customers_wf: DataFrame, scorer: AffinityScorer,
+                  customer_rows: int | None = None) -> DataFrame:
+    """Distinct requested customers with their term c and favourite keys (one row per key).
+
+    Each request turns into up to 12 x k candidate rows downstream, so the
+    request rows are hash-partitioned by customer into the session's
+    configured number of shuffle partitions. A size-based coalesce would see
+    only the small request table and put the whole candidate fan-out in a few
+    tasks. The candidate join, scoring and the per-customer ranking then run
+    on this partitioning without another exchange.
+    """
+    n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    req = (requests.select("customer_id").where(F.col("customer_id").isNotNull())
+           .repartition(n, "customer_id").dropDuplicates(["customer_id"]))
     side = customers_wf.select("customer_id", "total_purchases", *TOPS)
-    cust = req.join(side, "customer_id", "left").select(
+    cust = join_dimension(req, side, "customer_id", "left", customer_rows).select(
         "customer_id", scorer.customer_term(F.col("total_purchases")).alias("c"),
         *[F.col(t).cast("string").alias(t) for t in TOPS])
     keys = F.array(F.struct(F.lit(GLOBAL).alias("attribute"), F.lit(GLOBAL).alias("value")),
@@ -69,7 +80,7 @@ def customer_keys(requests: DataFrame, customers_wf: DataFrame, scorer: Affinity
 
 def ranked_candidates(requests: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
                       scorer: AffinityScorer = AffinityScorer(), k: int = TOP_K,
-                      product_rows: int | None = None) -> DataFrame:
+                      product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
     """The top-k (logit >= 0) per requested customer, long form.
 
     Columns: customer_id, rank (1..k), product_id, logit, probability.
@@ -80,7 +91,7 @@ def ranked_candidates(requests: DataFrame, customers_wf: DataFrame, products_wf:
     # low-cardinality attributes) AQE splits on the customer side.
     cands = product_candidates(products_wf, scorer, k)
     bound = None if product_rows is None else (len(ATTRIBUTES) + 1) * product_rows
-    keys = customer_keys(requests, customers_wf, scorer)
+    keys = customer_keys(requests, customers_wf, scorer, customer_rows)
     joined = join_dimension(keys, cands, ["attribute", "value"], "inner", bound)
     matches = {f.attribute: match_flag(F.col(f.top), F.col(f.attribute).cast("string")) for f in FAVOURITES}
     scored = joined.select("customer_id", "product_id", "g",

@@ -67,7 +67,8 @@ class Inputs:
 
     def ranked(self):
         return recommend.ranked_candidates(self.requests, self.customers_wf(), self.products_wf(),
-                                           self.scorer, product_rows=self.product_rows)
+                                           self.scorer, product_rows=self.product_rows,
+                                           customer_rows=self.customer_rows)
 
     def recommendations(self):
         return recommend.recommendations(self.requests, self.ranked())
