@@ -19,6 +19,7 @@ from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
 from affinity.operators import labels, metrics, pairs, recommend
 from affinity.operators.model import AffinityScorer, TreeParams, fit_trees, tree_scores
+from affinity.session import checkpoint_dir
 from affinity.sources import tables
 from affinity.sources.schemas import LABEL_COL
 
@@ -234,16 +235,22 @@ def evaluation_report(i):
     return rounded(metrics.evaluation_report(i.scored_pairs(), by=["split"]))
 
 
+def _checkpointed_training_set(i):
+    # read twice (fit, then scoring): materialise once in the shared checkpoint folder
+    checkpoint_dir(i.spark)
+    return i.training_set().checkpoint()
+
+
 @_q
 def gbt_scores(i):
-    ts = i.training_set()
+    ts = _checkpointed_training_set(i)
     model = fit_trees(ts.where(F.col("split") == "train"), TreeParams())
     return tree_scores(model, ts.where(F.col("split") == "val"))
 
 
 @_q
 def gbt_evaluation_report(i):
-    ts = i.training_set()
+    ts = _checkpointed_training_set(i)
     model = fit_trees(ts.where(F.col("split") == "train"), TreeParams())
     return metrics.evaluation_report(tree_scores(model, ts), prob="probability", score="probability", by=["split"])
 
