@@ -120,6 +120,11 @@ def favourites(i):
     return feat.favourites(i.tx, i.products, i.product_rows)
 
 
+@_q
+def favourites_observed(i):
+    return feat.favourites(i.tx, i.products, i.product_rows, closed_domain=False)
+
+
 @_q
 def favourites_rownumber(i):
     return feat.favourites_rownumber(feat.attribute_counts(i.tx, i.products, i.product_rows), i.products)
@@ -257,7 +262,7 @@ def gbt_evaluation_report(i):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs = [typed_customers, typed_products, encoded_customers, transactions, expanded_transactions,
-          attribute_counts, favourites, favourites_rownumber, customer_rfm, product_price_stats,
+          attribute_counts, favourites, favourites_observed, favourites_rownumber, customer_rfm, product_price_stats,
           product_buyer_stats, customer_features, product_features, customers_with_features,
           products_with_features, product_numbering, label_positives, label_negatives, label_negatives_strict, labelled_pairs,
           pair_features, training_set, topk, recommendations, submission, scored_pairs,

@@ -87,7 +87,7 @@ def _favourite_cte(f) -> str:
     from txp where {a} is not null group by customer_id, {a}) where rn = 1)"""
 
 
-def _favourites_ctes(closed_domain: bool = True) -> str:
+def _favourites_ctes() -> str:
     parts = [f"txp as (select t.customer_id, t.product_id, p.* exclude (product_id) "
              f"from tx t left join products p on t.product_id = p.product_id where t.customer_id is not null)"]
     parts += [_favourite_cte(f) for f in FAVOURITES]
@@ -380,6 +380,7 @@ def queries(scorer=None) -> dict[str, str]:
         "expanded_transactions": expanded_transactions(),
         "attribute_counts": attribute_counts(),
         "favourites": favourites(True),
+        "favourites_observed": favourites(False),
         "favourites_rownumber": favourites_rownumber(),
         "customer_rfm": customer_rfm(),
         "product_price_stats": product_price_stats(),
