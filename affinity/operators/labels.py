@@ -106,7 +106,8 @@ def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int
     known = (positives.where(F.col("product_id").isNotNull())
              .select("split", "customer_id", F.col("product_id").alias("neg")).distinct())
     per_customer = known.groupBy("split", "customer_id").agg(F.count(F.lit(1)).alias("n_known"))
-    rows = positives.select(*ROW_KEY, "product_id")
+    # identical positive rows share their draws: resolve each distinct row once, then join back
+    rows = positives.select(*ROW_KEY, "product_id").distinct()
     impossible = (rows.join(per_customer, ["split", "customer_id"])
                   .where(F.col("n_known") >= n).select(*ROW_KEY))
     pending = rows.join(impossible, ROW_KEY, "left_anti").checkpoint()
@@ -125,7 +126,8 @@ def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int
         found.append(hit)
         pending = pending.join(hit.select(*ROW_KEY), ROW_KEY, "left_anti").checkpoint()
         lo += per_round
-    out = impossible.withColumn("product_id", F.lit(None).cast("bigint"))
+    resolved = impossible.withColumn("product_id", F.lit(None).cast("bigint"))
     for hit in found:
-        out = out.unionByName(hit)
+        resolved = resolved.unionByName(hit)
+    out = positives.select(*ROW_KEY).join(resolved, ROW_KEY, "inner")
     return out.select("split", "time_date", "customer_id", "item_key", "product_id").withColumn(LABEL_COL, F.lit(0))

@@ -232,8 +232,8 @@ oj as (select * from od left join lineitem on l_orderkey = o_orderkey),
 positives as (
   select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
          l_partkey as product_id,
-         cast(o_orderkey as varchar) || ':' || cast(l_linenumber as varchar) || ':'
-           || cast(row_number() over (partition by o_orderkey, l_linenumber order by l_partkey) as varchar) as item_key
+         concat_ws(':', cast(o_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar),
+                   cast(l_suppkey as varchar)) as item_key
   from oj where l_partkey is not null
   union all
   select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
@@ -257,12 +257,14 @@ LABEL_CTES = f"{NUMBERING_CTE},\n{POSITIVES_CTE},\n{NEGATIVES_CTE}"
 STRICT_CTE = f"""known as (select distinct split, customer_id, product_id as neg from positives where product_id is not null),
 sdraws as (select p.split, p.time_date, p.customer_id, p.item_key, t.j,
            {_h60("concat_ws('|', '" + str(SEED) + "', cast(p.time_date as varchar), coalesce(cast(p.customer_id as varchar), 'null'), coalesce(cast(p.product_id as varchar), 'null'), p.item_key, cast(t.j as varchar))")} % (select n from nprod) as product_idx
-           from positives p, range(0, 256) t(j)),
+           from (select distinct * from positives) p, range(0, 256) t(j)),
 scand as (select d.*, nb.product_id as neg from sdraws d join numbered nb using (product_idx)),
 sok as (select * from scand c where not exists
         (select 1 from known k where k.split = c.split and k.customer_id = c.customer_id and k.neg = c.neg)),
-strict as (select split, time_date, customer_id, item_key, arg_min(neg, j) as product_id
-           from sok group by split, time_date, customer_id, item_key)"""
+strict1 as (select split, time_date, customer_id, item_key, arg_min(neg, j) as product_id
+            from sok group by split, time_date, customer_id, item_key),
+strict as (select p.split, p.time_date, p.customer_id, p.item_key, s.product_id
+           from positives p join strict1 s using (split, time_date, customer_id, item_key))"""
 
 
 def _pair_select() -> str:

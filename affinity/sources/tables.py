@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Label lists dated before this day are the training split, the rest validation.
@@ -128,32 +128,38 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     A label list is everything a customer bought on one day. Exploding such a
     list gives one row per bought item, and an empty list (a day whose orders
     have no items) gives one row with a null product. The same rows come out
-    of an order/line-item join plus one aggregate, so no list is ever
-    materialised: a customer-day holding a large share of all rows stays
-    spread over many tasks. ``item_key`` (order, line number, repeat number)
-    identifies the item within its customer-day and keys the negative draw.
+    of an inner order/line-item join plus the empty days, so no list is ever
+    materialised:
+
+    * items: line items inner-joined to their order. Both sides of an inner
+      join can be split by AQE, so an order holding a large share of all line
+      items does not end up in one task;
+    * empty days: line items are counted per order (combined map-side), the
+      one-row-per-order counts are joined to the orders, and days whose count
+      sum is 0 give a null-product row.
+
+    ``item_key`` (order, line number, part, supplier) names the item within
+    its customer-day and keys the negative draw; fully identical input lines
+    share it (and their draw).
 
     Columns: split, time_date, customer_id, product_id, item_key.
     """
     od = _read(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("time_date"))
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    joined = od.join(li, od.o_orderkey == li.l_orderkey, "left")
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     split = F.when(F.col("time_date") < F.lit(SPLIT_DATE), "train").otherwise("val")
-    # (order, line number) may repeat in the input; repeats are numbered so that every item
-    # has its own key, as list positions are. The groups are tiny and the window's clustering
-    # is already satisfied by the join's order-key partitioning.
-    dup = F.row_number().over(Window.partitionBy("o_orderkey", "l_linenumber").orderBy("l_partkey"))
-    items = joined.where(F.col("l_partkey").isNotNull()).select(
+    items = li.where(F.col("l_partkey").isNotNull()).join(od, li.l_orderkey == od.o_orderkey).select(
         split.alias("split"), "time_date", "customer_id",
         F.col("l_partkey").alias("product_id"),
-        F.concat_ws(":", F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-                    dup.cast("string")).alias("item_key"),
+        F.concat_ws(":", *[F.col(c).cast("string") for c in ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+        .alias("item_key"),
     )
+    per_order = li.groupBy("l_orderkey").agg(F.count("l_partkey").alias("n_items"))
     empty_days = (
-        joined.groupBy("time_date", "customer_id")
-        .agg(F.count("l_partkey").alias("n_items"))
+        od.join(per_order, od.o_orderkey == per_order.l_orderkey, "left")
+        .groupBy("time_date", "customer_id")
+        .agg(F.sum(F.coalesce(F.col("n_items"), F.lit(0))).alias("n_items"))
         .where(F.col("n_items") == 0)
         .select(split.alias("split"), "time_date", "customer_id",
                 F.lit(None).cast("bigint").alias("product_id"), F.lit("").alias("item_key"))
