@@ -21,6 +21,15 @@ from affinity.sources.schemas import LABEL_COL
 
 SEED = 73
 NUMBERING_BUCKETS = 1024
+# products per numbering bucket above which more buckets are used (one window task per bucket)
+PRODUCTS_PER_BUCKET = 1_000_000
+
+
+def numbering_buckets(product_rows: int | None, minimum: int = NUMBERING_BUCKETS) -> int:
+    """Bucket count for ``number_products``: ``minimum``, or more for very large product tables."""
+    if product_rows is None:
+        return minimum
+    return max(minimum, -(-product_rows // PRODUCTS_PER_BUCKET))
 
 
 def explode_labels(lists: DataFrame) -> DataFrame:
@@ -55,14 +64,14 @@ def draw_key(seed: int) -> Column:
 
 
 def sample_negatives(positives: DataFrame, products: DataFrame, seed: int = SEED,
-                     product_rows: int | None = None, buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+                     product_rows: int | None = None, buckets: int | None = None) -> DataFrame:
     """One uniformly drawn product per positive row, label 0.
 
     Follows the reference: the draw may hit one of the customer's own
     positives. The draw joins the numbered products on the drawn index;
     indexes are uniform, so this join has no hot key.
     """
-    numbered = number_products(products, buckets)
+    numbered = number_products(products, buckets or numbering_buckets(product_rows))
     n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
     keep = [c for c in positives.columns if c != "product_id"]
     drawn = positives.select(*keep, uniform_index(draw_key(seed), n).alias("product_idx"))
@@ -85,7 +94,7 @@ ROW_KEY = ["split", "time_date", "customer_id", "item_key"]
 
 def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED,
                             product_rows: int | None = None, per_round: int = 4,
-                            buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+                            buckets: int | None = None) -> DataFrame:
     """One negative per positive row that is never one of the customer's positives in that split.
 
     Exact rejection sampling: draw number j of a row is the keyed draw of
@@ -101,7 +110,7 @@ def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int
     from affinity.session import checkpoint_dir
 
     checkpoint_dir(positives.sparkSession)
-    numbered = number_products(products, buckets)
+    numbered = number_products(products, buckets or numbering_buckets(product_rows))
     n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
     known = (positives.where(F.col("product_id").isNotNull())
              .select("split", "customer_id", F.col("product_id").alias("neg")).distinct())
