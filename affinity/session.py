@@ -40,7 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local runs and tests) a fresh folder is created and registered.
+    unset and the master is local (local runs and tests) a fresh folder is
+    created and registered; on a cluster an unset value is an error, never a
+    machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,5 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
+    # local runs and tests only: the driver is the only machine
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="affinity-ckpt-"))
     return sc.getCheckpointDir()
