@@ -170,3 +170,16 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers to score: every customer of the customer table."""
     return _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+
+
+def assert_unique(df: DataFrame, key: str, name: str) -> None:
+    """Raise if ``key`` repeats in an entity table.
+
+    Feature joins attach one row per entity; a repeated id would multiply
+    pair rows. The check is one aggregate with map-side combining; only the
+    first few offending ids (a bounded sample for the message) reach the
+    driver.
+    """
+    dups = df.groupBy(key).count().where(F.col("count") > 1).select(key).limit(5).collect()
+    if dups:
+        raise ValueError(f"{name}: {key} is not unique, e.g. {[r[0] for r in dups]}")

@@ -56,3 +56,15 @@ def test_sinks_round_trip(spark):
     rep = spark.createDataFrame([("val", "auc_roc", 0.7)], "split string, metric string, value double")
     sinks.write_metrics(rep, os.path.join(out, "metrics"))
     assert spark.read.parquet(os.path.join(out, "metrics")).count() == 1
+
+
+def test_entity_keys_must_be_unique(spark):
+    import pytest
+
+    from affinity.sources import tables
+
+    ok = spark.createDataFrame([(1,), (2,)], "customer_id bigint")
+    tables.assert_unique(ok, "customer_id", "customers")
+    bad = spark.createDataFrame([(1,), (2,), (2,)], "customer_id bigint")
+    with pytest.raises(ValueError, match="not unique"):
+        tables.assert_unique(bad, "customer_id", "customers")
