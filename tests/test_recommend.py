@@ -100,3 +100,15 @@ def test_recommendation_plan_has_no_pair_enumeration(spark):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython"):
         assert bad not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_no_exchange_between_fan_out_and_ranking(spark):
+    """The candidate join, scoring and ranking window run on the request partitioning."""
+    i = catalog.Inputs(spark, SF_SMALL)
+    ranked = recommend.ranked_candidates(i.requests, i.customers_wf(), i.products_wf(),
+                                         product_rows=i.product_rows, customer_rows=i.customer_rows)
+    lines = ranked._jdf.queryExecution().executedPlan().toString().splitlines()
+    window = next(n for n, line in enumerate(lines) if "Window [dense_rank" in line)
+    fan_out = next(n for n, line in enumerate(lines) if n > window and "Generate explode" in line)
+    assert not any("Exchange" in line for line in lines[window:fan_out])
+    assert any("REPARTITION_BY_NUM" in line and "customer_id" in line for line in lines[fan_out:])
