@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from affinity.functions.pairs import FAVOURITES
 from affinity.operators import recommend
