@@ -1,4 +1,5 @@
 import __spark_entry__ as entry
+from affinity.plans import catalog, oracle
 
 ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report"}
 
@@ -6,17 +7,19 @@ ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report"}
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["customer_id", "list_product_id"]
-    assert df.count() >= 0
+    assert df.count() == entry.queries()["typed_customers"](spark, "/root/testdata/sf0.001").count()
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    qs, sql = catalog.queries(), oracle.queries()
     assert set(sql) <= set(qs)
+    assert set(qs) <= set(entry.queries()) and set(sql) <= set(entry.oracle_sql())
     assert set(qs) - set(sql) == ROWS_ONLY
 
 
 def test_no_python_udfs_in_plans(spark):
-    for name, q in entry.queries().items():
+    for name, q in catalog.queries().items():
         if name in ROWS_ONLY:
             continue
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

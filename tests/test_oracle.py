@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from affinity.plans import catalog, oracle
 
 from conftest import SF_SMALL
 
@@ -35,12 +35,12 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     got = _rows([r.asDict() for r in df.collect()], cols)
-    odf = con.execute(entry.oracle_sql()[name]).fetchdf()
+    odf = con.execute(oracle.queries()[name]).fetchdf()
     assert sorted(odf.columns) == cols
     want = _rows(odf.to_dict("records"), cols)
     assert got == want
