@@ -12,7 +12,8 @@ from affinity.session import checkpoint_dir
 
 #: ASCII white space as the query contracts define it
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
-SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: removes a job's shuffle files when it ends
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +26,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage: later stages re-read the files, so a lost executor costs a
     re-read and not a recomputation of everything before.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # the table replaces this job's shuffle files
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:

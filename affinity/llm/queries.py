@@ -9,13 +9,25 @@ import public_tokenizers
 from affinity.llm.bpe_backtrack import encode_documents
 from affinity.llm.common import table
 from affinity.llm.exact_dedup import exact_dedup
+from affinity.llm.html_mincut import extract_main_text
 from affinity.llm.mixing_ipf import mixture
+from affinity.llm.phrase_automata import remove_phrases
 from affinity.llm.quality_qda import quality_scores
+from affinity.llm.quality_rules import METRICS, MIN_ROWS, REACH, quality_rules
 from affinity.llm.simhash_ball import simhash_components
 from affinity.llm.token_cache import token_counts
+from affinity.llm.url_markov import judge_urls
 from affinity.session import checkpoint_dir
 
 
+def op1_phrase_automata(spark, sf_dir):
+    return remove_phrases(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op2_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_qda(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +40,10 @@ def op5_exact_heavy_split(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_url_markov(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_token_cache(spark, sf_dir):
     # a cache of its own, so that every call shows the whole work
     cache = f"{checkpoint_dir(spark)}/token-cache-{uuid.uuid4().hex}"
@@ -35,6 +51,10 @@ def op7_token_cache(spark, sf_dir):
                         public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_html_mincut(spark, sf_dir):
+    return extract_main_text(table(spark, sf_dir, "pages"), with_blocks=False)
+
+
 def op9_bpe_backtrack(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                             ids=False, decoded=False)
@@ -45,13 +65,30 @@ def op10_mixing_ipf(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op3_quality_qda, op4_simhash_ball, op5_exact_heavy_split, op7_token_cache,
+    return {f.__name__: f for f in (op1_phrase_automata, op2_quality_rules, op3_quality_qda, op4_simhash_ball,
+                                    op5_exact_heavy_split, op6_url_markov, op7_token_cache, op8_html_mincut,
                                     op9_bpe_backtrack, op10_mixing_ipf)}
 
 
 def oracle_sql():
-    return {"op5_exact_heavy_split": OP5}
-
+    return {"op1_phrase_automata": OP1, "op2_quality_rules": _op2(), "op5_exact_heavy_split": OP5}
+
+
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+g AS (SELECT s.doc_id, s.i, md5(array_to_string(d.w[s.i:s.i + 34], ' ')) AS h FROM s JOIN d ON s.doc_id = d.doc_id),
+r AS (SELECT doc_id, i FROM g WHERE h IN (SELECT h FROM g GROUP BY h HAVING count(*) > 1)),
+c AS (SELECT doc_id, list(DISTINCT p) AS cut FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM r) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(len(c.cut), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.kept, CASE WHEN c.cut IS NULL THEN array_to_string(d.w, ' ') END, '')) AS kept_sha256
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id
+LEFT JOIN (SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept
+  FROM (SELECT d.doc_id, unnest(d.w) AS word, unnest(range(1, len(d.w) + 1)) AS i FROM d JOIN c ON d.doc_id = c.doc_id) AS p
+  LEFT JOIN (SELECT doc_id, unnest(cut) AS i FROM c) AS x ON p.doc_id = x.doc_id AND p.i = x.i
+  WHERE x.i IS NULL GROUP BY p.doc_id) AS k ON d.doc_id = k.doc_id
+"""
 
 OP5 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -59,3 +96,60 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
 FROM d JOIN g ON d.t = g.t
 """
+
+
+def _op2() -> str:
+    """Base counts in one pass, bins and quartiles per group, language and whole, then the fences."""
+    level = lambda keys, name: f"""
+{name} AS (
+  SELECT {keys} metric, max(total) AS n, min(CASE WHEN so_far * 4 >= total THEN top END) AS q1,
+    min(CASE WHEN so_far * 4 >= total * 3 THEN top END) AS q3
+  FROM (SELECT {keys} metric, top, sum(count(*)) OVER (PARTITION BY {keys} metric ORDER BY top) AS so_far,
+          sum(count(*)) OVER (PARTITION BY {keys} metric) AS total
+        FROM tall GROUP BY {keys} metric, top) AS x
+  GROUP BY {keys} metric),"""
+    slack = " ".join(f"WHEN '{m}' THEN {v}" for m, v in METRICS.items())
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, chr(1)) AS lang, coalesce(source, chr(1)) AS source, coalesce(text, '') AS t,
+    [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
+  FROM documents),
+grams AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5),
+g AS (SELECT grams.doc_id, i, array_to_string(w[i:i + 4], ' ') AS h FROM grams JOIN d ON grams.doc_id = d.doc_id),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, h) AS c FROM g)
+    WHERE c > 1) GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
+    length(t) - length(replace(t, '!', '')) AS n_shouts, len(l) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN r ON d.doc_id = r.doc_id),
+m AS (
+  SELECT *, n_symbols * 1000 // greatest(word_chars, 1) AS symbols, n_capitals * 1000 // greatest(word_chars, 1) AS capitals,
+    n_shouts * 1000 // greatest(word_chars, 1) AS shouts, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_lines,
+    n_repeat_words * 1000 // greatest(n_words, 1) AS repeats, word_chars * 10 // greatest(n_words, 1) AS word_len,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM base),
+pairs AS (SELECT doc_id, lang, source, unnest([{", ".join(f"{{'metric': '{k}', 'v': CAST({k} AS BIGINT)}}" for k in METRICS)}]) AS e FROM m),
+tall AS (
+  SELECT doc_id, lang, source, e.metric AS metric, e.v AS v, CASE WHEN e.v < 32 THEN e.v
+    ELSE ((((e.v >> (length(bin(e.v)) - 5)) + 1) << (length(bin(e.v)) - 5)) - 1) END AS top
+  FROM pairs),{level("lang, source,", "own")}{level("lang,", "tongue")}{level("", "whole")}
+q AS (
+  SELECT own.lang, own.source, own.metric,
+    CASE WHEN own.n >= {MIN_ROWS} THEN own.q1 WHEN tongue.n >= {MIN_ROWS} THEN tongue.q1 ELSE whole.q1 END AS q1,
+    CASE WHEN own.n >= {MIN_ROWS} THEN own.q3 WHEN tongue.n >= {MIN_ROWS} THEN tongue.q3 ELSE whole.q3 END AS q3,
+    CASE own.metric {slack} END AS slack
+  FROM own JOIN tongue ON own.lang = tongue.lang AND own.metric = tongue.metric JOIN whole ON own.metric = whole.metric),
+ok AS (
+  SELECT doc_id, bool_and(v <= q3 + {REACH} * (q3 - q1) + slack
+    AND (tall.metric <> 'word_len' OR v >= q1 - {REACH} * (q3 - q1) - slack)) AS fits
+  FROM tall JOIN q ON tall.lang = q.lang AND tall.source = q.source AND tall.metric = q.metric GROUP BY doc_id)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  {", ".join(f"CAST({k} AS BIGINT) AS {k}" for k in METRICS)}, base_failed, NOT base_failed AND fits AS kept
+FROM m JOIN ok ON m.doc_id = ok.doc_id
+"""
