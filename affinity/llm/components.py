@@ -16,15 +16,16 @@ from affinity.llm.common import stored
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to its smallest neighbour (or itself)."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("k"), F.least("u", "m").alias("m"))
+    # stored, so that the join reads both sides from a shuffle and a node with very many links can be split
+    low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        F.col("u").alias("k"), F.least("u", "m").alias("m")), "lowest")
     return (both.join(low, both.u == low.k).where("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct())
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
-    low = links.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
+    low = stored(links.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")), "lowest")
     moved = links.join(low, links.u == low.k).select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = low.select(F.col("k").alias("u"), F.col("m").alias("v"))
     return moved.union(own).where("u > v").distinct()

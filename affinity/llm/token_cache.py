@@ -116,6 +116,7 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str, ranks_pa
 
     made = todo.select("content", "text").mapInArrow(run, "content string, n_tokens bigint")
     made.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
-    counts = read_cache(spark, cache_path, version)
+    # stored, so that the join reads both sides from a shuffle and a very common content can be split
+    counts = stored(read_cache(spark, cache_path, version), "token-counts")
     return keys.join(counts, "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > over).alias("over_limit"))
