@@ -184,8 +184,8 @@ def region_texts(rows: DataFrame, bearers: DataFrame) -> DataFrame:
 def confirmed(texts: DataFrame) -> DataFrame:
     """(anchor, region, mask): bit k is set if window k of the region occurs twice or more anywhere."""
     windows = texts.select("anchor", "region", "times", F.posexplode("digests").alias("k", "digest"))
-    often = (windows.groupBy("anchor", "digest").agg(F.sum("times").alias("n")).where("n > 1")
-             .select(F.col("anchor").alias("often_anchor"), F.col("digest").alias("often_digest")))
+    often = stored(windows.groupBy("anchor", "digest").agg(F.sum("times").alias("n")).where("n > 1")
+                   .select(F.col("anchor").alias("often_anchor"), F.col("digest").alias("often_digest")), "often")
     found = windows.join(often, (windows.anchor == often.often_anchor) & (windows.digest == often.often_digest))
     return found.groupBy("anchor", "region").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask"))
 
@@ -237,7 +237,9 @@ def locate(texts: DataFrame, passages: DataFrame) -> DataFrame:
 def recurring_spans(rows: DataFrame) -> DataFrame:
     """(at_row, at_id, parts): per document its (first, mask) marks; documents without any are left out."""
     found = stored(regions(rows), "regions")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(F.col("anchor").alias("twice"))
+    # unique sides are stored: a join that reads both sides from a shuffle can split a very common anchor
+    twice = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+                   .select(F.col("anchor").alias("twice")), "twice")
     candidates = stored(found.join(twice, found.anchor == twice.twice, "left_semi"), "candidates")
     bearers = candidates.groupBy("anchor", "region").agg(
         F.count("*").alias("times"), F.min(F.struct("row", "doc_id", "first", "windows")).alias("b")).select(
