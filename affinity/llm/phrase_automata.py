@@ -190,6 +190,14 @@ def confirmed(texts: DataFrame) -> DataFrame:
     return found.groupBy("anchor", "region").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask"))
 
 
+class _Code(dict):
+    """One character per distinct word."""
+
+    def __missing__(self, word: str) -> str:
+        self[word] = char = chr(0x10000 + len(self))
+        return char
+
+
 def _runs(mask: int) -> Iterator[tuple[int, int]]:
     """(first, last) of the runs of set bits."""
     k = 0
@@ -211,12 +219,12 @@ def locate(texts: DataFrame, passages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            code: dict[str, str] = {}
+            code = _Code()
             streams = []
             automaton = ahocorasick.Automaton()
             for text, mask in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 # a word is one character here: passages begin and end at words
-                stream = "".join([code.setdefault(w, chr(0x10000 + len(code))) for w in text.split(" ")])
+                stream = "".join(map(code.__getitem__, text.split(" ")))
                 streams.append(stream)
                 for first, last in _runs(mask):
                     automaton.add_word(stream[first:last + WINDOW], last - first + WINDOW)

@@ -114,7 +114,8 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str, ranks_pa
             counts = pa.array([library.count(t.as_py()) for t in b.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), counts], ["content", "n_tokens"])
 
-    made = todo.select("content", "text").mapInArrow(run, "content string, n_tokens bigint")
+    # rows repeated with id and text bear alike: their counts are the same, one is stored
+    made = todo.select("content", "text").mapInArrow(run, "content string, n_tokens bigint").dropDuplicates(["content"])
     made.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
     # stored, so that the join reads both sides from a shuffle and a very common content can be split
     counts = stored(read_cache(spark, cache_path, version), "token-counts")

@@ -1,0 +1,149 @@
+"""Quality classifier, quality rules and mixing."""
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from affinity.llm import queries
+from affinity.llm.mixing_ipf import mixture, rake, sample_mixture
+from affinity.llm.quality_qda import FEATURES, Discriminant, drop_low_quality, quality_scores, statistics
+from affinity.llm.quality_rules import bin_top, quality_rules
+
+from llm_data import ODD, docs_of  # noqa: F401
+
+SF = "/root/testdata/sf0.01"
+
+
+def dense_scores(x, y, fit):
+    """The discriminant by textbook formulas (explicit inverses and determinants)."""
+    n = len(y[fit])
+    classes = [x[fit & (y == c)] for c in (0, 1)]
+    pooled = sum(len(k) * np.cov(k.T, bias=True) for k in classes) / n
+    pooled = 0.9 * pooled + 0.1 * np.diag(np.diag(pooled))
+    logs = []
+    for k in classes:
+        cov = 0.8 * np.cov(k.T, bias=True) + 0.2 * pooled + 1e-3 * np.eye(x.shape[1])
+        d = x - k.mean(axis=0)
+        logs.append(np.log((len(k) + 1) / (n + 2)) - 0.5 * (np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+                                                             + np.linalg.slogdet(cov)[1]))
+    return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -500, 500)))
+
+
+def test_qda_equals_dense_formulas_and_holds_out(spark):
+    found = {r.doc_id: r for r in queries.queries()["op3_quality_qda"](spark, SF).collect()}
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert set(found) == set(text)
+    out = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in text}
+    assert all(found[i].held_out == out[i] for i in text)
+    ids = sorted(label)
+    x = np.array([statistics(text[i]) for i in ids])
+    want = dense_scores(x, np.array([label[i] for i in ids]), ~np.array([out[i] for i in ids]))
+    np.testing.assert_allclose([found[i].score for i in ids], want, atol=1e-6)
+    judged = [i for i in ids if out[i]]
+    assert np.mean([found[i].predicted == label[i] for i in judged]) > 0.97
+
+
+def test_qda_odd_rows_and_labels(spark, docs_of):
+    labels = spark.createDataFrame([(3, 0, 0), (4, 1, 0), (4, 1, 0), (5, None, 0), (None, 1, 0), (999, 1, 0)],
+                                   "doc_id bigint, quality int, toxic int")
+    docs = docs_of(ODD)
+    rows = quality_scores(docs, labels).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    none = quality_scores(docs, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5} and drop_low_quality(docs, labels.limit(0)).count() == len(ODD)
+    assert quality_scores(docs_of([]), labels).count() == 0
+    assert drop_low_quality(docs, labels).columns == docs.columns
+
+
+def test_discriminant_of_constant_features():
+    d = len(FEATURES)
+    x = {c: np.tile(np.full(d, float(c)), (5, 1)) for c in (0, 1)}
+    model = Discriminant.from_moments([5.0, 5.0], [x[c].sum(0) for c in (0, 1)], [x[c].T @ x[c] for c in (0, 1)])
+    assert model.score(np.array([np.zeros(d), np.ones(d)])).round().tolist() == [0, 1]
+
+
+def test_rules_odd_rows(docs_of):
+    rows = quality_rules(docs_of(ODD)).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD)
+    by = {r.doc_id: r for r in rows if r.doc_id not in (None, 4)}
+    assert (by[1].n_words, by[1].word_chars, by[1].base_failed, by[1].kept) == (0, 0, True, False)
+    assert (by[3].n_words, by[3].n_dup_lines) == (0, 0)
+    assert (by[6].n_words, by[6].word_chars) == (8, 31)
+    assert (by[7].word_chars, by[8].n_words, by[8].n_repeat_words) == (200_000, 60_000, 60_000)
+    assert (by[9].n_dup_lines, by[9].n_repeat_words) == (1, 0)
+    assert quality_rules(docs_of([])).count() == 0
+
+
+def test_rules_fences_follow_language_and_source(docs_of):
+    """A source whose every text is loud keeps its own; the same text stands out elsewhere."""
+    calm = " ".join(f"word{i % 7}x{i}" for i in range(40))
+    loud = " ".join(f"w{i}##x{i}" for i in range(40))
+    rows = [(i, calm + f" e{i}", "en", "calm") for i in range(150)] + [(1000 + i, loud + f" e{i}", "en", "loud") for i in range(150)]
+    rows += [(5000, loud, "en", "calm"), (5001, loud, "en", None), (5002, calm, None, None)]
+    kept = {r.doc_id: r.kept for r in quality_rules(docs_of(rows)).collect()}
+    assert all(kept[i] for i in range(150)) and all(kept[1000 + i] for i in range(150))
+    assert not kept[5000] and kept[5002]
+
+
+def test_bin_top(spark):
+    values = [0, 1, 31, 32, 33, 34, 63, 64, 1000, 12345, 10**9]
+    got = [r.t for r in spark.createDataFrame([(v,) for v in values], "v bigint").select(bin_top("v").alias("t")).collect()]
+    assert all(v <= t <= v + v // 16 for v, t in zip(values, got)) and got[:3] == [0, 1, 31] and got[3] == got[4] == 33
+
+
+def raked(cells, targets, sweeps=400):
+    w = {k: v / sum(cells.values()) for k, v in cells.items()}
+    for _ in range(sweeps):
+        for d, t in enumerate(targets):
+            for v, share in t.items():
+                has = sum(x for k, x in w.items() if k[d] == v)
+                w.update({k: x * share / has for k, x in w.items() if k[d] == v and has})
+    return w
+
+
+def test_raking_equals_brute_force(spark):
+    cells = {(s, l, t): float(1 + 3 * i + 5 * j + 7 * k + (i * j * k) ** 2)
+             for i, s in enumerate("abc") for j, l in enumerate("xy") for k, t in enumerate("pqr")}
+    targets = [{"a": 0.5, "b": 0.3, "c": 0.2}, {"x": 0.9, "y": 0.1}, {"p": 0.2, "q": 0.2, "r": 0.6}]
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, topic string, tokens double")
+    got = {(r.source, r.lang, r.topic): r.weight
+           for r in rake(df, dict(zip(("source", "lang", "topic"), targets)), tolerance=1e-7).collect()}
+    want = raked(cells, targets)
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
+
+
+def test_mixture_follows_its_targets(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = mixture(docs, {"lang": {"en": 0.4, "de": 0.3}}, sample_share=0.3).collect()
+    total = sum(r.n_tokens for r in rows)
+    by_lang = Counter()
+    for r in rows:
+        by_lang[r.lang] += r.n_tokens * r.weight / total
+        assert 0 <= r.probability <= 1
+    assert by_lang["en"] == pytest.approx(0.4, abs=0.01) and by_lang["de"] == pytest.approx(0.3, abs=0.01)
+    assert sum(r.n_tokens * r.probability for r in rows) == pytest.approx(0.3 * total, rel=0.02)
+    assert {r.doc_id for r in sample_mixture(docs, {"lang": {"en": 0.4, "de": 0.3}}, sample_share=0.3).collect()} \
+        == {r.doc_id for r in rows if r.sampled}
+
+
+def test_mixture_odd_rows(docs_of):
+    rows = [(*r, "en" if i % 2 else None, f"s{i % 3}" if i % 4 else None) for i, r in enumerate(ODD)]
+    got = mixture(docs_of(rows)).collect()
+    assert Counter((r.doc_id, r.lang, r.source) for r in got) == Counter((r[0], r[2], r[3]) for r in rows)
+    assert all(0 <= r.probability <= 1 for r in got)
+    assert len({r.sampled for r in got if r.doc_id is None}) >= 1
+    assert mixture(docs_of([])).count() == 0 == sample_mixture(docs_of([])).count()
+    blank = mixture(docs_of([(1, None), (2, " ")])).collect()
+    assert {(r.n_tokens, r.weight) for r in blank} == {(0, 1.0)}
+
+
+def test_mixture_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = ({r.doc_id for r in sample_mixture(d, sample_share=0.5).collect()} for d in (docs, docs.repartition(7, F.col("text"))))
+    assert a == b and 0 < len(a) < docs.count()
