@@ -75,7 +75,7 @@ def test_rules_odd_rows(docs_of):
     assert (by[3].n_words, by[3].n_dup_lines) == (0, 0)
     assert (by[6].n_words, by[6].word_chars) == (8, 31)
     assert (by[7].word_chars, by[8].n_words, by[8].n_repeat_words) == (200_000, 60_000, 60_000)
-    assert (by[9].n_dup_lines, by[9].n_repeat_words) == (1, 0)
+    assert (by[9].n_dup_lines, by[9].n_repeat_words) == (2, 9)
     assert quality_rules(docs_of([])).count() == 0
 
 
