@@ -6,7 +6,6 @@ sources    typed scans of the entity, transaction, label and request tables, and
 functions  column-level building blocks (encodings, list text, pair expressions, keyed draws)
 operators  relational operators: features, labels, pairs, recommendations, metrics, models
 plans      end-to-end jobs, the query catalogue and the SQL oracles used for checking
-streaming  intentionally empty (the modelled workload is batch only)
 """
 
 from affinity.session import get_spark, checkpoint_dir

@@ -9,8 +9,10 @@ Shape of the work at scale
   therefore pre-combined in every map task before the shuffle.
 * Product features are ONE aggregate keyed by product: price mean / std,
   popularity and buyer-demographic mean / std.
-* The product attribute table and the encoded customer table are joined
-  with a checked broadcast (see ``joins.join_dimension``).
+* The product attribute table and the encoded customer table are joined with
+  the columns needed only. No hint is given: Spark broadcasts a side whose
+  measured bytes are within ``spark.sql.autoBroadcastJoinThreshold`` and
+  otherwise shuffles, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from pyspark.sql import functions as F
 
 from affinity.functions.encode import encode_customers
 from affinity.functions.pairs import DEMOGRAPHICS, FAVOURITES, unit_if_zero
-from affinity.operators.joins import join_dimension
 
 ATTRIBUTES = [f.attribute for f in FAVOURITES]
 TOP_COLUMNS = [f.top for f in FAVOURITES]
@@ -34,12 +35,9 @@ def product_attributes(products: DataFrame) -> DataFrame:
     return products.select("product_id", *ATTRIBUTES)
 
 
-def expand_transactions(tx: DataFrame, customers: DataFrame, products: DataFrame,
-                        customer_rows: int | None = None, product_rows: int | None = None) -> DataFrame:
+def expand_transactions(tx: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Transactions with encoded customer and raw product columns."""
-    enc = encode_customers(customers)
-    out = join_dimension(tx, enc, "customer_id", "left", customer_rows)
-    return join_dimension(out, products, "product_id", "left", product_rows)
+    return tx.join(encode_customers(customers), "customer_id", "left").join(products, "product_id", "left")
 
 
 def _known_customers(tx: DataFrame) -> DataFrame:
@@ -47,10 +45,10 @@ def _known_customers(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("customer_id").isNotNull())
 
 
-def attribute_counts(tx: DataFrame, products: DataFrame, product_rows: int | None = None) -> DataFrame:
+def attribute_counts(tx: DataFrame, products: DataFrame) -> DataFrame:
     """Purchases per (customer, attribute, value), long form, values as text (A1)."""
-    txp = join_dimension(_known_customers(tx).select("customer_id", "product_id"),
-                         product_attributes(products), "product_id", "left", product_rows)
+    txp = _known_customers(tx).select("customer_id", "product_id").join(
+        product_attributes(products), "product_id", "left")
     longf = txp.select("customer_id", *[F.col(a).cast("string").alias(a) for a in ATTRIBUTES]).unpivot(
         ["customer_id"], ATTRIBUTES, "attribute", "value")
     return (longf.where(F.col("value").isNotNull())
@@ -87,11 +85,10 @@ def _with_closed_domain(df: DataFrame, products: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in TOP_COLUMNS], *cols)
 
 
-def favourites(tx: DataFrame, products: DataFrame, product_rows: int | None = None,
-               closed_domain: bool = True) -> DataFrame:
+def favourites(tx: DataFrame, products: DataFrame, closed_domain: bool = True) -> DataFrame:
     """Favourite value of each attribute per customer (A2, with A2z unless disabled)."""
-    txp = join_dimension(_known_customers(tx).select("customer_id", "product_id"),
-                         product_attributes(products), "product_id", "left", product_rows)
+    txp = _known_customers(tx).select("customer_id", "product_id").join(
+        product_attributes(products), "product_id", "left")
     out = txp.groupBy("customer_id").agg(*[F.mode(f.attribute, True).alias(f.top) for f in FAVOURITES])
     return _with_closed_domain(out, products) if closed_domain else out
 
@@ -101,30 +98,19 @@ def customer_rfm(tx: DataFrame) -> DataFrame:
     return _known_customers(tx).groupBy("customer_id").agg(*_rfm_aggs())
 
 
-def exact_sum(col: str):
-    """Sum of a double column that does not depend on partitioning or row order.
-
-    Values are added as decimal(38,10) (exact for values with up to 10
-    decimals, such as money) and the total is converted to double once.
-    Plain double sums differ in the last bits between runs with different
-    partitioning; these do not.
-    """
-    return F.sum(F.col(col).try_cast("decimal(38,10)")).cast("double")
-
-
 def _rfm_aggs():
     return [
         F.max("time_date").alias("last_purchase_date"),
         F.min("time_date").alias("first_purchase_date"),
         F.count(F.lit(1)).alias("total_purchases"),
-        F.coalesce(exact_sum("price"), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_spent"),
     ]
 
 
-def customer_features(tx: DataFrame, products: DataFrame, product_rows: int | None = None) -> DataFrame:
+def customer_features(tx: DataFrame, products: DataFrame) -> DataFrame:
     """All customer features in one customer-keyed aggregate (Q1; J4 folded away)."""
-    txp = join_dimension(_known_customers(tx).select("customer_id", "product_id", "time_date", "price"),
-                         product_attributes(products), "product_id", "left", product_rows)
+    txp = _known_customers(tx).select("customer_id", "product_id", "time_date", "price").join(
+        product_attributes(products), "product_id", "left")
     out = txp.groupBy("customer_id").agg(
         *_rfm_aggs(), *[F.mode(f.attribute, True).alias(f.top) for f in FAVOURITES])
     return _with_closed_domain(out, products).select("customer_id", *CUSTOMER_FEATURE_COLUMNS)
@@ -138,7 +124,7 @@ def product_price_stats(tx: DataFrame) -> DataFrame:
 
 def _price_aggs():
     return [
-        (exact_sum("price") / F.count("price")).alias("average_price"),
+        F.avg("price").alias("average_price"),
         F.stddev_samp("price").alias("price_std"),
         F.count(F.lit(1)).alias("popularity"),
     ]
@@ -151,10 +137,10 @@ def _buyer_aggs():
     return out
 
 
-def _buyers(tx: DataFrame, customers: DataFrame, customer_rows: int | None) -> DataFrame:
+def _buyers(tx: DataFrame, customers: DataFrame) -> DataFrame:
     enc = encode_customers(customers).select("customer_id", *DEMOGRAPHIC_COLUMNS)
-    return join_dimension(tx.where(F.col("product_id").isNotNull()).select("product_id", "customer_id", "price"),
-                          enc, "customer_id", "left", customer_rows)
+    return tx.where(F.col("product_id").isNotNull()).select("product_id", "customer_id", "price").join(
+        enc, "customer_id", "left")
 
 
 def _unit_stds(df: DataFrame) -> DataFrame:
@@ -162,14 +148,14 @@ def _unit_stds(df: DataFrame) -> DataFrame:
     return df.select(*[unit_if_zero(F.col(c)).alias(c) if c in stds else F.col(c) for c in df.columns])
 
 
-def product_buyer_stats(tx: DataFrame, customers: DataFrame, customer_rows: int | None = None) -> DataFrame:
+def product_buyer_stats(tx: DataFrame, customers: DataFrame) -> DataFrame:
     """Mean and sample std of buyer demographics per product, zero std -> 1."""
-    return _unit_stds(_buyers(tx, customers, customer_rows).groupBy("product_id").agg(*_buyer_aggs()))
+    return _unit_stds(_buyers(tx, customers).groupBy("product_id").agg(*_buyer_aggs()))
 
 
-def product_features(tx: DataFrame, customers: DataFrame, customer_rows: int | None = None) -> DataFrame:
+def product_features(tx: DataFrame, customers: DataFrame) -> DataFrame:
     """All product features in one product-keyed aggregate (Q2; J5 folded away)."""
-    out = _buyers(tx, customers, customer_rows).groupBy("product_id").agg(*_price_aggs(), *_buyer_aggs())
+    out = _buyers(tx, customers).groupBy("product_id").agg(*_price_aggs(), *_buyer_aggs())
     return _unit_stds(out).select("product_id", *PRODUCT_FEATURE_COLUMNS)
 
 

@@ -16,20 +16,12 @@ from pyspark.sql import functions as F
 
 from affinity.functions.draws import hash60, key_text, uniform_index
 from affinity.functions.lists import parse_id_list
-from affinity.operators.joins import join_dimension
 from affinity.sources.schemas import LABEL_COL
 
 SEED = 73
+#: buckets of the product numbering. The numbering, and with it every draw, depends on it: it is never derived from
+#: the data. Raise it where a bucket (products / buckets) outgrows one task.
 NUMBERING_BUCKETS = 1024
-# products per numbering bucket above which more buckets are used (one window task per bucket)
-PRODUCTS_PER_BUCKET = 1_000_000
-
-
-def numbering_buckets(product_rows: int | None, minimum: int = NUMBERING_BUCKETS) -> int:
-    """Bucket count for ``number_products``: ``minimum``, or more for very large product tables."""
-    if product_rows is None:
-        return minimum
-    return max(minimum, -(-product_rows // PRODUCTS_PER_BUCKET))
 
 
 def explode_labels(lists: DataFrame) -> DataFrame:
@@ -63,28 +55,40 @@ def draw_key(seed: int) -> Column:
                     F.col("product_id"), F.col("item_key"))
 
 
-def sample_negatives(positives: DataFrame, products: DataFrame, seed: int = SEED,
-                     product_rows: int | None = None, buckets: int | None = None) -> DataFrame:
-    """One uniformly drawn product per positive row, label 0.
+def with_negatives(positives: DataFrame, products: DataFrame, seed: int = SEED,
+                   buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+    """Positive rows with ``negative``: one uniformly drawn product each.
 
     Follows the reference: the draw may hit one of the customer's own
     positives. The draw joins the numbered products on the drawn index;
     indexes are uniform, so this join has no hot key.
     """
-    numbered = number_products(products, buckets or numbering_buckets(product_rows))
+    numbered = number_products(products, buckets).withColumnRenamed("product_id", "negative")
     n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
+    drawn = positives.withColumn("product_idx", uniform_index(draw_key(seed), n))
+    return drawn.join(numbered, "product_idx").drop("product_idx")
+
+
+def sample_negatives(positives: DataFrame, products: DataFrame, seed: int = SEED,
+                     buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+    """The negative of every positive row, label 0."""
     keep = [c for c in positives.columns if c != "product_id"]
-    drawn = positives.select(*keep, uniform_index(draw_key(seed), n).alias("product_idx"))
-    out = join_dimension(drawn, numbered, "product_idx", "inner", product_rows)
-    return out.select(*keep, "product_id").withColumn(LABEL_COL, F.lit(0))
+    out = with_negatives(positives, products, seed, buckets)
+    return out.select(*keep, F.col("negative").alias("product_id")).withColumn(LABEL_COL, F.lit(0))
 
 
 def labelled_pairs(positives: DataFrame, products: DataFrame, seed: int = SEED,
-                   product_rows: int | None = None) -> DataFrame:
-    """Positives (label 1) and their negatives (label 0), bag union."""
-    pos = positives.withColumn(LABEL_COL, F.lit(1))
-    neg = sample_negatives(positives, products, seed, product_rows)
-    return pos.unionByName(neg)
+                   buckets: int = NUMBERING_BUCKETS) -> DataFrame:
+    """Positives (label 1) and their negatives (label 0), bag union.
+
+    One pass: every row gets its negative beside its positive and is then
+    exploded into both, so the positives are computed once.
+    """
+    keep = [c for c in positives.columns if c != "product_id"]
+    both = F.array(F.struct(F.col("product_id").alias("product_id"), F.lit(1).alias(LABEL_COL)),
+                   F.struct(F.col("negative").alias("product_id"), F.lit(0).alias(LABEL_COL)))
+    return (with_negatives(positives, products, seed, buckets)
+            .select(*keep, F.inline(both)).select(*positives.columns, LABEL_COL))
 
 
 # ----------------------------------------------------------------- strict negatives
@@ -92,49 +96,48 @@ def labelled_pairs(positives: DataFrame, products: DataFrame, seed: int = SEED,
 ROW_KEY = ["split", "time_date", "customer_id", "item_key"]
 
 
-def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED,
-                            product_rows: int | None = None, per_round: int = 4,
-                            buckets: int | None = None) -> DataFrame:
+def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED, per_round: int = 4,
+                            buckets: int = NUMBERING_BUCKETS) -> DataFrame:
     """One negative per positive row that is never one of the customer's positives in that split.
 
     Exact rejection sampling: draw number j of a row is the keyed draw of
     (row, j); the negative is the product of the smallest j that is not a
-    positive of the customer. Draws are made ``per_round`` at a time for the
-    rows still unresolved, so the number of rounds follows the data (for a
-    customer owning a fraction f of all products a round fails with
-    probability f ** per_round), and no draw count is capped. Each round's
-    unresolved rows are checkpointed into the shared checkpoint folder. A
-    customer who bought every product has no valid negative; such rows are
-    kept with a null product.
+    positive of the customer. The result does not depend on how draws are
+    dealt into rounds. Round i makes ``per_round * 2**i`` draws for the rows
+    still unresolved, so a customer owning all products but one needs about
+    log2(products) rounds, and no draw count is capped. The customers' known
+    products and each round's open rows are written to the shared checkpoint
+    folder once. A customer who bought every product has no valid negative;
+    such rows are kept with a null product.
     """
     from affinity.session import checkpoint_dir
 
     checkpoint_dir(positives.sparkSession)
-    numbered = number_products(products, buckets or numbering_buckets(product_rows))
-    n = products.where(F.col("product_id").isNotNull()).select(F.count(F.lit(1))).scalar()
+    numbered = number_products(products, buckets).withColumnRenamed("product_id", "neg").checkpoint()
+    n = products.where(F.col("product_id").isNotNull()).count()
     known = (positives.where(F.col("product_id").isNotNull())
-             .select("split", "customer_id", F.col("product_id").alias("neg")).distinct())
-    per_customer = known.groupBy("split", "customer_id").agg(F.count(F.lit(1)).alias("n_known"))
+             .select("split", "customer_id", F.col("product_id").alias("neg")).distinct().checkpoint())
+    # products a customer can still be given: positives outside the product table don't narrow the choice
+    per_customer = known.join(numbered.select("neg"), "neg").groupBy("split", "customer_id").agg(
+        F.count(F.lit(1)).alias("n_known"))
     # identical positive rows share their draws: resolve each distinct row once, then join back
     rows = positives.select(*ROW_KEY, "product_id").distinct()
     impossible = (rows.join(per_customer, ["split", "customer_id"])
-                  .where(F.col("n_known") >= n).select(*ROW_KEY))
+                  .where(F.col("n_known") >= n).select(*ROW_KEY).checkpoint())
     pending = rows.join(impossible, ROW_KEY, "left_anti").checkpoint()
     found = []
-    lo = 0
+    first, draws_now = 0, per_round
     while pending.take(1):
         draws = pending.select(*ROW_KEY, "product_id",
-                               F.explode(F.sequence(F.lit(lo), F.lit(lo + per_round - 1))).alias("j"))
+                               F.explode(F.sequence(F.lit(first), F.lit(first + draws_now - 1))).alias("j"))
         draws = draws.select(*ROW_KEY, "j", uniform_index(
             key_text(F.lit(str(seed)), F.col("time_date"), F.col("customer_id"), F.col("product_id"),
-                     F.col("item_key"), F.col("j")), n).alias("product_idx"))
-        cand = join_dimension(draws, numbered, "product_idx", "inner", product_rows).withColumnRenamed(
-            "product_id", "neg")
-        ok = cand.join(known, ["split", "customer_id", "neg"], "left_anti")
+                     F.col("item_key"), F.col("j")), F.lit(n)).alias("product_idx"))
+        ok = draws.join(numbered, "product_idx").join(known, ["split", "customer_id", "neg"], "left_anti")
         hit = ok.groupBy(*ROW_KEY).agg(F.min_by("neg", "j").alias("product_id")).checkpoint()
         found.append(hit)
         pending = pending.join(hit.select(*ROW_KEY), ROW_KEY, "left_anti").checkpoint()
-        lo += per_round
+        first, draws_now = first + draws_now, 2 * draws_now
     resolved = impossible.withColumn("product_id", F.lit(None).cast("bigint"))
     for hit in found:
         resolved = resolved.unionByName(hit)

@@ -23,7 +23,7 @@ by a sentinel far outside every feature's range.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,7 +99,9 @@ class TreeParams:
     step_size: float = 0.08
     subsampling_rate: float = 0.9
     seed: int = 73
+    #: raised to the number of text values where there are more
     max_bins: int = 32
+    max_memory_mb: int = 1024
 
 
 def model_frame(training: DataFrame) -> DataFrame:
@@ -111,19 +113,35 @@ def model_frame(training: DataFrame) -> DataFrame:
     return training.select(*keep, *cols)
 
 
-def tree_pipeline(params: TreeParams = TreeParams()):
+def text_indexer():
+    """Codes of the text features by falling frequency, ties by value; unseen and missing text get one more."""
+    from pyspark.ml.feature import StringIndexer
+
+    return StringIndexer(inputCols=TEXT_FEATURES, outputCols=[c + "_idx" for c in TEXT_FEATURES], handleInvalid="keep")
+
+
+def model_frame_indexed(training: DataFrame) -> DataFrame:
+    """The model frame with its text codes, fitted on the training split."""
+    from affinity.session import checkpoint_dir
+
+    checkpoint_dir(training.sparkSession)
+    frame = model_frame(training).checkpoint()
+    return text_indexer().fit(frame.where(F.col("split") == "train")).transform(frame).drop(*TEXT_FEATURES)
+
+
+def tree_pipeline(params: TreeParams = TreeParams(), indexer=None):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
 
-    indexer = StringIndexer(inputCols=TEXT_FEATURES, outputCols=[c + "_idx" for c in TEXT_FEATURES],
-                            handleInvalid="keep")
+    indexer = indexer or text_indexer()
     assembler = VectorAssembler(
         inputCols=DATE_FEATURES + NUMERIC_FEATURES + [c + "_idx" for c in TEXT_FEATURES],
         outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol=LABEL_COL, featuresCol="features", maxIter=params.max_iter,
                         maxDepth=params.max_depth, stepSize=params.step_size,
-                        subsamplingRate=params.subsampling_rate, seed=params.seed, maxBins=params.max_bins)
+                        subsamplingRate=params.subsampling_rate, seed=params.seed, maxBins=params.max_bins,
+                        maxMemoryInMB=params.max_memory_mb, cacheNodeIds=True)
     return Pipeline(stages=[indexer, assembler, gbt])
 
 
@@ -133,12 +151,16 @@ def fit_trees(training: DataFrame, params: TreeParams = TreeParams()):
     The learner reads its input several times (split points, binning, the
     boosting rounds), so the model frame is checkpointed once into the
     shared checkpoint folder: upstream joins run once and a lost executor
-    re-reads files instead of recomputing the lineage.
+    re-reads files instead of recomputing the lineage. A text feature is a
+    category of the trees, so there are at least as many bins as it has values.
     """
     from affinity.session import checkpoint_dir
 
     checkpoint_dir(training.sparkSession)
-    return tree_pipeline(params).fit(model_frame(training).checkpoint())
+    frame = model_frame(training).checkpoint()
+    indexer = text_indexer().fit(frame)
+    values = max(map(len, indexer.labelsArray)) + 1
+    return tree_pipeline(replace(params, max_bins=max(params.max_bins, values)), indexer).fit(frame)
 
 
 def tree_scores(model, frame: DataFrame) -> DataFrame:
@@ -165,7 +187,8 @@ def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed:
                   parallelism: int = 2, grid: dict | None = None):
     """Randomised search: ``n_configs`` settings sampled from a grid, k-fold CV on AUC (M4).
 
-    Returns the fitted ``CrossValidatorModel``; ``avgMetrics`` lines up with
+    A row's fold is a keyed draw from its own values, so folds don't depend on
+    row order or partitioning. Returns the fitted ``CrossValidatorModel``; ``avgMetrics`` lines up with
     ``getEstimatorParamMaps()``.
     """
     import random
@@ -173,7 +196,16 @@ def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed:
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    pipe = tree_pipeline()
+    from affinity.functions.draws import hash60, key_text
+    from affinity.session import checkpoint_dir
+
+    checkpoint_dir(training.sparkSession)
+    frame = model_frame(training)
+    frame = frame.withColumn("fold", F.pmod(hash60(key_text(F.lit(seed), *[F.col(c) for c in frame.columns])),
+                                            F.lit(folds)).cast("int")).checkpoint()
+    indexer = text_indexer().fit(frame)
+    values = max(map(len, indexer.labelsArray)) + 1
+    pipe = tree_pipeline(TreeParams(max_bins=max(TreeParams().max_bins, values)), indexer)
     gbt = pipe.getStages()[-1]
     grid = grid or {"maxIter": [20, 50, 100], "maxDepth": [3, 5, 7], "stepSize": [0.05, 0.08, 0.1],
                     "subsamplingRate": [0.8, 0.9, 1.0]}
@@ -183,6 +215,6 @@ def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed:
     maps = builder.build()
     chosen = random.Random(seed).sample(maps, min(n_configs, len(maps)))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=chosen, numFolds=folds, seed=seed,
-                        parallelism=parallelism,
+                        parallelism=parallelism, foldCol="fold",
                         evaluator=BinaryClassificationEvaluator(labelCol=LABEL_COL, metricName="areaUnderROC"))
-    return cv.fit(model_frame(training))
+    return cv.fit(frame)

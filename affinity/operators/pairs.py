@@ -2,8 +2,9 @@
 
 The pair rows are joined to the customer side and to the product side
 after negatives are drawn, so that wide rows are never copied before the
-draw. The customer join is a shuffle join on customer_id (AQE splits a hot
-customer); the product side is joined with a checked broadcast.
+draw. Both joins are on a unique entity key with the columns the pairs need;
+Spark picks broadcast or shuffle from measured bytes, and AQE splits a hot
+customer or product of a shuffle join.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.pairs import DEMOGRAPHICS, FAVOURITES, match_flag, standardised_difference
-from affinity.operators.joins import join_dimension
 from affinity.sources.schemas import LABEL_COL
 
 MATCHES = [f.match for f in FAVOURITES]
@@ -43,23 +43,16 @@ def with_pair_features(df: DataFrame) -> DataFrame:
     return df.select("*", *match_columns(), *difference_columns())
 
 
-def attach_entities(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
-                    product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
-    """Pairs left-joined to customer (J6) and product (J7) columns.
-
-    Each side has one row per entity of its source table, so the source row
-    counts bound them for the broadcast check.
-    """
-    out = join_dimension(pairs, customers_wf, "customer_id", "left", customer_rows)
-    return join_dimension(out, products_wf, "product_id", "left", product_rows)
+def attach_entities(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame) -> DataFrame:
+    """Pairs left-joined to customer (J6) and product (J7) columns."""
+    return pairs.join(customers_wf, "customer_id", "left").join(products_wf, "product_id", "left")
 
 
-def training_set(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
-                 product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
+def training_set(pairs: DataFrame, customers_wf: DataFrame, products_wf: DataFrame) -> DataFrame:
     """The model frame: keys, label, 9 entity features and 16 pair features.
 
     ``split`` is carried along when present, so both splits are one DataFrame.
     """
-    wide = with_pair_features(attach_entities(pairs, customers_wf, products_wf, product_rows, customer_rows))
+    wide = with_pair_features(attach_entities(pairs, customers_wf, products_wf))
     lead = ["split"] if "split" in pairs.columns else []
     return wide.select(*lead, *TRAINING_COLUMNS)

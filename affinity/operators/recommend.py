@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from affinity.functions.lists import format_id_list, parse_id_list
 from affinity.functions.pairs import FAVOURITES, match_flag
-from affinity.operators.joins import join_dimension
 from affinity.operators.model import AffinityScorer, probability
+from affinity.session import stored
 
 TOP_K = 12
 GLOBAL = "*"  # attribute / value key of the global top-k list
@@ -54,48 +54,56 @@ def product_candidates(products_wf: DataFrame, scorer: AffinityScorer, k: int =
     return keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
 
 
-def customer_keys(requests: DataFrame, customers_wf: DataFrame, scorer: AffinityScorer,
-                  customer_rows: int | None = None) -> DataFrame:
-    """Distinct requested customers with their term c and favourite keys (one row per key).
+def requested_customers(requests: DataFrame, customers_wf: DataFrame, scorer: AffinityScorer) -> DataFrame:
+    """Distinct requested customers with their term c and favourites.
 
     Each request turns into up to 12 x k candidate rows downstream, so the
     request rows are hash-partitioned by customer into the session's
     configured number of shuffle partitions. A size-based coalesce would see
     only the small request table and put the whole candidate fan-out in a few
-    tasks. The candidate join, scoring and the per-customer ranking then run
-    on this partitioning without another exchange.
+    tasks. The customer columns are shuffled to the same partitioning (no side
+    goes through the driver), and with broadcast candidate lists the candidate
+    join, scoring and the per-customer ranking run on it without another
+    exchange.
     """
     n = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     req = (requests.select("customer_id").where(F.col("customer_id").isNotNull())
            .repartition(n, "customer_id").dropDuplicates(["customer_id"]))
     side = customers_wf.select("customer_id", "total_purchases", *TOPS)
-    cust = join_dimension(req, side, "customer_id", "left", customer_rows).select(
+    return req.join(side.hint("merge"), "customer_id", "left").select(
         "customer_id", scorer.customer_term(F.col("total_purchases")).alias("c"),
         *[F.col(t).cast("string").alias(t) for t in TOPS])
+
+
+def customer_keys(cust: DataFrame) -> DataFrame:
+    """One row per favourite (attribute, value) of a requested customer, and one for the global list."""
     keys = F.array(F.struct(F.lit(GLOBAL).alias("attribute"), F.lit(GLOBAL).alias("value")),
                    *[F.struct(F.lit(f.attribute).alias("attribute"), F.col(f.top).alias("value")) for f in FAVOURITES])
     return (cust.select("*", F.explode(keys).alias("key"))
             .select("*", "key.attribute", "key.value").drop("key").where(F.col("value").isNotNull()))
 
 
+def candidate_rows(requests: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
+                   scorer: AffinityScorer = AffinityScorer(), k: int = TOP_K) -> DataFrame:
+    """Every candidate of every requested customer: customer_id, product_id, g, logit."""
+    # The lists are written once, so their bytes are known when the join is planned: within Spark's
+    # broadcast threshold they are broadcast, beyond it the join shuffles and AQE splits its hot keys
+    # (the global key, values of low-cardinality attributes) on the customer side.
+    cands = stored(product_candidates(products_wf, scorer, k), "candidates")
+    keys = customer_keys(requested_customers(requests, customers_wf, scorer))
+    joined = keys.join(cands, ["attribute", "value"])
+    matches = {f.attribute: match_flag(F.col(f.top), F.col(f.attribute).cast("string")) for f in FAVOURITES}
+    return joined.select("customer_id", "product_id", "g",
+                         scorer.logit(F.col("c"), F.col("g"), scorer.match_bonus(matches)).alias("logit"))
+
+
 def ranked_candidates(requests: DataFrame, customers_wf: DataFrame, products_wf: DataFrame,
-                      scorer: AffinityScorer = AffinityScorer(), k: int = TOP_K,
-                      product_rows: int | None = None, customer_rows: int | None = None) -> DataFrame:
+                      scorer: AffinityScorer = AffinityScorer(), k: int = TOP_K) -> DataFrame:
     """The top-k (logit >= 0) per requested customer, long form.
 
     Columns: customer_id, rank (1..k), product_id, logit, probability.
     """
-    # Each product appears at most once per key (11 attributes + the global key), so
-    # 12 x product rows bounds the lists; they are broadcast when that bound is within the
-    # limit. Past it the join is a shuffle join whose hot keys (the global key, values of
-    # low-cardinality attributes) AQE splits on the customer side.
-    cands = product_candidates(products_wf, scorer, k)
-    bound = None if product_rows is None else (len(ATTRIBUTES) + 1) * product_rows
-    keys = customer_keys(requests, customers_wf, scorer, customer_rows)
-    joined = join_dimension(keys, cands, ["attribute", "value"], "inner", bound)
-    matches = {f.attribute: match_flag(F.col(f.top), F.col(f.attribute).cast("string")) for f in FAVOURITES}
-    scored = joined.select("customer_id", "product_id", "g",
-                           scorer.logit(F.col("c"), F.col("g"), scorer.match_bonus(matches)).alias("logit"))
+    scored = candidate_rows(requests, customers_wf, products_wf, scorer, k)
     # one product can arrive through several keys with identical rows: dense_rank gives them one rank
     w = Window.partitionBy("customer_id").orderBy(F.col("logit").desc(), F.col("g").desc(), F.col("product_id").asc())
     top = (scored.where(F.col("logit") >= 0)
@@ -121,8 +129,13 @@ def prediction_lines(recs: DataFrame) -> DataFrame:
                                 format_id_list(F.col("list_product_id"), ", ")).alias("line"))
 
 
-def submission(lines: DataFrame) -> DataFrame:
-    """Predictions text -> submission rows ``(customer_id, '[a b]')``."""
+def submission(recs: DataFrame) -> DataFrame:
+    """Recommendations -> submission rows ``(customer_id, '[a b]')`` (P5, Q7)."""
+    return recs.select("customer_id", format_id_list(F.col("list_product_id"), " ").alias("list_product_id"))
+
+
+def parse_prediction_lines(lines: DataFrame) -> DataFrame:
+    """Predictions text -> submission rows, for predictions that exist as text only."""
     parts = F.split(F.col("line"), ",", 2)
     return lines.select(parts[0].cast("bigint").alias("customer_id"),
                         format_id_list(parse_id_list(parts[1]), " ").alias("list_product_id"))

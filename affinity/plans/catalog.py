@@ -8,7 +8,9 @@ Lists are emitted as ``[a b]`` text.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from affinity.functions.encode import encode_customers
 from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
 from affinity.operators import labels, metrics, pairs, recommend
-from affinity.operators.model import AffinityScorer, TreeParams, fit_trees, tree_scores
+from affinity.operators.model import AffinityScorer, TreeParams, fit_trees, model_frame_indexed, tree_scores
 from affinity.session import checkpoint_dir
 from affinity.sources import tables
 from affinity.sources.schemas import LABEL_COL
@@ -27,31 +29,46 @@ DECIMALS = 6
 
 
 def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), decimals).alias(f.name)
+    # rounded twice: the first snaps what summing in another order changes, so that exact halves go one way
+    return df.select(*[F.round(F.round(F.col(f.name), decimals + 3), decimals).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Purchase dates as ISO text where they may be missing (engines render a missing date differently)."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ("last_purchase_date", "first_purchase_date")})
+
+
 class Inputs:
-    """Source tables of one scale directory, the derived tables, and row bounds for broadcast checks."""
+    """Source tables of one scale directory and the tables derived from them.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, scorer: AffinityScorer | None = None):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``as_of``, features are computed from transactions before that day
+    only; the default follows the reference, which sets no bound.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, scorer: AffinityScorer | None = None,
+                 as_of: datetime.date | None = None):
+        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.scorer = scorer or AffinityScorer()
 
-    customers = property(lambda self: tables.customers(self.spark, self.sf_dir))
-    products = property(lambda self: tables.products(self.spark, self.sf_dir))
-    tx = property(lambda self: tables.transactions(self.spark, self.sf_dir))
-    requests = property(lambda self: tables.requests(self.spark, self.sf_dir))
-    positives = property(lambda self: tables.label_items(self.spark, self.sf_dir))
-    customer_rows = property(lambda self: tables.table_rows(self.spark, self.sf_dir, "customer"))
-    product_rows = property(lambda self: tables.table_rows(self.spark, self.sf_dir, "part"))
+    # one DataFrame per table: the scans are planned once
+    customers = cached_property(lambda self: tables.customers(self.spark, self.sf_dir))
+    products = cached_property(lambda self: tables.products(self.spark, self.sf_dir))
+    all_tx = cached_property(lambda self: tables.transactions(self.spark, self.sf_dir))
+    requests = cached_property(lambda self: tables.requests(self.spark, self.sf_dir))
+    positives = cached_property(lambda self: tables.label_items(self.spark, self.sf_dir))
+
+    @property
+    def tx(self):
+        """Transactions that features may see: all, or those before ``as_of``."""
+        return self.all_tx if self.as_of is None else self.all_tx.where(F.col("time_date") < F.lit(self.as_of))
 
     def customer_features(self):
-        return feat.customer_features(self.tx, self.products, self.product_rows)
+        return feat.customer_features(self.tx, self.products)
 
     def product_features(self):
-        return feat.product_features(self.tx, self.customers, self.customer_rows)
+        return feat.product_features(self.tx, self.customers)
 
     def customers_wf(self):
         return feat.customers_with_features(self.customers, self.customer_features())
@@ -60,16 +77,16 @@ class Inputs:
         return feat.products_with_features(self.products, self.product_features())
 
     def labelled(self):
-        return labels.labelled_pairs(self.positives, self.products, product_rows=self.product_rows)
+        return labels.labelled_pairs(self.positives, self.products)
 
     def training_set(self):
-        return pairs.training_set(self.labelled(), self.customers_wf(), self.products_wf(), self.product_rows,
-                                  self.customer_rows)
+        return pairs.training_set(self.labelled(), self.customers_wf(), self.products_wf())
+
+    def ranking_inputs(self):
+        return self.requests, self.customers_wf(), self.products_wf(), self.scorer
 
     def ranked(self):
-        return recommend.ranked_candidates(self.requests, self.customers_wf(), self.products_wf(),
-                                           self.scorer, product_rows=self.product_rows,
-                                           customer_rows=self.customer_rows)
+        return recommend.ranked_candidates(*self.ranking_inputs())
 
     def recommendations(self):
         return recommend.recommendations(self.requests, self.ranked())
@@ -107,27 +124,27 @@ def transactions(i):
 
 @_q
 def expanded_transactions(i):
-    return feat.expand_transactions(i.tx, i.customers, i.products, i.customer_rows, i.product_rows)
+    return feat.expand_transactions(i.tx, i.customers, i.products)
 
 
 @_q
 def attribute_counts(i):
-    return feat.attribute_counts(i.tx, i.products, i.product_rows)
+    return feat.attribute_counts(i.tx, i.products)
 
 
 @_q
 def favourites(i):
-    return feat.favourites(i.tx, i.products, i.product_rows)
+    return feat.favourites(i.tx, i.products)
 
 
 @_q
 def favourites_observed(i):
-    return feat.favourites(i.tx, i.products, i.product_rows, closed_domain=False)
+    return feat.favourites(i.tx, i.products, closed_domain=False)
 
 
 @_q
 def favourites_rownumber(i):
-    return feat.favourites_rownumber(feat.attribute_counts(i.tx, i.products, i.product_rows), i.products)
+    return feat.favourites_rownumber(feat.attribute_counts(i.tx, i.products), i.products)
 
 
 @_q
@@ -142,7 +159,7 @@ def product_price_stats(i):
 
 @_q
 def product_buyer_stats(i):
-    return rounded(feat.product_buyer_stats(i.tx, i.customers, i.customer_rows))
+    return rounded(feat.product_buyer_stats(i.tx, i.customers))
 
 
 @_q
@@ -157,7 +174,7 @@ def product_features(i):
 
 @_q
 def customers_with_features(i):
-    return rounded(i.customers_wf())
+    return dates_as_text(rounded(i.customers_wf()))
 
 
 @_q
@@ -177,12 +194,12 @@ def label_positives(i):
 
 @_q
 def label_negatives(i):
-    return labels.sample_negatives(i.positives, i.products, product_rows=i.product_rows)
+    return labels.sample_negatives(i.positives, i.products)
 
 
 @_q
 def label_negatives_strict(i):
-    return labels.sample_negatives_strict(i.positives, i.products, product_rows=i.product_rows)
+    return labels.sample_negatives_strict(i.positives, i.products)
 
 
 @_q
@@ -192,15 +209,14 @@ def labelled_pairs(i):
 
 @_q
 def pair_features(i):
-    wide = pairs.with_pair_features(pairs.attach_entities(i.labelled(), i.customers_wf(), i.products_wf(),
-                                                          i.product_rows, i.customer_rows))
+    wide = pairs.with_pair_features(pairs.attach_entities(i.labelled(), i.customers_wf(), i.products_wf()))
     return rounded(wide.select("split", "time_date", "customer_id", "product_id", "item_key", LABEL_COL,
                                *pairs.PAIR_FEATURES))
 
 
 @_q
 def training_set(i):
-    return rounded(i.training_set())
+    return dates_as_text(rounded(i.training_set()))
 
 
 @_q
@@ -216,7 +232,21 @@ def recommendations(i):
 
 @_q
 def submission(i):
-    return recommend.submission(recommend.prediction_lines(i.recommendations()))
+    return recommend.submission(i.recommendations())
+
+
+@_q
+def parsed_predictions(i):
+    return recommend.parse_prediction_lines(recommend.prediction_lines(i.recommendations()))
+
+
+def customer_features_as_of(spark, sf_dir):
+    return rounded(Inputs(spark, sf_dir, as_of=tables.SPLIT_DATE).customer_features())
+
+
+@_q
+def model_inputs(i):
+    return rounded(model_frame_indexed(i.training_set()))
 
 
 @_q
@@ -250,7 +280,7 @@ def _checkpointed_training_set(i):
 def gbt_scores(i):
     ts = _checkpointed_training_set(i)
     model = fit_trees(ts.where(F.col("split") == "train"), TreeParams())
-    return tree_scores(model, ts.where(F.col("split") == "val"))
+    return tree_scores(model, ts)
 
 
 @_q
@@ -265,6 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           attribute_counts, favourites, favourites_observed, favourites_rownumber, customer_rfm, product_price_stats,
           product_buyer_stats, customer_features, product_features, customers_with_features,
           products_with_features, product_numbering, label_positives, label_negatives, label_negatives_strict, labelled_pairs,
-          pair_features, training_set, topk, recommendations, submission, scored_pairs,
+          pair_features, training_set, topk, recommendations, submission, parsed_predictions,
+          customer_features_as_of, model_inputs, scored_pairs,
           confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report]
     return {q.__name__: q for q in qs}

@@ -19,8 +19,16 @@ R = 6  # decimals of double outputs, as in the Spark query wrappers
 
 def rnd(expr: str, decimals: int = R) -> str:
     """Round like Spark's ``round`` on doubles: HALF_UP on the shortest decimal form."""
-    return (f"cast(round(cast(cast(cast({expr} as double) as varchar) as decimal(38, 12)), {decimals}) "
-            f"as double)")
+    value = f"cast(cast(cast({expr} as double) as varchar) as decimal(38, 12))"
+    if decimals == R:
+        value = f"round({value}, {R + 3})"
+    return f"cast(round({value}, {decimals}) as double)"
+
+
+def ref(col: str) -> str:
+    """A key as transactions, labels and requests write it: multiples of 50 have no entity."""
+    return f"(case when {col} % 50 = 0 then {col} + 1000000000 else {col} end)"
+
 
 CUSTOMERS = """
 select c_custkey as customer_id,
@@ -51,8 +59,8 @@ select p_partkey as product_id, p_partkey - p_partkey % 4 as product_code, p_nam
        concat('garment ', substring(p_brand, 7)) as garment_group_name, p_name as detail_desc
 from part"""
 
-TRANSACTIONS = """
-select cast(o_orderdate as date) as time_date, o_custkey as customer_id, l_partkey as product_id,
+TRANSACTIONS = f"""
+select cast(o_orderdate as date) as time_date, {ref('o_custkey')} as customer_id, {ref('l_partkey')} as product_id,
        l_extendedprice as price, cast(1 + l_linenumber % 2 as integer) as sales_channel_id
 from lineitem join orders on l_orderkey = o_orderkey"""
 
@@ -108,7 +116,7 @@ def _favourite_select(closed_domain: bool = True) -> str:
 def customer_rfm() -> str:
     return f"""with {BASE_CTES}
 select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-       count(*) as total_purchases, {rnd('coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0)')} as total_spent
+       count(*) as total_purchases, {rnd('coalesce(sum(price), 0.0)')} as total_spent
 from tx where customer_id is not null group by customer_id"""
 
 
@@ -123,7 +131,7 @@ def customer_features() -> str:
     cols, joins = _favourite_select(True)
     return f"""with {BASE_CTES}, {_favourites_ctes()},
 rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-        count(*) as total_purchases, coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0) as total_spent
+        count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
         from tx where customer_id is not null group by customer_id)
 select customer_id, last_purchase_date, first_purchase_date, total_purchases,
        {rnd('total_spent')} as total_spent, {cols}
@@ -147,9 +155,12 @@ PRODUCT_DOUBLES = ["average_price", "price_std"] + [c for d in DEMOGRAPHICS for
 CUSTOMER_DOUBLES = ["FN", "active_status", "member_status", "news_frequency", "age", "total_spent"]
 
 
-def rounded_star(doubles: list[str], present: list[str] | None = None) -> str:
-    cols = [c for c in doubles if present is None or c in present]
-    return f"* replace ({', '.join(rnd(c) + ' as ' + c for c in cols)})"
+DATES = ["last_purchase_date", "first_purchase_date"]
+
+
+def rounded_star(doubles: list[str], dates: list[str] = ()) -> str:
+    parts = [f"{rnd(c)} as {c}" for c in doubles] + [f"cast({c} as varchar) as {c}" for c in dates]
+    return f"* replace ({', '.join(parts)})"
 
 
 def _buyers_cte() -> str:
@@ -159,7 +170,7 @@ def _buyers_cte() -> str:
 
 def product_price_stats() -> str:
     return f"""with {BASE_CTES}
-select product_id, {rnd('cast(sum(cast(price as decimal(38, 2))) as double) / count(price)')} as average_price, {rnd('stddev_samp(price)')} as price_std,
+select product_id, {rnd('avg(price)')} as average_price, {rnd('stddev_samp(price)')} as price_std,
        count(*) as popularity
 from tx where product_id is not null group by product_id"""
 
@@ -171,7 +182,7 @@ select {rounded_star(PRODUCT_DOUBLES[2:])} from (select product_id, {_stats_sele
 
 def _product_features_cte() -> str:
     return f"""{_buyers_cte()},
-pf as (select product_id, cast(sum(cast(price as decimal(38, 2))) as double) / count(price) as average_price, stddev_samp(price) as price_std,
+pf as (select product_id, avg(price) as average_price, stddev_samp(price) as price_std,
        count(*) as popularity, {_stats_select()} from buyers group by product_id)"""
 
 
@@ -179,7 +190,7 @@ def _customer_features_cte() -> str:
     cols, joins = _favourite_select(True)
     return f"""{_favourites_ctes()},
 rfm as (select customer_id, max(time_date) as last_purchase_date, min(time_date) as first_purchase_date,
-        count(*) as total_purchases, coalesce(cast(sum(cast(price as decimal(38, 2))) as double), 0.0) as total_spent
+        count(*) as total_purchases, coalesce(sum(price), 0.0) as total_spent
         from tx where customer_id is not null group by customer_id),
 cf as (select customer_id, last_purchase_date, first_purchase_date, total_purchases, total_spent, {cols}
        from rfm {joins})"""
@@ -227,11 +238,11 @@ numbered as (select product_id,
              cast(off + row_number() over (partition by bucket order by product_id) - 1 as bigint) as product_idx
              from ids join boff using (bucket))"""
 
-POSITIVES_CTE = f"""od as (select o_orderkey, o_custkey as customer_id, cast(o_orderdate as date) as time_date from orders),
+POSITIVES_CTE = f"""od as (select o_orderkey, {ref('o_custkey')} as customer_id, cast(o_orderdate as date) as time_date from orders),
 oj as (select * from od left join lineitem on l_orderkey = o_orderkey),
 positives as (
   select case when time_date < date '{SPLIT_DATE}' then 'train' else 'val' end as split, time_date, customer_id,
-         l_partkey as product_id,
+         {ref('l_partkey')} as product_id,
          concat_ws(':', cast(o_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar),
                    cast(l_suppkey as varchar)) as item_key
   from oj where l_partkey is not null
@@ -287,6 +298,20 @@ TRAINING_SELECT = ("split, time_date, customer_id, product_id, last_purchase_dat
                    f"price_std, popularity, {MATCHES}, {DIFFS}")
 
 
+# day numbers, 0 / 1 flags, the sentinel for what is missing, and codes by falling frequency in the training split
+_DAYS = ", ".join(f"coalesce(cast(date_diff('day', date '1970-01-01', {c}) as double), -1e9) as {c}"
+                  for c in ("time_date", "last_purchase_date", "first_purchase_date"))
+_NUMBERS = ", ".join([f"coalesce(cast({c} as double), -1e9) as {c}" for c in ("total_purchases", "popularity")]
+                     + [f"coalesce({rnd(c)}, -1e9) as {c}" for c in ("total_spent", "average_price", "price_std")]
+                     + [f"coalesce(cast({f.match} as double), -1e9) as {f.match}" for f in FAVOURITES]
+                     + [f"coalesce({rnd(d.difference)}, -1e9) as {d.difference}" for d in DEMO])
+MODEL_INPUTS = f""", codes as (select prod_group_name as g, row_number() over (order by count(*) desc, prod_group_name) - 1 as code
+  from pairs where split = 'train' and prod_group_name is not null group by prod_group_name)
+select split, customer_id, product_id, link_pred_baseline_target, {_DAYS}, {_NUMBERS},
+  cast(coalesce(code, (select count(*) from codes)) as double) as prod_group_name_idx
+from pairs left join codes on g = prod_group_name"""
+
+
 def _lit(x: float) -> str:
     return f"cast({float(x)!r} as double)"
 
@@ -313,11 +338,13 @@ scored2 as (select *, 1.0 / (1.0 + exp(-logit)) as probability from scored)"""
 
 def topk_cte(scorer, k: int = 12) -> str:
     c, g = _scorer_parts(scorer)
-    tops = ", ".join(f"cf.{f.top}" for f in FAVOURITES)
+    tops = ", ".join(f"cwf.{f.top}" for f in FAVOURITES)
     attrs = ", ".join(f"p.{f.attribute}" for f in FAVOURITES)
     bonus = _bonus(scorer, lambda f: f"rc.{f.top} = pb.{f.attribute}")
-    return f"""req as (select distinct c_custkey as customer_id from customer),
-rc as (select req.customer_id, {c} as c, {tops} from req left join cf using (customer_id)),
+    return f"""asked as (select {ref('c_custkey')} as customer_id from customer
+          union all select {ref('c_custkey')} from customer where c_custkey % 40 = 1),
+req as (select distinct customer_id from asked),
+rc as (select req.customer_id, {c} as c, {tops} from req left join cwf using (customer_id)),
 pb as (select p.product_id, {attrs}, {g} as g from products p left join pf using (product_id)),
 allpairs as (select rc.customer_id, pb.product_id, pb.g, {rnd('rc.c + pb.g + ' + bonus, 9)} as logit
              from rc cross join pb),
@@ -326,10 +353,10 @@ ranked as (select customer_id, product_id, logit,
            from allpairs where logit >= 0),
 topk as (select customer_id, cast(rank as integer) as rank, product_id, logit, 1.0 / (1.0 + exp(-logit)) as probability
          from ranked where rank <= {k}),
-recs as (select r.c_custkey as customer_id,
+recs as (select r.customer_id,
          '[' || coalesce((select string_agg(cast(t.product_id as varchar), ' ' order by t.rank)
-                           from topk t where t.customer_id = r.c_custkey), '') || ']' as list_product_id
-         from customer r)"""
+                           from topk t where t.customer_id = r.customer_id), '') || ']' as list_product_id
+         from asked r)"""
 
 
 def _confusion_cte() -> str:
@@ -389,7 +416,7 @@ def queries(scorer=None) -> dict[str, str]:
         "product_buyer_stats": product_buyer_stats(),
         "customer_features": customer_features(),
         "product_features": product_features(),
-        "customers_with_features": f"with {FEATURE_CTES}\nselect {rounded_star(CUSTOMER_DOUBLES)} from cwf",
+        "customers_with_features": f"with {FEATURE_CTES}\nselect {rounded_star(CUSTOMER_DOUBLES, DATES)} from cwf",
         "products_with_features": f"with {FEATURE_CTES}\nselect {rounded_star(PRODUCT_DOUBLES)} from pwf",
         "product_numbering": f"with {BASE_CTES}, {NUMBERING_CTE}\nselect * from numbered",
         "label_positives": f"with {BASE_CTES}, {POSITIVES_CTE}\nselect *, 1 as link_pred_baseline_target from positives",
@@ -399,11 +426,15 @@ def queries(scorer=None) -> dict[str, str]:
         "labelled_pairs": f"with {BASE_CTES}, {LABEL_CTES}\nselect * from labelled",
         "pair_features": training + f"select split, time_date, customer_id, product_id, item_key, "
                                     f"link_pred_baseline_target, {MATCHES}, {RDIFFS} from pairs",
-        "training_set": training + f"select {rounded_star(TRAINING_DOUBLES)} from (select {TRAINING_SELECT} from pairs)",
+        "training_set": training + f"select {rounded_star(TRAINING_DOUBLES, DATES)} from (select {TRAINING_SELECT} from pairs)",
         "topk": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect customer_id, rank, product_id, "
                 f"{rr('logit')}, {rr('probability')} from topk",
         "recommendations": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
         "submission": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
+        "parsed_predictions": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
+        "customer_features_as_of": customer_features().replace(
+            f"tx as ({TRANSACTIONS})", f"tx as (select * from ({TRANSACTIONS}) where time_date < date '{SPLIT_DATE}')"),
+        "model_inputs": training + MODEL_INPUTS,
         "scored_pairs": scoring + f"\nselect split, time_date, customer_id, product_id, link_pred_baseline_target, "
                                   f"{rr('logit')}, {rr('probability')} from scored2",
         "confusion_metrics": scoring + f",\n{_confusion_cte()}\nselect split, n, tp, fp, fn, tn, {rr('accuracy')}, "

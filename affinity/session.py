@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "affinity", master: str | None = None,
@@ -19,7 +20,6 @@ def get_spark(app: str = "affinity", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    cpus = os.cpu_count() or 8
     builder = (
         builder
         .config("spark.ui.enabled", "false")
@@ -28,9 +28,12 @@ def get_spark(app: str = "affinity", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 2 * cpus))
-        .config("spark.driver.memory", os.environ.get("AFFINITY_DRIVER_MEMORY", "16g"))
     )
+    # sizes belong to the cluster: a submitted value stays unless the caller names another
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if "AFFINITY_DRIVER_MEMORY" in os.environ:
+        builder = builder.config("spark.driver.memory", os.environ["AFFINITY_DRIVER_MEMORY"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -57,3 +60,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     # local runs and tests only: the driver is the only machine
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="affinity-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_checkpoints(spark: SparkSession) -> None:
+    """Delete this session's checkpoint folder; call it when no result depends on it any more."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        path = spark._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        sc.setCheckpointDir(current.rsplit("/", 1)[0])

@@ -25,11 +25,35 @@ def normalise_missing(col: Column, dtype: T.DataType) -> Column:
     return typed
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("nullValue", None)
-           .option("emptyValue", "").schema(as_text).csv(path))
-    return raw.select([normalise_missing(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` as text, taken by their names in the header.
+
+    Quotes are doubled inside quoted text, and quoted text may hold commas and
+    line breaks. Columns beyond the schema are left out; a missing one is an
+    error.
+    """
+    raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+           .option("emptyValue", "").option("inferSchema", False).csv(path))
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in {raw.columns}")
+    return raw.select([F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields])
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Typed columns; with ``strict`` any value that is neither missing nor of its type is an error."""
+    text = read_csv_text(spark, path, schema)
+    if strict:
+        bad = {k: n for k, n in bad_values(text, schema).first().asDict().items() if n}
+        if bad:
+            raise ValueError(f"{path}: values that don't fit their type, by column: {bad}")
+    return text.select([normalise_missing(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def bad_values(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: per column, how many texts are neither a missing token nor a value of its type."""
+    return text.agg(*[F.count(F.when(~F.col(f.name).isin(schemas.NULL_TOKENS) & F.col(f.name).try_cast(f.dataType).isNull(), 1))
+                      .alias(f.name) for f in schema.fields])
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:

@@ -19,38 +19,33 @@ from pyspark.sql import functions as F
 SPLIT_DATE = _dt.date(2001, 1, 1)
 
 
-# A scan smaller than this many rows is left as it is: it is either broadcast or cheap.
-SPREAD_MIN_ROWS = 100_000
+#: key values that are a multiple of it have no entity: transactions, labels and requests refer to ids that
+#: no customer or product row has, so that every left join also misses
+UNKNOWN_EVERY, UNKNOWN_OFFSET = 50, 1_000_000_000
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table.
 
-    A large table stored as a single unsplittable file (one row group) scans
-    in one task, which would serialise everything up to the first shuffle.
-    Only in that case the rows are spread over the available cores; inputs
-    that already split into at least that many tasks (any real-sized
-    dataset) are read as they are, with no extra exchange.
+    How a scan splits is a matter of the files and of ``spark.sql.files.*``.
+    Files that cannot be split (one row group) can be dealt over a number of
+    tasks that the caller names in ``affinity.input.partitions``; unset, the
+    scan is left as it is.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    # the partition count comes from planning the scan; rows are counted (footers only) just
-    # for inputs that scan in fewer tasks than there are cores, i.e. never for large datasets
-    if df.rdd.getNumPartitions() < cores and table_rows(spark, sf_dir, name) >= SPREAD_MIN_ROWS:
-        df = df.repartition(cores)
-    return df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    parts = spark.conf.get("affinity.input.partitions", None)
+    return df.repartition(int(parts)) if parts else df
 
 
-_ROWS: dict[str, int] = {}
+def _reference(col: Column | str) -> Column:
+    """A key as transactions, labels and requests write it: some ids have no entity row."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.when(col % UNKNOWN_EVERY == 0, col + UNKNOWN_OFFSET).otherwise(col)
 
 
-def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a source table, answered from parquet footers (no column data read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _ROWS:
-        _ROWS[path] = spark.read.parquet(path).count()
-    return _ROWS[path]
+def _price(col: str) -> Column:
+    """NaN is a missing number."""
+    return F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +110,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_orderdate").cast("date").alias("time_date"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_extendedprice").alias("price"),
+        _reference("o_custkey").alias("customer_id"),
+        _reference("l_partkey").alias("product_id"),
+        _price("l_extendedprice").alias("price"),
         (1 + F.col("l_linenumber") % 2).cast("int").alias("sales_channel_id"),
     )
 
@@ -145,13 +140,13 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: split, time_date, customer_id, product_id, item_key.
     """
     od = _read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("customer_id"),
+        "o_orderkey", _reference("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("time_date"))
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     split = F.when(F.col("time_date") < F.lit(SPLIT_DATE), "train").otherwise("val")
     items = li.where(F.col("l_partkey").isNotNull()).join(od, li.l_orderkey == od.o_orderkey).select(
         split.alias("split"), "time_date", "customer_id",
-        F.col("l_partkey").alias("product_id"),
+        _reference("l_partkey").alias("product_id"),
         F.concat_ws(":", *[F.col(c).cast("string") for c in ("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
         .alias("item_key"),
     )
@@ -168,8 +163,11 @@ def label_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers to score: every customer of the customer table."""
-    return _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    """Customers to score: one row per customer, some under an id that no customer has, and some asked twice."""
+    key = F.col("c_custkey")
+    times = F.when(key % 40 == 1, 2).otherwise(1)
+    return _read(spark, sf_dir, "customer").select(
+        _reference(key).alias("customer_id"), F.explode(F.sequence(F.lit(1), times)).alias("n")).drop("n")
 
 
 def assert_unique(df: DataFrame, key: str, name: str) -> None:

@@ -1,5 +1,6 @@
 import __spark_entry__ as entry
 from affinity.plans import catalog, oracle
+from affinity.sources import tables
 
 ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report"}
 
@@ -7,7 +8,7 @@ ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report"}
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["customer_id", "list_product_id"]
-    assert df.count() == entry.queries()["typed_customers"](spark, "/root/testdata/sf0.001").count()
+    assert df.count() == tables.requests(spark, "/root/testdata/sf0.001").count() > 0
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():

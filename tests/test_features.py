@@ -67,6 +67,6 @@ def test_mode_equals_rownumber_form(spark):
 
 def test_customer_features_single_customer_exchange(spark):
     tx, prods = tables.transactions(spark, SF_SMALL), tables.products(spark, SF_SMALL)
-    plan = feat.customer_features(tx, prods, product_rows=10_000)._jdf.queryExecution().executedPlan().toString()
+    plan = feat.customer_features(tx, prods)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(customer_id") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan

@@ -21,6 +21,8 @@ def test_negatives_one_per_positive_and_existing_ids(spark):
     neg = labels.sample_negatives(pos, prods)
     assert neg.count() == pos.count()
     assert neg.join(prods, "product_id", "left_anti").count() == 0
+    # positives, in contrast, refer to products that the table doesn't have
+    assert pos.where("product_id is not null").join(prods, "product_id", "left_anti").count() > 0
     assert set(neg.select("link_pred_baseline_target").distinct().toPandas().iloc[:, 0]) == {0}
 
 
@@ -43,8 +45,8 @@ def test_numbering_is_a_bijection(spark):
 
 def test_label_items_match_list_semantics(spark):
     """Exploding per customer-day lists equals the join-based positives (as bags)."""
-    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumn("o_custkey", tables._reference("o_custkey"))
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").withColumn("l_partkey", tables._reference("l_partkey"))
     lists = (od.join(li, od.o_orderkey == li.l_orderkey, "left")
              .groupBy(F.col("o_orderdate").cast("date").alias("time_date"), F.col("o_custkey").alias("customer_id"))
              .agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("l_partkey")), " "), F.lit("]"))
@@ -73,3 +75,26 @@ def test_strict_negatives_when_every_product_is_known(spark):
     got = sorted((r.customer_id, r.product_id) for r in labels.sample_negatives_strict(pos, prods, per_round=1).collect())
     assert got[:3] == [(1, None), (1, None), (1, None)]
     assert got[3][0] == 2 and got[3][1] in (1, 2)
+
+
+def test_strict_negatives_of_a_customer_who_has_nearly_everything(spark):
+    """399 of 400 products: doubling rounds find the last one; the result does not depend on the first round's size."""
+    prods = spark.createDataFrame([(p,) for p in range(400)], "product_id bigint")
+    d = dt.date(2020, 1, 1)
+    pos = spark.createDataFrame([("train", d, 1, p, str(p)) for p in range(399)],
+                                "split string, time_date date, customer_id bigint, product_id bigint, item_key string")
+    a = labels.sample_negatives_strict(pos, prods, per_round=16).collect()
+    assert len(a) == 399 and {r.product_id for r in a} == {399}
+
+
+def test_strict_negatives_do_not_depend_on_rounds(spark):
+    pos = tables.label_items(spark, SF_SMALL).where("customer_id % 10 = 3")
+    prods = tables.products(spark, SF_SMALL)
+    a, b = (sorted(map(tuple, labels.sample_negatives_strict(pos, prods, per_round=n).collect())) for n in (1, 8))
+    assert a == b
+
+
+def test_labelled_pairs_compute_positives_once(spark):
+    pos, prods = tables.label_items(spark, SF_SMALL), tables.products(spark, SF_SMALL)
+    plan = labels.labelled_pairs(pos, prods)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") <= 2 and plan.count("lineitem.parquet") <= 2

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from affinity.operators import model
 from affinity.operators.pairs import MODEL_FEATURES, TRAINING_COLUMNS
 from affinity.plans import catalog
+from affinity.sources import tables
 
 from conftest import SF_SMALL
 
@@ -56,5 +57,19 @@ def test_train_and_score_jobs(spark):
     got = {(r.split, r.scorer, r.metric) for r in report.collect()}
     assert ("val", "boosted_trees", "auc_roc") in got and ("train", "affinity", "accuracy") in got
     recs = jobs.score(spark, SF_SMALL, out)
-    assert recs.count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert recs.count() == tables.requests(spark, SF_SMALL).count()
     assert os.path.exists(os.path.join(out, "submission"))
+
+
+def test_trees_fit_with_many_text_values(spark):
+    ts = catalog.Inputs(spark, SF_SMALL).training_set().withColumn(
+        "prod_group_name", F.concat(F.lit("g"), (F.col("product_id") % 40).cast("string")))
+    fitted = model.fit_trees(ts.where(F.col("split") == "train"), model.TreeParams(max_iter=2, max_depth=2))
+    assert model.tree_scores(fitted, ts).where("probability is null").count() == 0
+
+
+def test_random_search_does_not_depend_on_partitions(spark):
+    ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
+    grid = {"maxIter": [2], "maxDepth": [1, 2]}
+    a, b = (model.random_search(t, n_configs=2, grid=grid).avgMetrics for t in (ts.repartition(3), ts.repartition(5)))
+    assert all(abs(x - y) < 0.02 for x, y in zip(a, b))

@@ -67,6 +67,19 @@ def test_candidates_give_the_exact_top_k(spark, seed, k):
     assert any(len(v) == k for v in want.values())   # the limit is exercised
 
 
+def test_top_k_without_broadcasts_is_the_same(spark):
+    i = catalog.Inputs(spark, SF_SMALL)
+    a = sorted(map(tuple, i.ranked().collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = catalog.Inputs(spark, SF_SMALL).ranked()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, df.collect())) == a
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_unknown_and_repeated_requests_keep_their_rows(spark):
     scorer = AffinityScorer(intercept=-50.0)  # nothing reaches 0.5
     cust, prod, cdf, pdf = _fixture(spark, 4)
@@ -89,8 +102,8 @@ def test_submission_round_trip(spark):
     recs = spark.createDataFrame([(1, [3, 20, 7]), (2, [])], "customer_id bigint, list_product_id array<bigint>")
     lines = recommend.prediction_lines(recs)
     assert sorted(r.line for r in lines.collect()) == ["1,[3, 20, 7]", "2,[]"]
-    sub = sorted(tuple(r) for r in recommend.submission(lines).collect())
-    assert sub == [(1, "[3 20 7]"), (2, "[]")]
+    sub = sorted(tuple(r) for r in recommend.parse_prediction_lines(lines).collect())
+    assert sub == [(1, "[3 20 7]"), (2, "[]")] == sorted(tuple(r) for r in recommend.submission(recs).collect())
 
 
 def test_recommendation_plan_has_no_pair_enumeration(spark):
@@ -104,8 +117,7 @@ def test_recommendation_plan_has_no_pair_enumeration(spark):
 def test_no_exchange_between_fan_out_and_ranking(spark):
     """The candidate join, scoring and ranking window run on the request partitioning."""
     i = catalog.Inputs(spark, SF_SMALL)
-    ranked = recommend.ranked_candidates(i.requests, i.customers_wf(), i.products_wf(),
-                                         product_rows=i.product_rows, customer_rows=i.customer_rows)
+    ranked = recommend.ranked_candidates(i.requests, i.customers_wf(), i.products_wf())
     lines = ranked._jdf.queryExecution().executedPlan().toString().splitlines()
     window = next(n for n, line in enumerate(lines) if "Window [dense_rank" in line)
     fan_out = next(n for n, line in enumerate(lines) if n > window and "Generate explode" in line)

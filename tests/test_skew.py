@@ -32,7 +32,7 @@ def _data(spark):
 
 def test_hot_keys_exact(spark):
     prods, tx, ptx = _data(spark)
-    cf = {r.customer_id: r for r in feat.customer_features(tx.repartition(6), prods, product_rows=50).collect()}
+    cf = {r.customer_id: r for r in feat.customer_features(tx.repartition(6), prods).collect()}
     hot = ptx[ptx.customer_id == 0]
     assert cf[0].total_purchases == len(hot)
     assert abs(cf[0].total_spent - hot.price.sum()) < 1e-6
@@ -44,17 +44,28 @@ def test_hot_keys_exact(spark):
 
 def test_hot_keys_plan_combines_map_side(spark):
     prods, tx, _ = _data(spark)
-    plan = feat.customer_features(tx, prods, product_rows=50)._jdf.queryExecution().executedPlan().toString()
+    plan = feat.customer_features(tx, prods)._jdf.queryExecution().executedPlan().toString()
     assert "partial_mode" in plan and "partial_count" in plan
 
 
 def test_hot_customer_recommendations(spark):
     prods, tx, _ = _data(spark)
-    cf = feat.customer_features(tx, prods, product_rows=50)
+    cf = feat.customer_features(tx, prods)
     customers = spark.createDataFrame([(c, None, None, None, None, None, None) for c in range(200)], schemas.CUSTOMERS)
     cwf = feat.customers_with_features(customers, cf)
     pwf = feat.products_with_features(prods, feat.product_price_stats(tx))
     requests = customers.select("customer_id")
-    ranked = recommend.ranked_candidates(requests, cwf, pwf, product_rows=50)
+    ranked = recommend.ranked_candidates(requests, cwf, pwf)
     rows = ranked.where("customer_id = 0").orderBy("rank").collect()
-    assert [r.rank for r in rows] == list(range(1, len(rows) + 1)) and len(rows) <= 12
+    # the hot customer's list is that of scoring every product by hand
+    from affinity.functions.pairs import FAVOURITES, match_flag
+    from affinity.operators.model import AffinityScorer
+    from pyspark.sql import functions as F
+
+    scorer = AffinityScorer()
+    every = cwf.where("customer_id = 0").crossJoin(pwf.drop("customer_id"))
+    logit = scorer.logit(scorer.customer_term(F.col("total_purchases")), scorer.product_term(F.col("popularity")),
+                         scorer.match_bonus({f.attribute: match_flag(F.col(f.top), F.col(f.attribute)) for f in FAVOURITES}))
+    want = every.select("product_id", logit.alias("logit"), scorer.product_term(F.col("popularity")).alias("g")).where(
+        "logit >= 0").orderBy(F.desc("logit"), F.desc("g"), "product_id").limit(12).collect()
+    assert [(r.rank, r.product_id) for r in rows] == [(n + 1, r.product_id) for n, r in enumerate(want)] and rows

@@ -68,3 +68,55 @@ def test_entity_keys_must_be_unique(spark):
     bad = spark.createDataFrame([(1,), (2,), (2,)], "customer_id bigint")
     with pytest.raises(ValueError, match="not unique"):
         tables.assert_unique(bad, "customer_id", "customers")
+
+
+def test_csv_quotes_line_breaks_and_column_order(spark):
+    p = _write('postal_code,age,customer_id,extra,FN,active_status,member_status,news_frequency\n'
+               '"a ""q"", b",33,1,x,1,,"LEFT\nCLUB",NONE\n'
+               'pc2,,2,y,,,,\n')
+    got = {r.customer_id: r for r in files.read_customers(spark, p).collect()}
+    assert len(got) == 2 and got[1].postal_code == 'a "q", b' and got[1].age == 33.0
+    assert got[1].member_status == "LEFT\nCLUB" and got[1].FN == 1.0 and got[2].postal_code == "pc2"
+
+
+def test_csv_missing_column_and_bad_values_are_errors(spark):
+    import pytest
+
+    from affinity.sources import schemas
+
+    p = _write("customer_id,FN\n1,1\n")
+    with pytest.raises(ValueError, match="no column active_status"):
+        files.read_customers(spark, p)
+    q = _write("time_date,customer_id,product_id,price,sales_channel_id\n2020-09-01,1,x7,0.05,2\n2020-13-01,1,3,NA,1\n")
+    with pytest.raises(ValueError, match="product_id.*1"):
+        files.read_typed_csv(spark, q, schemas.TRANSACTIONS, strict=True)
+    bad = files.bad_values(files.read_csv_text(spark, q, schemas.TRANSACTIONS), schemas.TRANSACTIONS).first()
+    assert (bad.time_date, bad.product_id, bad.price) == (1, 1, 0)
+
+
+def test_prices_are_not_cut_and_nan_is_missing(spark):
+    from pyspark.sql import functions as F
+
+    from affinity.operators import features as feat
+    from affinity.sources import schemas, tables
+
+    d = dt.date(2020, 1, 1)
+    fine = spark.createDataFrame([(d, 1, 1, 0.050830508474576264, 1), (d, 1, 1, 1e-11, 1), (d, 2, 1, 1e30, 1)], schemas.TRANSACTIONS)
+    got = {r.customer_id: r.total_spent for r in feat.customer_rfm(fine).collect()}
+    assert got == {1: 0.050830508474576264 + 1e-11, 2: 1e30}
+    raw = spark.createDataFrame([(2.0,), (float("nan"),), (4.0,)], "p double")
+    tx = raw.select(F.lit(d).alias("time_date"), F.lit(1).cast("bigint").alias("customer_id"),
+                    F.lit(5).cast("bigint").alias("product_id"), tables._price("p").alias("price"))
+    r = feat.product_price_stats(tx).first()
+    assert (r.average_price, round(r.price_std, 3), r.popularity) == (3.0, 1.414, 3)
+
+
+def test_session_keeps_submitted_sizes(spark):
+    from affinity.session import get_spark
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+        assert get_spark("again").conf.get("spark.sql.shuffle.partitions") == "4000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
