@@ -80,6 +80,30 @@ class AffinityScorer:
         return training.withColumn("logit", lg).withColumn("probability", probability(F.col("logit")))
 
 
+def fit_match_weights(training: DataFrame) -> DataFrame:
+    """(attribute, weight) learned from labelled pairs in one aggregate.
+
+    The weight of an attribute is the log odds ratio of its match flag,
+    ln(P(match | bought) / P(match | drawn)) with one pseudo-pair of either
+    kind, and zero where a match speaks against a purchase: the exact top-k
+    needs non-negative weights.
+    """
+    y = F.col(LABEL_COL)
+    counts = [F.sum(F.when(y == c, 1).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
+    counts += [F.sum(F.when((y == c) & F.col(f.match).cast("boolean"), 1).otherwise(0)).alias(f"{f.attribute}_{c}")
+               for f in FAVOURITES for c in (0, 1)]
+    share = lambda a, c: (F.col(f"{a}_{c}") + 1.0) / (F.col(f"n{c}") + 2.0)
+    rows = [F.struct(F.lit(f.attribute).alias("attribute"),
+                     F.round(F.greatest(F.lit(0.0), F.log(share(f.attribute, 1) / share(f.attribute, 0))), 6).alias("weight"))
+            for f in FAVOURITES]
+    return training.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def fitted_scorer(weights: DataFrame, base: AffinityScorer = AffinityScorer()) -> AffinityScorer:
+    """``base`` with learned match weights (one row per attribute)."""
+    return replace(base, match_weights={r["attribute"]: r["weight"] for r in weights.collect()})
+
+
 def probability(logit: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
@@ -218,3 +242,10 @@ def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed:
                         parallelism=parallelism, foldCol="fold",
                         evaluator=BinaryClassificationEvaluator(labelCol=LABEL_COL, metricName="areaUnderROC"))
     return cv.fit(frame)
+
+
+def search_report(spark, fitted) -> DataFrame:
+    """(setting, auc_roc) of every setting that a random search tried: as many rows as it had settings."""
+    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(a))
+            for m, a in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics)]
+    return spark.createDataFrame(rows, "setting string, auc_roc double")

@@ -20,9 +20,10 @@ from affinity.functions.encode import encode_customers
 from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
 from affinity.operators import labels, metrics, pairs, recommend
-from affinity.operators.model import AffinityScorer, TreeParams, fit_trees, model_frame_indexed, tree_scores
+from affinity.operators.model import (AffinityScorer, TreeParams, fit_match_weights, fit_trees, fitted_scorer,
+                                      model_frame_indexed, random_search, search_report, tree_scores)
 from affinity.session import checkpoint_dir
-from affinity.sources import tables
+from affinity.sources import files, tables
 from affinity.sources.schemas import LABEL_COL
 
 DECIMALS = 6
@@ -94,6 +95,29 @@ class Inputs:
     def scored_pairs(self):
         return self.scorer.score_pairs(self.training_set())
 
+    def match_weights(self):
+        return fit_match_weights(self.training_set().where(F.col("split") == "train"))
+
+
+class FileInputs(Inputs):
+    """The same tables from CSV files; ``paths`` names customers, products, transactions, train_labels, val_labels, requests."""
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str], scorer: AffinityScorer | None = None,
+                 as_of: datetime.date | None = None):
+        super().__init__(spark, "", scorer, as_of)
+        self.paths = paths
+
+    customers = cached_property(lambda self: files.read_customers(self.spark, self.paths["customers"]))
+    products = cached_property(lambda self: files.read_products(self.spark, self.paths["products"]))
+    all_tx = cached_property(lambda self: files.read_transactions(self.spark, self.paths["transactions"]))
+    requests = cached_property(lambda self: files.read_requests(self.spark, self.paths["requests"]))
+
+    @cached_property
+    def positives(self):
+        lists = files.read_label_lists(self.spark, self.paths["train_labels"], "train").unionByName(
+            files.read_label_lists(self.spark, self.paths["val_labels"], "val"))
+        return labels.explode_labels(lists).select("split", "time_date", "customer_id", "product_id", "item_key")
+
 
 def _q(fn):
     def run(spark, sf_dir):
@@ -244,6 +268,47 @@ def customer_features_as_of(spark, sf_dir):
     return rounded(Inputs(spark, sf_dir, as_of=tables.SPLIT_DATE).customer_features())
 
 
+@_q
+def fitted_weights(i):
+    return i.match_weights()
+
+
+@_q
+def recommendations_fitted(i):
+    i.scorer = fitted_scorer(i.match_weights())
+    recs = i.recommendations()
+    return recs.select("customer_id", format_id_list(F.col("list_product_id")).alias("list_product_id"))
+
+
+def parsed_text(spark, sf_dir):
+    """The missing-value and cast rules of the CSV route over text made from every customer row."""
+    key = F.col("c_custkey")
+    token = F.element_at(F.array(*map(F.lit, ("NA", "None", "nan", "", "NONE", "n/a", "12x"))), (key % 7 + 1).cast("int"))
+    text = tables._read(spark, sf_dir, "customer").select(
+        key.alias("customer_id"), F.when(key % 3 == 0, token).otherwise(F.col("c_acctbal").cast("decimal(12,2)").cast("string")).alias("n"),
+        F.when(key % 5 == 0, token).otherwise(F.col("c_mktsegment")).alias("s"),
+        F.when(key % 4 == 0, token).otherwise(F.concat(F.lit("2020-0"), (1 + key % 9).cast("string"), F.lit("-15"))).alias("d"))
+    kinds = {"n": T.DoubleType(), "s": T.StringType(), "d": T.DateType()}
+    out = text.select("customer_id", *[files.normalise_missing(F.col(c), k).alias(c) for c, k in kinds.items()])
+    return out.withColumn("d", F.col("d").cast("string"))
+
+
+def exploded_lists(spark, sf_dir):
+    """Label-list text made from every product row, parsed and exploded; some lists are empty."""
+    key = F.col("p_partkey")
+    text = F.when(key % 10 == 0, "[]").otherwise(F.concat(
+        F.lit("["), F.concat_ws(" ", key.cast("string"), F.col("p_size").cast("string"), key.cast("string")), F.lit("]")))
+    lists = tables._read(spark, sf_dir, "part").select(key.alias("customer_id"), text.alias("list_product_id"))
+    return labels.explode_labels(lists)
+
+
+@_q
+def random_search_report(i):
+    train = i.training_set().where(F.col("split") == "train")
+    grid = {"maxIter": [2], "maxDepth": [2, 3, 4], "stepSize": [0.05, 0.08, 0.1], "subsamplingRate": [0.8, 0.9, 1.0]}
+    return search_report(i.spark, random_search(train, grid=grid))
+
+
 @_q
 def model_inputs(i):
     return rounded(model_frame_indexed(i.training_set()))
@@ -296,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           product_buyer_stats, customer_features, product_features, customers_with_features,
           products_with_features, product_numbering, label_positives, label_negatives, label_negatives_strict, labelled_pairs,
           pair_features, training_set, topk, recommendations, submission, parsed_predictions,
-          customer_features_as_of, model_inputs, scored_pairs,
+          customer_features_as_of, model_inputs, fitted_weights, recommendations_fitted, parsed_text, exploded_lists,
+          random_search_report, scored_pairs,
           confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report]
     return {q.__name__: q for q in qs}

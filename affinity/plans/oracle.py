@@ -324,8 +324,10 @@ def _scorer_parts(scorer):
 
 
 def _bonus(scorer, match_expr) -> str:
-    terms = [f"case when {match_expr(f)} then {_lit(scorer.match_weights.get(f.attribute, 0.0))} else 0.0 end"
-             for f in FAVOURITES]
+    """The largest weight of a match; without a scorer the weights are those of the table fw."""
+    weight = lambda f: (_lit(scorer.match_weights.get(f.attribute, 0.0)) if scorer
+                        else f"(select weight from fw where attribute = '{f.attribute}')")
+    terms = [f"case when {match_expr(f)} then {weight(f)} else 0.0 end" for f in FAVOURITES]
     return f"greatest(0.0, {', '.join(terms)})"
 
 
@@ -336,8 +338,18 @@ def scored_cte(scorer) -> str:
 scored2 as (select *, 1.0 / (1.0 + exp(-logit)) as probability from scored)"""
 
 
-def topk_cte(scorer, k: int = 12) -> str:
+def weights_cte() -> str:
+    """ln of the odds that a bought and a drawn pair match, at least 0."""
+    share = lambda f, y: (f"((count(*) filter (where {f.match} and link_pred_baseline_target = {y}) + 1.0) / "
+                          f"(count(*) filter (where link_pred_baseline_target = {y}) + 2.0))")
+    return "fw as (" + " union all ".join(
+        f"select '{f.attribute}' as attribute, {rnd(f'greatest(0.0, ln({share(f, 1)} / {share(f, 0)}))')} as weight "
+        f"from pairs where split = 'train'" for f in FAVOURITES) + ")"
+
+
+def topk_cte(scorer, k: int = 12, fitted: bool = False) -> str:
     c, g = _scorer_parts(scorer)
+    scorer = None if fitted else scorer
     tops = ", ".join(f"cwf.{f.top}" for f in FAVOURITES)
     attrs = ", ".join(f"p.{f.attribute}" for f in FAVOURITES)
     bonus = _bonus(scorer, lambda f: f"rc.{f.top} = pb.{f.attribute}")
@@ -434,6 +446,18 @@ def queries(scorer=None) -> dict[str, str]:
         "parsed_predictions": f"with {FEATURE_CTES},\n{topk_cte(scorer)}\nselect * from recs",
         "customer_features_as_of": customer_features().replace(
             f"tx as ({TRANSACTIONS})", f"tx as (select * from ({TRANSACTIONS}) where time_date < date '{SPLIT_DATE}')"),
+        "fitted_weights": training + f", {weights_cte()}\nselect * from fw",
+        "recommendations_fitted": training + f", {weights_cte()},\n{topk_cte(scorer, fitted=True)}\nselect * from recs",
+        "parsed_text": """
+select c_custkey as customer_id, case when c_custkey % 3 = 0 then null else cast(cast(c_acctbal as decimal(12, 2)) as double) end as n,
+       case when c_custkey % 5 <> 0 then c_mktsegment when c_custkey % 7 = 4 then 'NONE' when c_custkey % 7 = 6 then '12x' end as s,
+       case when c_custkey % 4 <> 0 then concat('2020-0', cast(1 + c_custkey % 9 as varchar), '-15') end as d
+from customer""",
+        "exploded_lists": """
+select p_partkey as customer_id, p_partkey as product_id, '0' as item_key from part where p_partkey % 10 <> 0
+union all select p_partkey, cast(p_size as bigint), '1' from part where p_partkey % 10 <> 0
+union all select p_partkey, p_partkey, '2' from part where p_partkey % 10 <> 0
+union all select p_partkey, null, '' from part where p_partkey % 10 = 0""",
         "model_inputs": training + MODEL_INPUTS,
         "scored_pairs": scoring + f"\nselect split, time_date, customer_id, product_id, link_pred_baseline_target, "
                                   f"{rr('logit')}, {rr('probability')} from scored2",

@@ -22,5 +22,6 @@ def write_submission(submission: DataFrame, path: str) -> None:
 
 
 def write_metrics(report: DataFrame, path: str) -> None:
-    """The evaluation report (split, metric, value) as a table."""
-    report.select("split", "metric", F.col("value").cast("double")).write.mode("overwrite").parquet(path)
+    """The evaluation report (split, scorer if there are several, metric, value) as a table."""
+    scorer = ["scorer"] if "scorer" in report.columns else []
+    report.select("split", *scorer, "metric", F.col("value").cast("double")).write.mode("overwrite").parquet(path)

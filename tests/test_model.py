@@ -73,3 +73,32 @@ def test_random_search_does_not_depend_on_partitions(spark):
     grid = {"maxIter": [2], "maxDepth": [1, 2]}
     a, b = (model.random_search(t, n_configs=2, grid=grid).avgMetrics for t in (ts.repartition(3), ts.repartition(5)))
     assert all(abs(x - y) < 0.02 for x, y in zip(a, b))
+
+
+def test_jobs_run_on_csv_files(spark):
+    """The six CSV files of the reference's layout, written from the tables: same features, weights and predictions."""
+    from affinity.plans import jobs
+
+    d = tempfile.mkdtemp(prefix="affinity-csv-")
+    i = catalog.Inputs(spark, SF_SMALL)
+    lists = i.positives.groupBy("split", "time_date", "customer_id").agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("product_id")), " "), F.lit("]")).alias("list_product_id"))
+    frames = {"customers": i.customers, "products": i.products.withColumn("detail_desc", F.lit('a "b",\nc')),
+              "transactions": i.all_tx, "requests": i.requests,
+              "train_labels": lists.where("split = 'train'").drop("split"), "val_labels": lists.where("split = 'val'").drop("split")}
+    paths = {}
+    for name, df in frames.items():
+        paths[name] = os.path.join(d, f"{name}.csv")
+        pdf = df.toPandas()
+        for c in pdf.columns:  # ids with gaps are floats in pandas
+            if c.endswith(("_no", "_code", "_id")) and pdf[c].dtype == float:
+                pdf[c] = pdf[c].astype("Int64")
+        pdf.to_csv(paths[name], index=False)
+    out = os.path.join(d, "out")
+    report = jobs.train(spark, paths, out, model.TreeParams(max_iter=2, max_depth=2))
+    assert ("val", "affinity_fitted", "auc_roc") in {(r.split, r.scorer, r.metric) for r in report.collect()}
+    a = {(r.customer_id, r.total_purchases, round(r.total_spent, 6)) for r in spark.read.parquet(f"{out}/customer_features").collect()}
+    assert a == {(r.customer_id, r.total_purchases, round(r.total_spent, 6)) for r in i.customer_features().collect()}
+    scorer = model.fitted_scorer(spark.read.parquet(f"{out}/weights"))
+    recs = sorted(map(str, jobs.score(spark, ",".join(f"{k}={v}" for k, v in paths.items()), out).collect()))
+    assert recs == sorted(map(str, catalog.Inputs(spark, SF_SMALL, scorer).recommendations().collect()))
