@@ -2,8 +2,8 @@
 that drive them.
 
 The tables are the single description of which customer favourite is
-compared with which product attribute; features, pair features, the
-candidate generator and the oracles are all generated from them.
+compared with which product attribute; features, pair features and the
+candidate generator are all generated from them.
 """
 
 from __future__ import annotations

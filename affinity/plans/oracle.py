@@ -9,13 +9,36 @@ on views named after the parquet tables.
 
 from __future__ import annotations
 
-from affinity.functions.encode import MEMBER_STATUS_CODES, NEWS_FREQUENCY_CODES
-from affinity.functions.pairs import DEMOGRAPHICS, FAVOURITES
+from types import SimpleNamespace
 
 SPLIT_DATE = "2001-01-01"
 SEED = 73
 R = 6  # decimals of double outputs, as in the Spark query wrappers
 
+# Fixed values, written out here and not imported, so that a wrong code, pairing or weight in the library shows.
+MEMBER_STATUS_CODES = {"ACTIVE": 1.0, "PRE-CREATE": 1.0, "LEFT CLUB": -1.0}
+NEWS_FREQUENCY_CODES = {"NONE": -1.0, "Regularly": 1.0, "Monthly": 0.5}
+FAVOURITES = [SimpleNamespace(top=t, attribute=a, match=m, closed_domain=a in (
+    "prod_group_name", "idx_group_no", "garment_group_no", "idx_code")) for t, a, m in [
+        ("top_perceived_color", "perceived_colour_value_id", "perceived_color_match"),
+        ("top_prod_group", "prod_group_name", "prod_group_match"),
+        ("top_idx_group_no", "idx_group_no", "idx_group_match"),
+        ("top_sec_no", "sec_no", "sec_no_match"),
+        ("top_garment_group_no", "garment_group_no", "garment_group_no_match"),
+        ("top_idx_code", "idx_code", "idx_code_match"),
+        ("top_department_no", "department_no", "department_no_match"),
+        ("top_prod_type_no", "prod_type_no", "prod_type_no_match"),
+        ("top_graph_appearance_no", "graph_appearance_no", "graph_appearance_no_match"),
+        ("top_colour_group_code", "colour_group_code", "colour_group_code_match"),
+        ("top_perceived_colour_master_id", "perceived_colour_master_id", "perceived_colour_master_id_match")]]
+DEMOGRAPHICS = [SimpleNamespace(customer_col=c, mean=f"average_{n}", std=f"std_{n}", difference=f"{n}_similarity")
+                for c, n in [("age", "age"), ("FN", "FN"), ("active_status", "active"), ("member_status", "member"),
+                             ("news_frequency", "news")]]
+SCORER = SimpleNamespace(intercept=-3.5, frequency_weight=0.3, popularity_weight=0.4, match_weights={
+    "department_no": 1.2, "sec_no": 1.1, "prod_type_no": 0.9, "garment_group_no": 0.9, "colour_group_code": 0.8,
+    "perceived_colour_value_id": 0.7, "graph_appearance_no": 0.6, "prod_group_name": 0.6, "idx_code": 0.5,
+    "perceived_colour_master_id": 0.4, "idx_group_no": 0.3})
+
 
 def rnd(expr: str, decimals: int = R) -> str:
     """Round like Spark's ``round`` on doubles: HALF_UP on the shortest decimal form."""
@@ -404,9 +427,7 @@ rankm as (select split,
 
 
 def queries(scorer=None) -> dict[str, str]:
-    from affinity.operators.model import AffinityScorer
-
-    scorer = scorer or AffinityScorer()
+    scorer = scorer or SCORER
     rr = lambda c: f"{rnd(c)} as {c}"
     training = f"with {FEATURE_CTES},\n{LABEL_CTES},\n{PAIRS_CTE}\n"
     scoring = f"with {FEATURE_CTES},\n{LABEL_CTES},\n{PAIRS_CTE},\n{scored_cte(scorer)}"
