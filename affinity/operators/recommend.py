@@ -14,15 +14,16 @@ sharing that attribute value with a better (g, id) scores at least as high,
 so p is among the top-k by g of products with attr_k* = fav_k*(c). Hence the
 candidates are: the global top-k by g, plus for each attribute the top-k by
 g among products carrying the customer's favourite value. That is at most
-k * (1 + 11) candidates per customer, produced by an equi-join of the
-customer's (attribute, value) keys to a table of per-value top-k lists.
+k * (1 + 11) candidates per customer: the customer's (attribute, value) keys
+are equi-joined to a table of per-value top-k lists, one row a list, and the
+global list (k rows at most) is part of the plan.
 Ordering is (logit desc, g desc, product_id asc) throughout, which makes
 the argument hold with ties too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.lists import format_id_list, parse_id_list
@@ -39,8 +40,8 @@ TOPS = [f.top for f in FAVOURITES]
 def product_candidates(products_wf: DataFrame, scorer: AffinityScorer, k: int = TOP_K) -> DataFrame:
     """Per (attribute, value): the k best products by (g desc, id asc); plus the global k best.
 
-    Columns: attribute, value, product_id, g, and the product's 11 attributes.
-    Built with a ranking window whose limit Spark applies before the shuffle
+    Columns: attribute, value and ``items``, an array of k structs at most
+    with product_id, the product's 11 attributes and g. Built with a ranking window whose limit Spark applies before the shuffle
     (``WindowGroupLimit``), so a value shared by many products sends at most
     k rows per map task.
     """
@@ -51,7 +52,17 @@ def product_candidates(products_wf: DataFrame, scorer: AffinityScorer, k: int =
             *[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in ATTRIBUTES],
         )).alias("key")).select("key.attribute", "key.value", *base.columns).where(F.col("value").isNotNull())
     w = Window.partitionBy("attribute", "value").orderBy(F.col("g").desc(), F.col("product_id").asc())
-    return keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
+    best = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
+    return best.groupBy("attribute", "value").agg(F.collect_list(F.struct(*base.columns)).alias("items"))
+
+
+def _global_items(cands: DataFrame) -> Column:
+    """The global list as a literal: k rows at most."""
+    kind = cands.schema["items"].dataType
+    row = cands.where(F.col("attribute") == GLOBAL).select("items").first()
+    structs = [F.struct(*[F.lit(item[f.name]).cast(f.dataType).alias(f.name) for f in kind.elementType])
+               for item in (row["items"] if row else [])]
+    return F.array(*structs).cast(kind)
 
 
 def requested_customers(requests: DataFrame, customers_wf: DataFrame, scorer: AffinityScorer) -> DataFrame:
@@ -76,8 +87,12 @@ def requested_customers(requests: DataFrame, customers_wf: DataFrame, scorer: Af
 
 
 def customer_keys(cust: DataFrame) -> DataFrame:
-    """One row per favourite (attribute, value) of a requested customer, and one for the global list."""
-    keys = F.array(F.struct(F.lit(GLOBAL).alias("attribute"), F.lit(GLOBAL).alias("value")),
+    """One row per favourite (attribute, value) of a requested customer, and one for the global list.
+
+    The global row carries the customer's id as its value, so that it is no
+    hot key where the lists are shuffled.
+    """
+    keys = F.array(F.struct(F.lit(GLOBAL).alias("attribute"), F.col("customer_id").cast("string").alias("value")),
                    *[F.struct(F.lit(f.attribute).alias("attribute"), F.col(f.top).alias("value")) for f in FAVOURITES])
     return (cust.select("*", F.explode(keys).alias("key"))
             .select("*", "key.attribute", "key.value").drop("key").where(F.col("value").isNotNull()))
@@ -88,10 +103,12 @@ def candidate_rows(requests: DataFrame, customers_wf: DataFrame, products_wf: Da
     """Every candidate of every requested customer: customer_id, product_id, g, logit."""
     # The lists are written once, so their bytes are known when the join is planned: within Spark's
     # broadcast threshold they are broadcast, beyond it the join shuffles and AQE splits its hot keys
-    # (the global key, values of low-cardinality attributes) on the customer side.
+    # (values of low-cardinality attributes) on the customer side.
     cands = stored(product_candidates(products_wf, scorer, k), "candidates")
     keys = customer_keys(requested_customers(requests, customers_wf, scorer))
-    joined = keys.join(cands, ["attribute", "value"])
+    found = keys.join(cands.where(F.col("attribute") != GLOBAL), ["attribute", "value"], "left")
+    items = F.when(F.col("attribute") == GLOBAL, _global_items(cands)).otherwise(F.col("items"))
+    joined = found.select("customer_id", "c", *TOPS, F.inline(items))
     matches = {f.attribute: match_flag(F.col(f.top), F.col(f.attribute).cast("string")) for f in FAVOURITES}
     return joined.select("customer_id", "product_id", "g",
                          scorer.logit(F.col("c"), F.col("g"), scorer.match_bonus(matches)).alias("logit"))
