@@ -110,6 +110,7 @@ def blocks_of(page_html: str | None) -> list[Block]:
     page = _Page()
     node = root = Node("#page", None)
     open_tags: Counter[str] = Counter()
+    unended: set[str] = set()  # skipped elements of which no end tag is left
     text = page_html or ""
     at, n = 0, len(text)
     while at < n:
@@ -141,7 +142,9 @@ def blocks_of(page_html: str | None) -> list[Block]:
             continue
         if tag in SKIPPED:
             # leave it out with all it holds
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
+            end = None if tag in unended else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
+            if end is None:
+                unended.add(tag)
             if tag == "head" and end is None:
                 end = re.compile(r"<body\b", re.I).search(text, at)
                 at = end.start() if end else n
@@ -225,8 +228,12 @@ def min_cut(content: list[int], boiler: list[int], edges: list[tuple[int, int, i
         to += [j, i]
         room += [w, w]
     sources = deque(i for i in range(n) if supply[i])
+    cut_off = bytearray(n)  # blocks from which no demand can be reached any more
     while sources:
         s = sources[0]
+        if cut_off[s]:
+            sources.popleft()
+            continue
         came = {s: -1}
         queue = deque([s])
         end = -1
@@ -236,11 +243,12 @@ def min_cut(content: list[int], boiler: list[int], edges: list[tuple[int, int, i
                 end = u
                 break
             for e in near[u]:
-                if room[e] and to[e] not in came:
+                if room[e] and to[e] not in came and not cut_off[to[e]]:
                     came[to[e]] = e
                     queue.append(to[e])
-        if end < 0:
-            sources.popleft()  # no demand within reach: nothing later adds room out of what it reaches
+        if end < 0:  # no demand within reach: no path leaves what it reaches, now or later
+            for u in came:
+                cut_off[u] = 1
             continue
         flow, u = min(supply[s], demand[end]), end
         while u != s:

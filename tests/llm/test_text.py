@@ -208,6 +208,17 @@ def test_blocks_keep_all_text_outside_skipped_elements():
         ["a", "bc d", "e", "f", "g", "h", "i", "&"]
 
 
+def test_long_pages_of_one_kind_take_linear_work():
+    """Quadratic work would take minutes here."""
+    model = BlockClassifier(np.zeros(SLOTS), 0.0)
+    items = [f"Some words here {i}." for i in range(40_000)]
+    article = "".join(f"<p>{x}</p>" for x in items)
+    assert model.extract(f"<article>{article}</article>") == items
+    assert model.extract(f"<nav>{article}</nav><article>{article}</article>") == items
+    unended = "".join(f"<button><p>{x}" for x in items)
+    assert [b.text for b in blocks_of(unended)] == items
+
+
 def test_extraction_equals_the_article_on_the_pages(spark):
     from html import unescape
     import re
