@@ -46,6 +46,8 @@ from affinity.llm.common import stored
 WINDOW = 35
 GRAM = 12
 SPREAD = WINDOW - GRAM + 1
+#: regions in an automaton; their distinct words have to be fewer than there are characters
+SHARD = 10_000
 #: bytes of text hashed at a time (one longer text is taken alone)
 _PART = 1 << 20
 _U = np.uint64
@@ -149,9 +151,9 @@ def _same_row(a: DataFrame, b: DataFrame):
 
 
 def _at(df: DataFrame, *cols) -> DataFrame:
-    """Rows gathered per document; at most as many as a text has regions."""
+    """Rows gathered per document; at most as many as a text has regions, however often its row is repeated."""
     return df.groupBy(F.col("row").alias("at_row"), F.col("doc_id").alias("at_id")).agg(
-        F.collect_list(F.struct(*cols)).alias("parts"))
+        F.collect_set(F.struct(*cols)).alias("parts"))
 
 
 def region_texts(rows: DataFrame, bearers: DataFrame) -> DataFrame:
@@ -218,7 +220,7 @@ def locate(texts: DataFrame, passages: DataFrame) -> DataFrame:
         "anchor", "region", "text", "mask")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, SHARD) for whole in batches for i in range(0, whole.num_rows, SHARD)):
             code = _Code()
             streams = []
             automaton = ahocorasick.Automaton()
