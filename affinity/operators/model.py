@@ -165,7 +165,8 @@ def tree_pipeline(params: TreeParams = TreeParams(), indexer=None):
     gbt = GBTClassifier(labelCol=LABEL_COL, featuresCol="features", maxIter=params.max_iter,
                         maxDepth=params.max_depth, stepSize=params.step_size,
                         subsamplingRate=params.subsampling_rate, seed=params.seed, maxBins=params.max_bins,
-                        maxMemoryInMB=params.max_memory_mb, cacheNodeIds=True)
+                        maxMemoryInMB=params.max_memory_mb,
+                        cacheNodeIds=False)  # for shallow trees, walking down costs less than a table of node ids a level
     return Pipeline(stages=[indexer, assembler, gbt])
 
 
