@@ -14,7 +14,7 @@ from affinity.llm.common import stored, table
 from affinity.llm.exact_dedup import drop_exact_copies
 from affinity.llm.mixing_ipf import sample_mixture
 from affinity.llm.quality_qda import drop_low_quality
-from affinity.llm.simhash_ball import drop_near_copies
+from affinity.llm.simhash_ball import SIMILAR, drop_near_copies
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, similar=SIMILAR)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
