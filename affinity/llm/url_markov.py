@@ -7,8 +7,11 @@ one by how often its context was seen, so an unseen context falls back to the
 longest seen one. The length-normalised difference of the two log likelihoods
 is compared with a threshold calibrated on a held-out fold of the examples.
 
-Counts live in hashed tables of fixed size (TABLE slots per class and order),
-so what is collected and broadcast has a bound that no corpus changes.
+Counts are exact and stay in Spark tables: one row per distinct gram of every
+order. Each level joins the next shorter one, and the urls' grams join the log
+ratios of the longest. Nothing but the calibration's bins is collected.
+``MarkovPair`` is the same model in hashed arrays of fixed size, for few urls
+in one process; the query does not use it.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import stored
@@ -31,6 +34,8 @@ SLOT_BITS = 15
 TABLE = 1 << SLOT_BITS
 #: weight of the shorter context's prediction, in observations
 BACK_OFF = 4.0
+#: log ratios are summed up as whole numbers of 1 / UNIT
+UNIT = 10 ** 12
 #: one example in so many calibrates the threshold instead of being counted
 HELD_OUT = 5
 #: scores are summed up in bins of 1 / BINS for the calibration
@@ -104,41 +109,77 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [x.as_py().encode("utf-8", "surrogatepass") for x in column]
 
 
-def count_examples(examples: DataFrame) -> MarkovPair:
-    """Count the models over (label, url) rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((2, 2, ORDER + 1, TABLE), np.int64)  # class, kind, order, slot
-        for b in batches:
-            labels, urls = np.asarray(b.column(0)), _bytes(b.column(1))
-            owner, grams, contexts = _slots(urls)
-            for c in (0, 1):
-                own = labels[owner] == c
-                for k in range(ORDER + 1):
-                    tables[c, 0, k] += np.bincount(grams[k][own], minlength=TABLE)
-                    tables[c, 1, k] += np.bincount(contexts[k][own], minlength=TABLE)
-        flat = tables.ravel()
-        cell = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(flat[cell], pa.int64())], ["cell", "n"])
-
-    sums = examples.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(2 * 2 * (ORDER + 1) * TABLE)  # the result has at most this many cells
-    flat[np.asarray(sums["cell"])] = np.asarray(sums["n"])
-    tables = flat.reshape(2, 2, ORDER + 1, TABLE).astype(np.float32)
-    return MarkovPair(tables[:, 0], tables[:, 1])
-
-
-def with_scores(rows: DataFrame, model: MarkovPair) -> DataFrame:
-    """``rows`` (last column: url) with a score in the place of the url."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
-    names = rows.columns[:-1]
+def _grams(urls: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Per byte of all urls: url index, the byte and the ORDER bytes before it as one number."""
+    pad = b"\x00" * ORDER
+    data = np.frombuffer(b"".join(pad + u for u in urls), np.uint8).astype(np.int64)
+    size = np.array([len(u) for u in urls], np.int64)
+    owner = np.repeat(np.arange(len(urls)), size)
+    at = np.arange(size.sum()) + ORDER * (owner + 1)
+    return owner, sum((data[at - k] << (8 * k) for k in range(ORDER + 1)), np.zeros(len(at), np.int64))
+
 
+def url_grams(urls: DataFrame) -> DataFrame:
+    """(id, n_bytes, yes, no, gram, n) of every distinct gram of every row (id, yes, no, url)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = pa.array(held.value.score(_bytes(b.column(b.num_columns - 1))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], score], [*names, "score"])
-
-    kinds = [f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names]
-    return rows.mapInArrow(run, ", ".join([*kinds, "score double"]))
+            texts = _bytes(b.column(3))
+            owner, gram = _grams(texts)
+            order = np.lexsort((gram, owner))
+            owner, gram = owner[order], gram[order]
+            first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (gram[1:] != gram[:-1])][:len(owner)])
+            rows = b.take(pa.array(owner[first]))
+            size = np.array([len(t) for t in texts], np.int64)[owner[first]]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array(size), rows.column(1), rows.column(2), pa.array(gram[first]),
+                 pa.array(np.diff(np.r_[first, len(owner)]))], ["id", "n_bytes", "yes", "no", "gram", "n"])
+
+    return urls.select("id", "yes", "no", "url").mapInArrow(
+        run, "id bigint, n_bytes bigint, yes bigint, no bigint, gram bigint, n bigint")
+
+
+def gram_ratios(grams: DataFrame) -> DataFrame:
+    """(gram, ratio): log of accepted over rejected probability, in units of 1 / UNIT, of every distinct gram.
+
+    A gram extends by one byte at most 256 ways, so no key of these joins and
+    windows has more rows.
+    """
+    levels = [stored(grams.groupBy("gram").agg(F.sum(F.col("n") * F.col("yes")).alias("yes"),
+                                               F.sum(F.col("n") * F.col("no")).alias("no")), "grams-longest")]
+    for k in range(ORDER, 0, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1))
+        levels.append(levels[-1].groupBy(shorter.alias("gram")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
+    known = None
+    for k, level in enumerate(reversed(levels)):
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        level = level.withColumns({"all_yes": F.sum("yes").over(context), "all_no": F.sum("no").over(context)})
+        if known is None:
+            level = level.withColumns({"p_yes": F.lit(1 / 256), "p_no": F.lit(1 / 256)})
+        else:
+            level = level.join(known, level.gram.bitwiseAND(F.lit((1 << (8 * k)) - 1)) == known.ending).drop("ending")
+        p = {c: (F.col(c) + BACK_OFF * F.col(f"p_{c}")) / (F.col(f"all_{c}") + BACK_OFF) for c in ("yes", "no")}
+        known = level.select(F.col("gram").alias("ending"), p["yes"].alias("p_yes"), p["no"].alias("p_no"))
+        if k < ORDER:
+            known = stored(known, f"order-{k}")
+    ratio = F.round((F.ln("p_yes") - F.ln("p_no")) * UNIT).cast("bigint")
+    return stored(known.select("ending", ratio.alias("ratio")), "ratios")
+
+
+def with_scores(parts: DataFrame) -> DataFrame:
+    """``parts`` with a score: mean log-likelihood difference per byte, accepted minus rejected; 0 for an empty url.
+
+    The examples are the rows with a label that are not held out.
+    """
+    counted = lambda v: F.count(F.when((F.col("label") == v) & (F.col("fold") != 0), 1))
+    urls = parts.groupBy("url").agg(counted(1).alias("yes"), counted(0).alias("no"))
+    urls = stored(urls.withColumn("id", F.monotonically_increasing_id()), "urls")
+    grams = stored(url_grams(urls), "url-grams")
+    ratios = gram_ratios(grams)
+    # whole units, so that a sum does not depend on the order of its rows
+    sums = grams.join(ratios, grams.gram == ratios.ending).groupBy("id").agg(
+        (F.sum(F.col("n") * F.col("ratio")) / F.lit(UNIT) / F.max("n_bytes")).alias("sum"))
+    scores = stored(urls.join(sums, "id").select(F.col("url").alias("of"), F.col("sum").alias("score")), "url-scores")
+    return parts.join(scores, parts.url == scores.of, "left").drop("of").withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -165,14 +206,11 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     0. A score at the threshold is allowed. Repeated ids are separate rows;
     other columns are ignored. An empty table gives an empty result.
     """
-    parts = stored(with_parts(pages, id_col, url_col).select(
-        "*", matched(0, rules).alias("rule"), matched(1, rules).alias("said")), "url-parts")
     url = F.concat("host", "path")
-    label = (F.col("said") == "allow").cast("int").alias("label")
-    fold = F.pmod(F.xxhash64(url), F.lit(HELD_OUT))
-    decided = parts.where("rule is not null")
-    model = count_examples(decided.where(fold != 0).select(label, url.alias("url")))
-    model.threshold = calibrate(with_scores(decided.where(fold == 0).select(label, url.alias("url")), model))
-    scored = with_scores(parts.select("page_id", "host", "path", "rule", "said", url.alias("url")), model)
-    by_model = F.when(F.col("score") >= F.lit(model.threshold), "allow").otherwise("block")
+    parts = stored(with_parts(pages, id_col, url_col).select(
+        "*", matched(0, rules).alias("rule"), matched(1, rules).alias("said"), url.alias("url"),
+        F.pmod(F.xxhash64(url), F.lit(HELD_OUT)).alias("fold")).withColumn("label", (F.col("said") == "allow").cast("int")), "url-parts")
+    scored = stored(with_scores(parts), "scored-parts")
+    threshold = calibrate(scored.where("rule is not null and fold = 0"))
+    by_model = F.when(F.col("score") >= F.lit(threshold), "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("said", by_model).alias("verdict"), "score")

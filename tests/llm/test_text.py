@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -16,7 +17,7 @@ from affinity.llm.bpe_backtrack import BacktrackBpe, encode_documents
 from affinity.llm.html_mincut import BlockClassifier, SLOTS, blocks_of, extract_main_text, min_cut
 from affinity.llm.token_cache import Counter as TokenCounter
 from affinity.llm.token_cache import read_cache, token_counts, tokenizer_digest
-from affinity.llm.url_markov import BACK_OFF, ORDER, MarkovPair, _slots, calibrate, judge_urls
+from affinity.llm.url_markov import BACK_OFF, ORDER, MarkovPair, _slots, calibrate, judge_urls, with_scores
 from affinity.session import checkpoint_dir
 
 from llm_data import ODD, docs_of  # noqa: F401
@@ -155,6 +156,29 @@ def test_markov_score_equals_its_definition():
     np.testing.assert_allclose(model.score(tests), want, rtol=1e-6, atol=1e-9)
 
 
+def test_url_scores_are_exact_beyond_the_hashed_slots(spark):
+    """More distinct grams than the hashed tables have slots: the scores equal those of exact dictionaries."""
+    rng = random.Random(3)
+    urls = [f"h{i}.{('org/', 'com/de/')[i % 2]}" + "".join(rng.choices("abcdefghij" if i % 3 else "klmnop0123", k=30)) for i in range(2500)]
+    rows = [(i, u, i % 7, 1 - i % 2) for i, u in enumerate(urls + urls[:9])]
+    got = {r.id: r.score for r in with_scores(spark.createDataFrame(rows, "id int, url string, fold int, label int")).collect()}
+    grams, contexts = Counter(), Counter()
+    for _, u, fold, c in rows:
+        padded = b"\0" * ORDER + u.encode()
+        for i, k in itertools.product(range(ORDER, len(padded)), range(ORDER + 1)) if fold else ():
+            grams[c, k, padded[i - k:i + 1]] += 1
+            contexts[c, k, padded[i - k:i]] += 1
+    assert sum(1 for _, k, _ in grams if k == ORDER) > 1 << 15 and len(got) == len(rows)
+    for i, u, _, _ in rows[::50]:
+        padded, total = b"\0" * ORDER + u.encode(), 0.0
+        for j, c in itertools.product(range(ORDER, len(padded)), (0, 1)):
+            p = 1 / 256
+            for k in range(ORDER + 1):
+                p = (grams[c, k, padded[j - k:j + 1]] + BACK_OFF * p) / (contexts[c, k, padded[j - k:j]] + BACK_OFF)
+            total += (2 * c - 1) * math.log(p)
+        assert abs(got[i] - total / len(u)) < 1e-9
+
+
 def test_url_model_separates_and_calibrates(spark):
     rows = judge_urls(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).collect()
     told = [(r.score, r.rule) for r in rows if r.rule]
