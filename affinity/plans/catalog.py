@@ -305,8 +305,7 @@ def exploded_lists(spark, sf_dir):
 @_q
 def random_search_report(i):
     train = i.training_set().where(F.col("split") == "train")
-    grid = {"maxIter": [2], "maxDepth": [2, 3, 4], "stepSize": [0.05, 0.08, 0.1], "subsamplingRate": [0.8, 0.9, 1.0]}
-    return search_report(i.spark, random_search(train, grid=grid))
+    return search_report(i.spark, random_search(train))
 
 
 @_q

@@ -68,6 +68,14 @@ def test_trees_fit_with_many_text_values(spark):
     assert model.tree_scores(fitted, ts).where("probability is null").count() == 0
 
 
+def test_registered_search_draws_from_the_whole_grid(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(catalog, "random_search", lambda *a, **k: given.append((len(a), k)))
+    monkeypatch.setattr(catalog, "search_report", lambda *a: None)
+    catalog.queries()["random_search_report"](spark, SF_SMALL)
+    assert given == [(1, {})]
+
+
 def test_random_search_does_not_depend_on_partitions(spark):
     ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
     grid = {"maxIter": [2], "maxDepth": [1, 2]}
