@@ -51,15 +51,3 @@ def words(text: Column) -> Column:
     flat = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))
     return F.filter(F.split(flat, " +"), lambda w: w != "")
 
-
-def without(docs: DataFrame, losers: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``docs`` whose keys (null-safe) are not in ``losers``.
-
-    Always a sort-merge join: ``losers`` grows with the documents.
-    """
-    cond = None
-    renamed = losers.select(*[F.col(k).alias(f"__loser_{i}") for i, k in enumerate(keys)])
-    for i, k in enumerate(keys):
-        c = docs[k].eqNullSafe(renamed[f"__loser_{i}"])
-        cond = c if cond is None else cond & c
-    return docs.join(renamed.hint("merge"), cond, "left_anti")

@@ -7,10 +7,6 @@ are linked. A variant has at most 65 members by construction; each links to
 the smallest of them (all are within 2 bits of each other), which keeps every
 group connected without listing its pairs. Links are deduplicated and verified
 by their bit count, then contracted to components.
-
-``near_copy_classes`` (the pipeline's near copies) also links texts whose sets of 5-word shingles have a
-Jaccard similarity of 0.8 or more, which may differ in many more bits. Pairs
-meet in MinHash bands and are checked on their whole sets.
 """
 
 from __future__ import annotations
@@ -21,28 +17,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import stored, without
+from affinity.llm.common import stored
 from affinity.llm.components import connected_components
 
 BITS = 64
 RADIUS = 2
 SHINGLE = 3
 SEED = 42
-#: words of a shingle whose sets are compared, the least similarity of near copies as a fraction
-SIMILAR_SHINGLE, SIMILAR = 5, (4, 5)
-#: a pair of that similarity shares no band with a probability of (1 - 0.8 ** ROWS) ** BANDS = 3e-6
-BANDS, ROWS = 32, 5
 #: hashes turned into bits at a time, so that memory does not grow with a text
 _CHUNK = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
-_U = np.uint64
-_DRAWN = np.random.default_rng(SEED)
-_TIMES = _DRAWN.integers(0, 1 << 64, BANDS * ROWS, _U) | _U(1)
-_PLUS = _DRAWN.integers(0, 1 << 64, BANDS * ROWS, _U)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -80,30 +68,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return _simhash(_words(text), shingle)
 
 
-def _bands(found: list[bytes], shingle: int) -> np.ndarray | None:
-    """One hash per MinHash band of the set of shingles; no words: none."""
-    low = np.full(BANDS * ROWS, _U(0xFFFFFFFFFFFFFFFF))
-    for hashes in _hashes(found, shingle):
-        for i in range(0, len(hashes), 512):
-            low = np.minimum(low, (hashes[i:i + 512, None] * _TIMES + _PLUS).min(axis=0))
-    key = np.arange(1, BANDS + 1, dtype=_U)
-    for row in low.reshape(BANDS, ROWS).T:
-        key = (key ^ (key >> _U(31))) * _U(0xBF58476D1CE4E5B9) + row
-        key = (key ^ (key >> _U(29))) * _U(0x94D049BB133111EB)
-    return key.view(np.int64) if found else None
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """Rows (doc_id, fp) for every row of ``docs``."""
+                 shingle: int = SHINGLE, also: list[str] | None = None) -> DataFrame:
+    """Rows (doc_id, fp) for every row of ``docs``, and its columns ``also``."""
+    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"), *(also or []))
+    kept = rows.columns[1:]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
+            fp = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(0)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], fp], [*kept, "fp"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -138,97 +115,35 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Rows (doc_id, content, fp, bands) for every row of ``docs``; content is a hash of the text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [_words(t.as_py()) for t in b.column(2)]
-            fp = pa.array([_simhash(w, SHINGLE) for w in found], pa.int64())
-            bands = pa.array([_bands(w, shingle) for w in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp, bands], ["doc_id", "content", "fp", "bands"])
-
-    rows = _with_content(docs, text_col).select(F.col(id_col).alias("doc_id"), "content", F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, content bigint, fp bigint, bands array<bigint>")
-
-
-def _with_content(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("content", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-
-
-def _similar(pairs: DataFrame, docs: DataFrame, text_col: str, shingle: int, similar: tuple[int, int]) -> DataFrame:
-    """The fingerprints (a, b) of those (x, y) pairs of contents whose shingle sets have the least similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [np.unique(np.concatenate(list(_hashes(_words(t.as_py()), shingle)))).view(np.int64) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"])
-
-    pairs = stored(pairs, "met-pairs")
-    met = stored(pairs.select(F.explode(F.array("x", "y")).alias("met")).distinct(), "met-contents")
-    texts = _with_content(docs, text_col).select("content", F.col(text_col).alias("text"))
-    texts = texts.join(met, texts.content == met.met, "left_semi").dropDuplicates(["content"])
-    # stored, so that a text with very many pairs can be split
-    sets = stored(texts.mapInArrow(run, "content bigint, shingles array<bigint>"), "shingle-sets")
-    left, right = (sets.select(F.col("content").alias(f"of_{c}"), F.col("shingles").alias(f"in_{c}")) for c in "xy")
-    both = pairs.join(left, F.col("x") == F.col("of_x")).join(right, F.col("y") == F.col("of_y"))
-    shared = both.select("a", "b", (F.size("in_x") + F.size("in_y")).alias("sizes"),
-                         F.size(F.array_intersect("in_x", "in_y")).alias("shared"))
-    part, whole = similar  # shared / (sizes - shared) >= part / whole
-    return shared.where((part + whole) * F.col("shared") >= part * F.col("sizes")).select("a", "b").distinct()
-
-
-def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """(fp, low_id, root) of all fingerprints by the links (a, b)."""
-    roots = connected_components(found, "a", "b")
-    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "low_id", F.coalesce("root", "fp").alias("root"))
-
-
-def near_copy_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      shingle: int = SIMILAR_SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """One row per row of ``docs``: doc_id, content (hash of the text), component_id.
-
-    Linked are fingerprints within RADIUS bits, and texts whose sets of
-    ``shingle`` words have at least the Jaccard similarity ``similar``. Members
-    of a band are first compared with its smallest. Then those that are still in
-    another component than most of their band are compared with all of it.
-    """
-    rows = stored(_sketches(docs, id_col, text_col, shingle), "sketches")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "fingerprint-nodes")
-    ball = stored(links(nodes), "ball-links")
-    texts = rows.dropDuplicates(["content"]).select("content", "fp", F.explode("bands").alias("band"))
-    crowd = stored(texts, "bands")
-    lowest = stored(crowd.groupBy(F.col("band").alias("in_band")).agg(
-        F.min(F.struct("content", "fp")).alias("low"), F.min("fp").alias("p"), F.max("fp").alias("q")).where("p <> q"), "band-lowest")
-    met = crowd.join(lowest, crowd.band == lowest.in_band)
-    shared = stored(met.select("band", "content", "fp", "low"), "shared-bands")
-    star = shared.where("fp <> low.fp").select(
-        F.col("content").alias("x"), F.col("low.content").alias("y"), F.col("fp").alias("a"), F.col("low.fp").alias("b")).distinct()
-    near = stored(ball.union(_similar(star, docs, text_col, shingle, similar)), "near-links")
-    first = stored(_rooted(nodes, near).select(F.col("fp").alias("print"), "root"), "first-roots")
-    members = stored(shared.join(first, shared.fp == first.print).select("band", "content", "fp", "root"), "band-members")
-    most = members.groupBy("band", "root").count().groupBy(F.col("band").alias("in_band")).agg(
-        F.max_by("root", F.struct("count", "root")).alias("most"), F.count("*").alias("n")).where("n > 1")
-    most = stored(most, "band-most")
-    split = stored(members.join(most, members.band == most.in_band).select("band", "content", "fp", "root", "most"), "split-bands")
-    odd = split.where("root <> most").select(
-        F.col("band").alias("odd_band"), F.col("content").alias("x"), F.col("fp").alias("a"), F.col("root").alias("odd_root"))
-    cross = odd.join(split, (odd.odd_band == split.band) & (odd.odd_root != split.root)).select(
-        F.least("x", "content").alias("x"), F.greatest("x", "content").alias("y"),
-        F.when(F.col("x") < F.col("content"), F.col("a")).otherwise(F.col("fp")).alias("a"),
-        F.when(F.col("x") < F.col("content"), F.col("fp")).otherwise(F.col("a")).alias("b")).distinct()
-    rooted = _rooted(nodes, near.union(_similar(cross, docs, text_col, shingle, similar)))
-    lowest_id = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    classes = stored(rooted.join(lowest_id, "root").select(F.col("fp").alias("key"), "component_id"), "classes")
-    return rows.join(classes, rows.fp == classes.key).select("doc_id", "content", "component_id")
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     shingle: int = SIMILAR_SHINGLE, similar: tuple[int, int] | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id.
-
-    Components are those of ``near_copy_classes``; without ``similar``, those of
-    ``simhash_components``. Rows with a null id can't be told apart and stay.
+                     shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component; all columns unchanged.
+
+    Components are those of ``simhash_components``. Of a component the row with
+    the smallest id stays (null ids last; of rows that share the id, the one with
+    the smallest SHA-256 of its text). Rows are told apart by id and text, so a
+    repeated id with an unrelated text is a row of its own, and a row repeated
+    with the same id and text stays once.
     """
-    classes = near_copy_classes(docs, id_col, text_col, shingle, similar) if similar else simhash_components(docs, id_col, text_col)
-    found = classes.where("doc_id <> component_id")
-    return without(docs, found.select(F.col("doc_id").alias(id_col)), [id_col]).select(*docs.columns)
+    def content(text: Column) -> Column:
+        return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+    rows = fingerprints(docs.withColumn(key := _free("content", docs), content(F.col(text_col))), id_col, text_col, shingle, [key])
+    prints = stored(rows.withColumnRenamed(key, "content"), "fingerprints")
+    nodes = stored(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("first")),
+                   "fingerprint-nodes")
+    roots = connected_components(links(nodes), "a", "b")
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("first", F.coalesce("root", "fp").alias("root"))
+    stay = stored(rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("stay_id"), F.col("first.content").alias("stay_content")), "stay")
+    tagged = docs.withColumn(key, content(F.col(text_col)))
+    kept = tagged.join(stay.hint("merge"), tagged[id_col].eqNullSafe(stay.stay_id) & (tagged[key] == stay.stay_content), "left_semi")
+    return kept.dropDuplicates([id_col, key]).select(*docs.columns)
+
+
+def _free(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
