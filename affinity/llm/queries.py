@@ -10,6 +10,7 @@ from affinity.llm.bpe_backtrack import encode_documents
 from affinity.llm.common import table
 from affinity.llm.exact_dedup import exact_dedup
 from affinity.llm.html_mincut import extract_main_text
+from affinity.llm.merkle_manifest import tampered_proofs
 from affinity.llm.mixing_ipf import mixture
 from affinity.llm.phrase_automata import remove_phrases
 from affinity.llm.quality_qda import quality_scores
@@ -64,14 +65,26 @@ def op10_mixing_ipf(spark, sf_dir):
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return tampered_proofs(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {f.__name__: f for f in (op1_phrase_automata, op2_quality_rules, op3_quality_qda, op4_simhash_ball,
                                     op5_exact_heavy_split, op6_url_markov, op7_token_cache, op8_html_mincut,
-                                    op9_bpe_backtrack, op10_mixing_ipf)}
+                                    op9_bpe_backtrack, op10_mixing_ipf, op11_merkle_manifest)}
 
 
 def oracle_sql():
-    return {"op1_phrase_automata": OP1, "op2_quality_rules": _op2(), "op5_exact_heavy_split": OP5}
+    return {"op1_phrase_automata": OP1, "op2_quality_rules": _op2(), "op5_exact_heavy_split": OP5,
+            "op11_merkle_manifest": OP11}
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    return f"""xor(list_reduce([4294967295] || list_transform(range(1, CAST(octet_length(encode({text})) AS BIGINT) + 1),
+      lambda i: CAST(('0x' || substr(hex(encode({text})), 2 * i - 1, 2)) AS BIGINT)),
+      lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
 
 
 OP1 = r"""
@@ -97,6 +110,44 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g ON d.t = g.t
 """
 
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars, source, text,
+    doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 AS hit FROM documents),
+f AS (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM d),
+l AS (SELECT r, doc_id, coalesce('=' || lang, '') AS tree,
+    sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + hit::INT AS VARCHAR)) || ':' || (n_chars + hit::INT), '-') || tail) AS changed FROM f),
+t AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n FROM t
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM up WHERE n > 1
+  GROUP BY tree, level, pos // 2, n),
+s AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+high AS (
+  SELECT 0 AS level, pos, subroot AS digest, n FROM s
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM high WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (
+  SELECT t.r, a.level, (t.pos >> a.level) % 2 AS side, b.digest FROM t JOIN up AS a ON a.tree = t.tree AND a.pos = t.pos >> a.level AND a.n > 1
+  LEFT JOIN up AS b ON b.tree = a.tree AND b.level = a.level AND b.pos = xor(a.pos, 1)
+  UNION ALL
+  SELECT t.r, 1000 + a.level, (s.pos >> a.level) % 2, b.digest FROM t JOIN s ON s.tree = t.tree JOIN high AS a ON a.pos = s.pos >> a.level AND a.n > 1
+  LEFT JOIN high AS b ON b.level = a.level AND b.pos = xor(a.pos, 1)),
+p AS (SELECT r, list({{'side': side, 'digest': digest}} ORDER BY level) AS path, coalesce(string_agg(digest, '' ORDER BY level), '') AS beside
+  FROM steps GROUP BY r),
+fold AS (
+  SELECT t.r, t.changed AS digest, p.path FROM t LEFT JOIN p ON t.r = p.r
+  UNION ALL
+  SELECT r, sha256(CASE WHEN path[1].digest IS NULL THEN digest WHEN path[1].side = 1 THEN path[1].digest || digest
+    ELSE digest || path[1].digest END), path[2:] FROM fold WHERE len(path) > 0)
+SELECT t.doc_id, t.leaf, s.subroot, high.digest AS root, sha256(coalesce(p.beside, '')) AS proof_sha256,
+  fold.digest AS folded_root, fold.digest = high.digest AS verified
+FROM t JOIN s ON t.tree = s.tree JOIN high ON high.n = 1 JOIN fold ON fold.r = t.r AND coalesce(len(fold.path), 0) = 0 LEFT JOIN p ON p.r = t.r
+"""
+
 
 def _op2() -> str:
     """Base counts in one pass, bins and quartiles per group, language and whole, then the fences."""

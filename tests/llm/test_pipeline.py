@@ -17,7 +17,7 @@ DOCS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_one_query_for_each_operator():
     names = sorted(queries.queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, len(names) + 1)) and len(names) >= 10
     assert set(queries.oracle_sql()) <= set(names) and {*names, "pipeline"} <= set(entry.queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
