@@ -18,6 +18,7 @@ from affinity.llm.quality_rules import METRICS, MIN_ROWS, REACH, quality_rules
 from affinity.llm.simhash_ball import simhash_components
 from affinity.llm.token_cache import token_counts
 from affinity.llm.url_markov import judge_urls
+from affinity.llm.winnowing import compare_with_edits
 from affinity.session import checkpoint_dir
 
 
@@ -69,10 +70,15 @@ def op11_merkle_manifest(spark, sf_dir):
     return tampered_proofs(table(spark, sf_dir, "documents"))
 
 
+def op12_winnowing(spark, sf_dir):
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {f.__name__: f for f in (op1_phrase_automata, op2_quality_rules, op3_quality_qda, op4_simhash_ball,
                                     op5_exact_heavy_split, op6_url_markov, op7_token_cache, op8_html_mincut,
-                                    op9_bpe_backtrack, op10_mixing_ipf, op11_merkle_manifest)}
+                                    op9_bpe_backtrack, op10_mixing_ipf, op11_merkle_manifest,
+                                    op12_winnowing)}
 
 
 def oracle_sql():
