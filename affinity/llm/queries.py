@@ -16,6 +16,7 @@ from affinity.llm.phrase_automata import remove_phrases
 from affinity.llm.quality_qda import quality_scores
 from affinity.llm.quality_rules import METRICS, MIN_ROWS, REACH, quality_rules
 from affinity.llm.simhash_ball import simhash_components
+from affinity.llm.spelling_fm import spelling_forms
 from affinity.llm.token_cache import token_counts
 from affinity.llm.url_markov import judge_urls
 from affinity.llm.winnowing import compare_with_edits
@@ -74,16 +75,20 @@ def op12_winnowing(spark, sf_dir):
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_fm(spark, sf_dir):
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {f.__name__: f for f in (op1_phrase_automata, op2_quality_rules, op3_quality_qda, op4_simhash_ball,
                                     op5_exact_heavy_split, op6_url_markov, op7_token_cache, op8_html_mincut,
                                     op9_bpe_backtrack, op10_mixing_ipf, op11_merkle_manifest,
-                                    op12_winnowing)}
+                                    op12_winnowing, op13_spelling_fm)}
 
 
 def oracle_sql():
     return {"op1_phrase_automata": OP1, "op2_quality_rules": _op2(), "op5_exact_heavy_split": OP5,
-            "op11_merkle_manifest": OP11}
+            "op11_merkle_manifest": OP11, "op13_spelling_fm": OP13}
 
 
 def _crc32(text: str) -> str:
@@ -154,6 +159,32 @@ SELECT t.doc_id, t.leaf, s.subroot, high.digest AS root, sha256(coalesce(p.besid
 FROM t JOIN s ON t.tree = s.tree JOIN high ON high.n = 1 JOIN fold ON fold.r = t.r AND coalesce(len(fold.path), 0) = 0 LEFT JOIN p ON p.r = t.r
 """
 
+OP13 = f"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+c AS (SELECT id || ':' || run AS said, run, length(run) AS size, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY id, run),
+h AS (SELECT run, size, n, {_crc32("said")} AS h FROM c),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (
+  SELECT a.word, b.word AS near FROM x AS a JOIN x AS b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, v.word FROM x JOIN v ON x.cut = v.word
+  UNION SELECT v.word, x.word FROM x JOIN v ON x.cut = v.word),
+b AS (SELECT p.word, count(*) AS n_near, max(v.n) AS form_n FROM p JOIN v ON p.near = v.word GROUP BY p.word),
+f AS (
+  SELECT v.word, v.n, coalesce(any_value(b.n_near), 0) AS n_near, CASE WHEN any_value(b.form_n) >= 10 * v.n THEN any_value(b.form_n) END AS form_n,
+    CASE WHEN any_value(b.form_n) >= 10 * v.n THEN min(o.word) END AS form
+  FROM v LEFT JOIN b ON v.word = b.word LEFT JOIN p ON p.word = v.word LEFT JOIN v AS o ON o.word = p.near AND o.n = b.form_n
+  GROUP BY v.word, v.n),
+t AS (
+  SELECT word, word AS root, form AS onward FROM f
+  UNION ALL
+  SELECT t.word, f.word, f.form FROM t JOIN f ON t.onward = f.word)
+SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON t.word = f.word AND t.onward IS NULL
+"""
+
 
 def _op2() -> str:
     """Base counts in one pass, bins and quartiles per group, language and whole, then the fences."""
