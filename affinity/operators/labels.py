@@ -96,6 +96,11 @@ def labelled_pairs(positives: DataFrame, products: DataFrame, seed: int = SEED,
 ROW_KEY = ["split", "time_date", "customer_id", "item_key"]
 
 
+def _keyed(*columns: str) -> Column:
+    """A join key that is never null, of columns that may be."""
+    return F.md5(F.to_json(F.struct(*columns)))
+
+
 def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED, per_round: int = 4,
                             buckets: int = NUMBERING_BUCKETS) -> DataFrame:
     """One negative per positive row that is never one of the customer's positives in that split.
@@ -108,38 +113,38 @@ def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int
     log2(products) rounds, and no draw count is capped. The customers' known
     products and each round's open rows are written to the shared checkpoint
     folder once. A customer who bought every product has no valid negative;
-    such rows are kept with a null product.
+    such rows are kept with a null product. Rows with a null split, date,
+    customer, product or item key are rows like any other: null customers of a
+    split are one customer.
     """
     from affinity.session import checkpoint_dir
 
     checkpoint_dir(positives.sparkSession)
     numbered = number_products(products, buckets).withColumnRenamed("product_id", "neg").checkpoint()
     n = products.where(F.col("product_id").isNotNull()).count()
+    keys = {"row": _keyed(*ROW_KEY, "product_id"), "who": _keyed("split", "customer_id")}
     known = (positives.where(F.col("product_id").isNotNull())
-             .select("split", "customer_id", F.col("product_id").alias("neg")).distinct().checkpoint())
+             .select(keys["who"].alias("who"), F.col("product_id").alias("neg")).distinct().checkpoint())
     # products a customer can still be given: positives outside the product table don't narrow the choice
-    per_customer = known.join(numbered.select("neg"), "neg").groupBy("split", "customer_id").agg(
-        F.count(F.lit(1)).alias("n_known"))
+    per_customer = known.join(numbered.select("neg"), "neg").groupBy("who").agg(F.count(F.lit(1)).alias("n_known"))
     # identical positive rows share their draws: resolve each distinct row once, then join back
-    rows = positives.select(*ROW_KEY, "product_id").distinct()
-    impossible = (rows.join(per_customer, ["split", "customer_id"])
-                  .where(F.col("n_known") >= n).select(*ROW_KEY).checkpoint())
-    pending = rows.join(impossible, ROW_KEY, "left_anti").checkpoint()
+    rows = positives.select(*ROW_KEY, "product_id").distinct().withColumns(keys)
+    impossible = rows.join(per_customer, "who", "left").where(F.coalesce("n_known", F.lit(0)) >= n).select("row").checkpoint()
+    pending = rows.join(impossible, "row", "left_anti").checkpoint()
     found = []
     first, draws_now = 0, per_round
     while pending.take(1):
-        draws = pending.select(*ROW_KEY, "product_id",
-                               F.explode(F.sequence(F.lit(first), F.lit(first + draws_now - 1))).alias("j"))
-        draws = draws.select(*ROW_KEY, "j", uniform_index(
+        draws = pending.select("*", F.explode(F.sequence(F.lit(first), F.lit(first + draws_now - 1))).alias("j"))
+        draws = draws.select("row", "who", "j", uniform_index(
             key_text(F.lit(str(seed)), F.col("time_date"), F.col("customer_id"), F.col("product_id"),
                      F.col("item_key"), F.col("j")), F.lit(n)).alias("product_idx"))
-        ok = draws.join(numbered, "product_idx").join(known, ["split", "customer_id", "neg"], "left_anti")
-        hit = ok.groupBy(*ROW_KEY).agg(F.min_by("neg", "j").alias("product_id")).checkpoint()
+        ok = draws.join(numbered, "product_idx").join(known, ["who", "neg"], "left_anti")
+        hit = ok.groupBy("row").agg(F.min_by("neg", "j").alias("negative")).checkpoint()
         found.append(hit)
-        pending = pending.join(hit.select(*ROW_KEY), ROW_KEY, "left_anti").checkpoint()
+        pending = pending.join(hit.select("row"), "row", "left_anti").checkpoint()
         first, draws_now = first + draws_now, 2 * draws_now
-    resolved = impossible.withColumn("product_id", F.lit(None).cast("bigint"))
+    resolved = impossible.withColumn("negative", F.lit(None).cast("bigint"))
     for hit in found:
         resolved = resolved.unionByName(hit)
-    out = positives.select(*ROW_KEY).join(resolved, ROW_KEY, "inner")
-    return out.select("split", "time_date", "customer_id", "item_key", "product_id").withColumn(LABEL_COL, F.lit(0))
+    out = positives.withColumn("row", keys["row"]).join(resolved, "row")
+    return out.select(*ROW_KEY, F.col("negative").alias("product_id")).withColumn(LABEL_COL, F.lit(0))

@@ -151,8 +151,26 @@ def submission(recs: DataFrame) -> DataFrame:
     return recs.select("customer_id", format_id_list(F.col("list_product_id"), " ").alias("list_product_id"))
 
 
+#: fixed value: the first line of a predictions file
+PREDICTIONS_HEADER = "customer_id, list_product_id"
+
+
 def parse_prediction_lines(lines: DataFrame) -> DataFrame:
-    """Predictions text -> submission rows, for predictions that exist as text only."""
+    """Predictions text -> submission rows, for predictions that exist as text only.
+
+    Header lines are skipped (a folder has one per file). A line whose id is no
+    number gives a row with a null id; ``unparsed_prediction_lines`` has those.
+    """
     parts = F.split(F.col("line"), ",", 2)
-    return lines.select(parts[0].cast("bigint").alias("customer_id"),
-                        format_id_list(parse_id_list(parts[1]), " ").alias("list_product_id"))
+    return _without_header(lines).select(parts[0].try_cast("bigint").alias("customer_id"),
+                                         format_id_list(parse_id_list(parts[1]), " ").alias("list_product_id"))
+
+
+def unparsed_prediction_lines(lines: DataFrame) -> DataFrame:
+    """The lines that are neither a header nor begin with an id and a list."""
+    fits = F.coalesce(F.col("line").rlike(r"^\s*\d+\s*,\s*\[[\d,\s]*\]\s*$"), F.lit(False))
+    return _without_header(lines).where(~fits)
+
+
+def _without_header(lines: DataFrame) -> DataFrame:
+    return lines.where(~F.trim("line").eqNullSafe(F.lit(PREDICTIONS_HEADER)))

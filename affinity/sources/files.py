@@ -9,6 +9,9 @@ malformed value becomes NULL instead of failing the job under ANSI mode.
 
 from __future__ import annotations
 
+import csv
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,19 +28,51 @@ def normalise_missing(col: Column, dtype: T.DataType) -> Column:
     return typed
 
 
+def _csv(spark: SparkSession):
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("emptyValue", "").option("inferSchema", False))
+
+
+def file_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, ...]]:
+    """The column names in the first line of every file; opens them one after another and reads a line of each."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found = []
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        found.append(tuple(next(csv.reader([line.removeprefix("\ufeff")]))) if line else ())
+    return found
+
+
 def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` as text, taken by their names in the header.
+    """The columns of ``schema`` as text, taken by their names in each file's own header.
 
     Quotes are doubled inside quoted text, and quoted text may hold commas and
-    line breaks. Columns beyond the schema are left out; a missing one is an
-    error.
+    line breaks. Files of a folder may order their columns differently: those
+    with the same header are read together. Columns beyond the schema are left
+    out; a missing one, in any file, is an error. Empty files have no rows.
     """
-    raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
-           .option("emptyValue", "").option("inferSchema", False).csv(path))
-    missing = [f.name for f in schema.fields if f.name not in raw.columns]
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)} in {raw.columns}")
-    return raw.select([F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields])
+    orders: dict[tuple[str, ...], list[str]] = {}
+    names = sorted(_csv(spark).csv(path).inputFiles())
+    for name, header in zip(names, file_headers(spark, names)):
+        orders.setdefault(header, []).append(name)
+    orders.pop((), None)
+    if not orders:
+        raise ValueError(f"{path}: no file with a header")
+    parts = []
+    for header, files in orders.items():
+        missing = [f.name for f in schema.fields if f.name not in header]
+        if missing:
+            raise ValueError(f"{files[0]}: no column {', '.join(missing)} in {list(header)}")
+        raw = _csv(spark).csv(files)
+        parts.append(raw.select([F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields]))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:

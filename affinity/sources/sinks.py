@@ -1,4 +1,4 @@
-"""Sinks: predictions (S5), submission CSV (S6) and the metrics table.
+"""Sinks: predictions (S5, as lists or text), submission CSV (S6) and the metrics table.
 
 Writers are plain DataFrame writes, so the output is produced by the
 executors in parallel and a lost task is simply re-run.
@@ -15,6 +15,12 @@ def write_predictions(recommendations: DataFrame, path: str) -> None:
     recommendations.write.mode("overwrite").parquet(path)
 
 
+def write_prediction_lines(lines: DataFrame, path: str, header: str) -> None:
+    """Predictions text (``id,[a, b]``), one line per row below a header line in every file."""
+    # a CSV of one column whose separator does not occur, so that nothing is quoted
+    lines.select(F.col("line").alias(header)).write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
+
+
 def write_submission(submission: DataFrame, path: str) -> None:
     """Two-column CSV with a header: ``customer_id,list_product_id`` (``[a b]`` text)."""
     (submission.select("customer_id", "list_product_id")

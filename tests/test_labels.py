@@ -98,3 +98,18 @@ def test_labelled_pairs_compute_positives_once(spark):
     pos, prods = tables.label_items(spark, SF_SMALL), tables.products(spark, SF_SMALL)
     plan = labels.labelled_pairs(pos, prods)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") <= 2 and plan.count("lineitem.parquet") <= 2
+
+
+def test_strict_negatives_of_rows_with_null_keys(spark):
+    """Null split, customer, date, product and item key: every row comes back, null customers share their known products."""
+    d = dt.date(2020, 9, 20)
+    rows = [("train", d, None, 1, "a"), ("train", d, None, 2, "b"), ("train", None, 5, 3, "c"), ("train", d, 5, None, None),
+            (None, d, 5, 1, "d"), ("train", None, None, None, None), ("train", d, None, 1, "a")]
+    pos = spark.createDataFrame(rows, "split string, time_date date, customer_id bigint, product_id bigint, item_key string")
+    prods = spark.createDataFrame([(i,) for i in (1, 2, 3)], "product_id bigint")
+    got = sorted(map(str, labels.sample_negatives_strict(pos, prods, per_round=4).select("split", "time_date", "customer_id", "item_key").collect()))
+    assert got == sorted(map(str, pos.select("split", "time_date", "customer_id", "item_key").collect()))
+    neg = {(r.split, r.customer_id, r.item_key): r.product_id for r in labels.sample_negatives_strict(pos, prods).collect()}
+    assert neg["train", None, "a"] == neg["train", None, "b"] == neg["train", None, None] == 3
+    assert neg["train", 5, "c"] in (1, 2) and neg["train", 5, None] in (1, 2) and neg[None, 5, "d"] in (2, 3)
+    assert {r.product_id for r in labels.sample_negatives_strict(pos, prods.limit(0)).collect()} == {None}

@@ -7,6 +7,7 @@ from affinity.functions.pairs import FAVOURITES
 from affinity.operators import recommend
 from affinity.operators.model import AffinityScorer
 from affinity.plans import catalog
+from affinity.sources import sinks
 
 from conftest import SF_SMALL
 
@@ -123,3 +124,16 @@ def test_no_exchange_between_fan_out_and_ranking(spark):
     fan_out = next(n for n, line in enumerate(lines) if n > window and "Generate explode" in line)
     assert not any("Exchange" in line for line in lines[window:fan_out])
     assert any("REPARTITION_BY_NUM" in line and "customer_id" in line for line in lines[fan_out:])
+
+
+def test_prediction_lines_with_headers_and_bad_lines(spark, tmp_path):
+    recs = spark.createDataFrame([(1, [3, 4]), (2, []), (3, [5])], "customer_id bigint, list_product_id array<bigint>").repartition(2)
+    path = str(tmp_path / "predictions")
+    sinks.write_prediction_lines(recommend.prediction_lines(recs), path, recommend.PREDICTIONS_HEADER)
+    lines = spark.read.text(path).toDF("line")
+    assert lines.where("line = 'customer_id, list_product_id'").count() >= 1 and lines.where("line = '1,[3, 4]'").count() == 1
+    assert sorted(map(tuple, recommend.parse_prediction_lines(lines).collect())) == [(1, "[3 4]"), (2, "[]"), (3, "[5]")]
+    assert recommend.unparsed_prediction_lines(lines).count() == 0
+    odd = spark.createDataFrame([("x7,[1]",), ("8",), (None,), ("9,[1, 2]",)], "line string")
+    assert {r.line for r in recommend.unparsed_prediction_lines(odd).collect()} == {"x7,[1]", "8", None}
+    assert [r.list_product_id for r in recommend.parse_prediction_lines(odd).where("customer_id = 9").collect()] == ["[1 2]"]

@@ -120,3 +120,20 @@ def test_session_keeps_submitted_sizes(spark):
         assert get_spark("again").conf.get("spark.sql.shuffle.partitions") == "4000"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_csv_files_of_a_folder_may_order_their_columns_differently(spark, tmp_path):
+    import gzip
+
+    import pytest
+
+    (tmp_path / "a.csv").write_text("time_date,customer_id,product_id,price,sales_channel_id\n2020-01-01,1,10,0.5,2\n")
+    (tmp_path / "b.csv").write_text("customer_id,product_id,time_date,\"price\",sales_channel_id,more\n7,70,2020-02-02,0.25,1,x\n8,80,2020-02-03,NA,1,y\n")
+    (tmp_path / "c.csv").write_text("")
+    with gzip.open(tmp_path / "d.csv.gz", "wt") as f:
+        f.write("product_id,time_date,customer_id,price,sales_channel_id\n90,2020-03-03,9,1.5,2\n")
+    got = sorted((str(r.time_date), r.customer_id, r.product_id, r.price) for r in files.read_transactions(spark, str(tmp_path)).collect())
+    assert got == [("2020-01-01", 1, 10, 0.5), ("2020-02-02", 7, 70, 0.25), ("2020-02-03", 8, 80, None), ("2020-03-03", 9, 90, 1.5)]
+    (tmp_path / "e.csv").write_text("customer_id,price\n1,2\n")
+    with pytest.raises(ValueError, match="e.csv: no column time_date"):
+        files.read_transactions(spark, str(tmp_path))
