@@ -22,6 +22,7 @@ from affinity.operators import features as feat
 from affinity.operators import labels, metrics, pairs, recommend
 from affinity.operators.model import (AffinityScorer, TreeParams, fit_match_weights, fit_trees, fitted_scorer,
                                       model_frame_indexed, random_search, search_report, tree_scores)
+from affinity.operators.tree_topk import tree_top_k
 from affinity.session import checkpoint_dir
 from affinity.sources import files, tables
 from affinity.sources.schemas import LABEL_COL
@@ -53,6 +54,8 @@ class Inputs:
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.scorer = scorer or AffinityScorer()
 
+    #: the day that requests are scored for: here the first of the validation labels
+    scoring_date = tables.SPLIT_DATE
     # one DataFrame per table: the scans are planned once
     customers = cached_property(lambda self: tables.customers(self.spark, self.sf_dir))
     products = cached_property(lambda self: tables.products(self.spark, self.sf_dir))
@@ -102,6 +105,9 @@ class Inputs:
 class FileInputs(Inputs):
     """The same tables from CSV files; ``paths`` names customers, products, transactions, train_labels, val_labels, requests."""
 
+    #: fixed value: the reference's scoring day
+    scoring_date = datetime.date(2020, 9, 14)
+
     def __init__(self, spark: SparkSession, paths: dict[str, str], scorer: AffinityScorer | None = None,
                  as_of: datetime.date | None = None):
         super().__init__(spark, "", scorer, as_of)
@@ -354,6 +360,16 @@ def gbt_evaluation_report(i):
     return metrics.evaluation_report(tree_scores(model, ts), prob="probability", score="probability", by=["split"])
 
 
+@_q
+def recommendations_trees(i):
+    """The reference's own job: the 12 best products of every requested customer by the fitted trees."""
+    checkpoint_dir(i.spark)
+    cwf, pwf = i.customers_wf().checkpoint(), i.products_wf().checkpoint()
+    model = fit_trees(pairs.training_set(i.labelled().where(F.col("split") == "train"), cwf, pwf), TreeParams())
+    recs = recommend.recommendations(i.requests, tree_top_k(model, i.requests, cwf, pwf, i.scoring_date))
+    return recs.select("customer_id", format_id_list(F.col("list_product_id")).alias("list_product_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs = [typed_customers, typed_products, encoded_customers, transactions, expanded_transactions,
           attribute_counts, favourites, favourites_observed, favourites_rownumber, customer_rfm, product_price_stats,
@@ -362,5 +378,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           pair_features, training_set, topk, recommendations, submission, parsed_predictions,
           customer_features_as_of, model_inputs, fitted_weights, recommendations_fitted, parsed_text, exploded_lists,
           random_search_report, scored_pairs,
-          confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report]
+          confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report, recommendations_trees]
     return {q.__name__: q for q in qs}

@@ -3,8 +3,9 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from affinity.operators import model
+from affinity.operators import model, recommend
 from affinity.operators.pairs import MODEL_FEATURES, TRAINING_COLUMNS
+from affinity.operators.tree_topk import tree_top_k
 from affinity.plans import catalog
 from affinity.sources import tables
 
@@ -59,6 +60,14 @@ def test_train_and_score_jobs(spark):
     recs = jobs.score(spark, SF_SMALL, out)
     assert recs.count() == tables.requests(spark, SF_SMALL).count()
     assert os.path.exists(os.path.join(out, "submission"))
+    # the saved trees, loaded again, rank the products
+    i = catalog.Inputs(spark, SF_SMALL)
+    by_trees = jobs.score(spark, SF_SMALL, out, by="trees")
+    top = tree_top_k(model.load_model(os.path.join(out, "model")), i.requests, i.customers_wf(), i.products_wf(), i.scoring_date)
+    assert sorted(map(str, by_trees.collect())) == sorted(map(str, recommend.recommendations(i.requests, top).collect()))
+    lines = spark.read.text(os.path.join(out, "predictions_text")).toDF("line")
+    assert recommend.unparsed_prediction_lines(lines).count() == 0
+    assert recommend.parse_prediction_lines(lines).count() == by_trees.count()
 
 
 def test_trees_fit_with_many_text_values(spark):

@@ -1,0 +1,115 @@
+"""Recommendations from fitted trees against scoring every pair."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from affinity.operators import model, pairs, tree_topk
+from affinity.operators.tree_topk import tree_top_k
+from affinity.plans import catalog
+
+from conftest import SF_SMALL
+
+DAY = dt.date(2001, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    i = catalog.Inputs(spark, SF_SMALL)
+    cwf, pwf = i.customers_wf().checkpoint(), i.products_wf().checkpoint()
+    ts = pairs.training_set(i.labelled(), cwf, pwf)
+    return model.fit_trees(ts.where("split = 'train'"), model.TreeParams(max_iter=30, max_depth=5)), i.requests, cwf, pwf
+
+
+def every_pair(fitted, requests, cwf, pwf, k):
+    """Margins of all pairs by the pipeline itself (a cross join, for the test only)."""
+    grid = requests.select("customer_id").distinct().join(cwf, "customer_id", "left").crossJoin(pwf)
+    wide = pairs.with_pair_features(grid).withColumn("time_date", F.lit(DAY))
+    out = fitted.transform(model.model_frame(wide.select("customer_id", "product_id", *pairs.MODEL_FEATURES)))
+    rows = out.select("customer_id", "product_id", vector_to_array("rawPrediction")[1].alias("raw")).collect()
+    best = {}
+    for r in rows:
+        m = round(r.raw / 2, 9)  # the raw prediction of class 1 is twice the margin
+        best.setdefault(r.customer_id, []).append((-m if m else 0.0, r.product_id))
+    scale = max(abs(x) for b in best.values() for x, _ in b)
+    assert scale > 0
+    return {c: [(p, -m) for m, p in sorted(b)[:k] if m <= 0] for c, b in best.items()}
+
+
+@pytest.mark.parametrize("block,cell", [(8192, 256), (40, 7)])
+def test_equals_scoring_every_pair(fitted, block, cell):
+    trees, requests, cwf, pwf = fitted
+    got = {}
+    for r in tree_top_k(trees, requests, cwf, pwf, DAY, block=block, cell=cell).collect():
+        got.setdefault(r.customer_id, []).append((r["rank"], r.product_id, r.probability))
+    want = every_pair(trees, requests, cwf, pwf, 12)
+    assert any(want.values())
+    for c, best in want.items():
+        mine = sorted(got.get(c, []))
+        assert [p for _, p, _ in mine] == [p for p, _ in best], c
+        assert [n for n, _, _ in mine] == list(range(1, len(best) + 1))
+
+
+def test_plan_has_no_join_of_all_pairs_and_odd_inputs_work(spark, fitted):
+    trees, requests, cwf, pwf = fitted
+    df = tree_top_k(trees, requests, cwf, pwf, DAY)
+    plan = df._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "WindowGroupLimit" in plan
+    assert tree_top_k(trees, requests.limit(0), cwf, pwf, DAY).count() == 0
+    assert tree_top_k(trees, requests, cwf, pwf.limit(0), DAY).count() == 0
+    unknown = spark.createDataFrame([(None,), (-5,), (-5,)], "customer_id bigint")
+    rows = tree_top_k(trees, unknown, cwf, pwf, DAY).collect()
+    assert {r.customer_id for r in rows} <= {-5} and len(rows) <= 12
+
+
+def random_side(rng, n, customer):
+    numbers = rng.integers(0, 6, (n, 5 if customer else 4)).astype(float)
+    numbers[rng.random(numbers.shape) < 0.1] = np.nan
+    if not customer:
+        numbers[:, 3] = rng.integers(0, 5, n)
+    means, stds = rng.normal(size=(n, 5)), rng.random((n, 5)) + 0.01
+    means[rng.random(means.shape) < 0.1] = np.nan
+    stds[rng.random(stds.shape) < 0.1] = np.nan
+    attributes = rng.integers(0, 4, (n, 11))
+    attributes[rng.random(attributes.shape) < 0.1] = -1 if customer else -2
+    return tree_topk.Products(rng.permutation(10 * n)[:n], numbers, means, stds, attributes)
+
+
+def random_tree(rng, depth):
+    if not depth or rng.random() < 0.15:
+        return float(np.round(rng.normal(), 1))
+    f = str(rng.choice(tree_topk.FEATURES))
+    by_code = f.endswith("_idx")
+    among = frozenset(map(float, rng.choice(6, rng.integers(1, 4), replace=False))) if by_code else frozenset()
+    cut = 0.5 if f.endswith("_match") else float(rng.choice([-5e8, -0.5, 0.0, 0.5, 1.0, 2.5, 4.0]))
+    return tree_topk.Split(f, None if by_code else cut, among, random_tree(rng, depth - 1), random_tree(rng, depth - 1))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_bounds_hold_and_pruning_loses_nothing(seed):
+    """Random ensembles, sides with missing values: no score above its cell's bound, the k best as by full scoring."""
+    rng = np.random.default_rng(seed)
+    trees = [(float(rng.choice([1.0, 0.1])), random_tree(rng, 5)) for _ in range(8)]
+    products, requests = random_side(rng, 300, False), random_side(rng, 20, True)
+    full = np.broadcast_to(tree_topk.margins(trees, *tree_topk._single(products, requests)), (20, 300))
+    cells = products.cells(16)
+    bounds = np.broadcast_to(tree_topk.margins(trees, *tree_topk._box(cells, requests)), (20, len(cells)))
+    for c, part in enumerate(cells):
+        exact = np.broadcast_to(tree_topk.margins(trees, *tree_topk._single(part, requests)), (20, len(part.ids)))
+        assert (exact.max(axis=1) <= bounds[:, c]).all()
+    seen = []
+    top, ids = tree_topk.best_of_block(trees, products, requests, 5, 16, seen)
+    for i in range(20):
+        want = sorted((-m, p) for m, p in zip(full[i], products.ids) if m >= 0)[:5]
+        assert [(-m, p) for m, p in zip(top[i], ids[i]) if m >= 0] == want
+    assert sum(seen) <= full.size
+
+
+def test_top_k_of_any_scored_frame(spark):
+    rows = [(1, 3, 0.5), (1, 2, 0.5), (1, 9, 0.9), (1, 4, None), (2, 1, 0.1)]
+    scored = spark.createDataFrame(rows, "customer_id bigint, product_id bigint, p double")
+    got = sorted((r.customer_id, r["rank"], r.product_id) for r in tree_topk.top_k(scored, "p", 2).collect())
+    assert got == [(1, 1, 9), (1, 2, 2), (2, 1, 1)]
