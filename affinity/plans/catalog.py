@@ -19,11 +19,11 @@ from pyspark.sql import types as T
 from affinity.functions.encode import encode_customers
 from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
-from affinity.operators import labels, metrics, pairs, recommend
+from affinity.operators import boosting, labels, metrics, pairs, recommend
 from affinity.operators.model import (AffinityScorer, TreeParams, fit_match_weights, fit_trees, fitted_scorer,
                                       model_frame_indexed, random_search, search_report, tree_scores)
 from affinity.operators.tree_topk import tree_top_k
-from affinity.session import checkpoint_dir
+from affinity.session import checkpoint_dir, stored
 from affinity.sources import files, tables
 from affinity.sources.schemas import LABEL_COL
 
@@ -360,6 +360,18 @@ def gbt_evaluation_report(i):
     return metrics.evaluation_report(tree_scores(model, ts), prob="probability", score="probability", by=["split"])
 
 
+@_q
+def boost_inputs(i):
+    return rounded(boosting.boost_frame(_checkpointed_training_set(i)))
+
+
+@_q
+def boosted_report(i):
+    frame = stored(boosting.boost_frame(_checkpointed_training_set(i)), "boost-frame")
+    model = boosting.fit_boosting(frame.where(F.col("split") == "train"))
+    return metrics.evaluation_report(boosting.boosted_probability(model, frame), prob="probability", score="probability", by=["split"])
+
+
 @_q
 def recommendations_trees(i):
     """The reference's own job: the 12 best products of every requested customer by the fitted trees."""
@@ -378,5 +390,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           pair_features, training_set, topk, recommendations, submission, parsed_predictions,
           customer_features_as_of, model_inputs, fitted_weights, recommendations_fitted, parsed_text, exploded_lists,
           random_search_report, scored_pairs,
-          confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report, recommendations_trees]
+          confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report, recommendations_trees,
+          boost_inputs, boosted_report]
     return {q.__name__: q for q in qs}

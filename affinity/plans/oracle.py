@@ -335,6 +335,18 @@ select split, customer_id, product_id, link_pred_baseline_target, {_DAYS}, {_NUM
 from pairs left join codes on g = prod_group_name"""
 
 
+# missing values stay missing; a training pair is coded from the pairs of the other four folds, any other from all
+_KEY = ", ".join(f"coalesce(cast({c} as varchar), 'null')" for c in ("split", "time_date", "customer_id", "product_id", "link_pred_baseline_target"))
+BOOST_INPUTS = f""", folded as (select *, case when split = 'train' then {_h60(f"concat_ws('|', '{SEED}', {_KEY})")} % 5 else -1 end as fold from pairs),
+fc as (select prod_group_name as g, fold, count(*) as n, sum(link_pred_baseline_target) as y from folded where fold >= 0 group by all),
+wc as (select g, sum(n) as n, sum(y) as y from fc group by g), oc as (select sum(y) / sum(n) as r from wc)
+select split, customer_id, product_id, link_pred_baseline_target, {_DAYS.replace("coalesce(", "").replace(", -1e9)", "")},
+  {_NUMBERS.replace("coalesce(", "").replace(", -1e9)", "")},
+  {rnd("coalesce((wc.y - coalesce(fc.y, 0) + 20 * r) / (wc.n - coalesce(fc.n, 0) + 20), r)")} as prod_group_name_rate
+from folded join oc on true left join wc on wc.g is not distinct from prod_group_name
+left join fc on fc.g is not distinct from prod_group_name and fc.fold = folded.fold"""
+
+
 def _lit(x: float) -> str:
     return f"cast({float(x)!r} as double)"
 
@@ -480,6 +492,7 @@ union all select p_partkey, cast(p_size as bigint), '1' from part where p_partke
 union all select p_partkey, p_partkey, '2' from part where p_partkey % 10 <> 0
 union all select p_partkey, null, '' from part where p_partkey % 10 = 0""",
         "model_inputs": training + MODEL_INPUTS,
+        "boost_inputs": training + BOOST_INPUTS,
         "scored_pairs": scoring + f"\nselect split, time_date, customer_id, product_id, link_pred_baseline_target, "
                                   f"{rr('logit')}, {rr('probability')} from scored2",
         "confusion_metrics": scoring + f",\n{_confusion_cte()}\nselect split, n, tp, fp, fn, tn, {rr('accuracy')}, "
