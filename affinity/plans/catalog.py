@@ -9,6 +9,7 @@ Lists are emitted as ``[a b]`` text.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -24,8 +25,9 @@ from affinity.operators.model import (AffinityScorer, TreeParams, fit_match_weig
                                       model_frame_indexed, random_search, search_report, tree_scores)
 from affinity.operators.tree_topk import tree_top_k
 from affinity.session import checkpoint_dir, stored
-from affinity.sources import files, tables
-from affinity.sources.schemas import LABEL_COL
+from affinity.sources import files, sinks, tables
+from affinity.sources.schemas import CUSTOMERS, LABEL_COL, PRODUCTS
+from affinity.sources.type_map import asserted, merged, read_type_map
 
 DECIMALS = 6
 
@@ -103,7 +105,10 @@ class Inputs:
 
 
 class FileInputs(Inputs):
-    """The same tables from CSV files; ``paths`` names customers, products, transactions, train_labels, val_labels, requests."""
+    """The same tables from CSV files; ``paths`` names customers, products, transactions, train_labels, val_labels, requests.
+
+    ``paths`` may name a type map as ``types``: then the entity tables have its columns and types.
+    """
 
     #: fixed value: the reference's scoring day
     scoring_date = datetime.date(2020, 9, 14)
@@ -113,8 +118,26 @@ class FileInputs(Inputs):
         super().__init__(spark, "", scorer, as_of)
         self.paths = paths
 
-    customers = cached_property(lambda self: files.read_customers(self.spark, self.paths["customers"]))
-    products = cached_property(lambda self: files.read_products(self.spark, self.paths["products"]))
+    @cached_property
+    def types(self):
+        return read_type_map(self.spark, self.paths["types"]) if "types" in self.paths else (CUSTOMERS, PRODUCTS)
+
+    customers = cached_property(lambda self: files.read_customers(self.spark, self.paths["customers"], self.types[0]))
+    products = cached_property(lambda self: files.read_products(self.spark, self.paths["products"], self.types[1]))
+
+    def customers_wf(self):
+        found = super().customers_wf()
+        derived = T.StructType([f for f in found.schema if f.name not in self.types[0].names])
+        # the two status columns are text in the files and numbers once encoded
+        coded = T.StructType([T.StructField(f.name, T.DoubleType()) if f.name in ("member_status", "news_frequency") else f
+                              for f in self.types[0]])
+        return asserted(found, merged(coded, derived), "customers with features")
+
+    def products_wf(self):
+        found = super().products_wf()
+        derived = T.StructType([f for f in found.schema if f.name not in self.types[1].names])
+        return asserted(found, merged(self.types[1], derived), "products with features")
+
     all_tx = cached_property(lambda self: files.read_transactions(self.spark, self.paths["transactions"]))
     requests = cached_property(lambda self: files.read_requests(self.spark, self.paths["requests"]))
 
@@ -308,6 +331,46 @@ def exploded_lists(spark, sf_dir):
     return labels.explode_labels(lists)
 
 
+def _as_csv(df: DataFrame) -> str:
+    """Path of the table written as CSV files in the shared folder."""
+    path = f"{checkpoint_dir(df.sparkSession)}/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(df, path)
+    return path
+
+
+@_q
+def csv_customers(i):
+    """Every customer, written as CSV and read by the typed scan."""
+    return files.read_customers(i.spark, _as_csv(i.customers))
+
+
+@_q
+def csv_products(i):
+    return files.read_products(i.spark, _as_csv(i.products))
+
+
+@_q
+def csv_transactions(i):
+    """Every transaction by way of CSV files."""
+    return files.read_transactions(i.spark, _as_csv(i.all_tx))
+
+
+@_q
+def csv_requests(i):
+    """Every request by way of CSV files, null ids too (S3)."""
+    return files.read_requests(i.spark, _as_csv(i.requests))
+
+
+def csv_label_lists(spark, sf_dir):
+    """A dated label list made from every product row, by way of CSV files, exploded."""
+    key = F.col("p_partkey")
+    lists = tables._read(spark, sf_dir, "part").select(
+        F.when(key % 11 != 0, F.date_add(F.lit(datetime.date(2020, 1, 1)), F.col("p_size").cast("int"))).alias("time_date"), key.alias("customer_id"),
+        F.when(key % 10 == 0, "[]").otherwise(F.concat(F.lit("["), F.concat_ws(" ", key.cast("string"), F.col("p_size").cast("string")), F.lit("]"))).alias("list_product_id"))
+    found = labels.explode_labels(files.read_label_lists(spark, _as_csv(lists), "val"))
+    return found.withColumn("time_date", F.col("time_date").cast("string"))
+
+
 @_q
 def random_search_report(i):
     train = i.training_set().where(F.col("split") == "train")
@@ -391,5 +454,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           customer_features_as_of, model_inputs, fitted_weights, recommendations_fitted, parsed_text, exploded_lists,
           random_search_report, scored_pairs,
           confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report, recommendations_trees,
-          boost_inputs, boosted_report]
+          boost_inputs, boosted_report, csv_customers, csv_products, csv_transactions, csv_requests, csv_label_lists]
     return {q.__name__: q for q in qs}

@@ -486,6 +486,18 @@ select c_custkey as customer_id, case when c_custkey % 3 = 0 then null else cast
        case when c_custkey % 5 <> 0 then c_mktsegment when c_custkey % 7 = 4 then 'NONE' when c_custkey % 7 = 6 then '12x' end as s,
        case when c_custkey % 4 <> 0 then concat('2020-0', cast(1 + c_custkey % 9 as varchar), '-15') end as d
 from customer""",
+        "csv_customers": CUSTOMERS,
+        "csv_products": PRODUCTS,
+        "csv_transactions": TRANSACTIONS,
+        "csv_requests": f"""
+select {ref('c_custkey')} as customer_id from customer
+union all select {ref('c_custkey')} from customer where c_custkey % 40 = 1""",
+        "csv_label_lists": """
+with l as (select case when p_partkey % 11 <> 0 then cast(cast(date '2020-01-01' + cast(p_size as integer) as date) as varchar) end as time_date,
+    p_partkey, cast(p_size as bigint) as size, p_partkey % 10 = 0 as none from part)
+select time_date, 'val' as split, p_partkey as customer_id, p_partkey as product_id, '0' as item_key from l where not none
+union all select time_date, 'val', p_partkey, size, '1' from l where not none
+union all select time_date, 'val', p_partkey, null, '' from l where none""",
         "exploded_lists": """
 select p_partkey as customer_id, p_partkey as product_id, '0' as item_key from part where p_partkey % 10 <> 0
 union all select p_partkey, cast(p_size as bigint), '1' from part where p_partkey % 10 <> 0

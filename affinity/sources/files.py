@@ -28,11 +28,22 @@ def normalise_missing(col: Column, dtype: T.DataType) -> Column:
     return typed
 
 
-def _csv(spark: SparkSession):
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+def _csv(spark: SparkSession, line_breaks: bool = True):
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
             .option("emptyValue", "").option("inferSchema", False))
 
 
+def quoted_line_breaks(spark: SparkSession, files: list[str]) -> bool:
+    """Whether some line has an odd number of quotes, as the lines of a record with a line break in quotes do.
+
+    Without one, every line is a record and Spark cuts the files into ranges of
+    lines. Otherwise a file is read whole by one task, as only a reader that
+    starts at its beginning knows which line breaks are quoted.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return bool(spark.read.text(files).where(quotes % 2 == 1).take(1))
+
+
 def file_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, ...]]:
     """The column names in the first line of every file; opens them one after another and reads a line of each."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -55,7 +66,8 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
     Quotes are doubled inside quoted text, and quoted text may hold commas and
     line breaks. Files of a folder may order their columns differently: those
-    with the same header are read together. Columns beyond the schema are left
+    with the same header are read together, in ranges of lines where no line
+    break is quoted. Columns beyond the schema are left
     out; a missing one, in any file, is an error. Empty files have no rows.
     """
     orders: dict[tuple[str, ...], list[str]] = {}
@@ -70,7 +82,7 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         missing = [f.name for f in schema.fields if f.name not in header]
         if missing:
             raise ValueError(f"{files[0]}: no column {', '.join(missing)} in {list(header)}")
-        raw = _csv(spark).csv(files)
+        raw = _csv(spark, quoted_line_breaks(spark, files)).csv(files)
         parts.append(raw.select([F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields]))
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -91,12 +103,12 @@ def bad_values(text: DataFrame, schema: T.StructType) -> DataFrame:
                       .alias(f.name) for f in schema.fields])
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    return read_typed_csv(spark, path, schemas.CUSTOMERS)
+def read_customers(spark: SparkSession, path: str, schema: T.StructType = schemas.CUSTOMERS) -> DataFrame:
+    return read_typed_csv(spark, path, schema)
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return read_typed_csv(spark, path, schemas.PRODUCTS)
+def read_products(spark: SparkSession, path: str, schema: T.StructType = schemas.PRODUCTS) -> DataFrame:
+    return read_typed_csv(spark, path, schema)
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:

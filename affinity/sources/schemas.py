@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 CUSTOMER_KEY = "customer_id"
 PRODUCT_KEY = "product_id"
+# Fixed value: the name of the label column.
 LABEL_COL = "link_pred_baseline_target"
 
 CUSTOMERS = T.StructType([

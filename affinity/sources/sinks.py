@@ -31,3 +31,9 @@ def write_metrics(report: DataFrame, path: str) -> None:
     """The evaluation report (split, scorer if there are several, metric, value) as a table."""
     scorer = ["scorer"] if "scorer" in report.columns else []
     report.select("split", *scorer, "metric", F.col("value").cast("double")).write.mode("overwrite").parquet(path)
+
+
+def write_csv(table: DataFrame, path: str) -> None:
+    """A typed table as CSV that ``files.read_typed_csv`` reads back; missing values are empty."""
+    (table.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
+     .csv(path))

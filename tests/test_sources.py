@@ -2,7 +2,10 @@ import datetime as dt
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from affinity.operators import labels
+from affinity.plans import catalog
 from affinity.sources import files, sinks
 
 
@@ -137,3 +140,59 @@ def test_csv_files_of_a_folder_may_order_their_columns_differently(spark, tmp_pa
     (tmp_path / "e.csv").write_text("customer_id,price\n1,2\n")
     with pytest.raises(ValueError, match="e.csv: no column time_date"):
         files.read_transactions(spark, str(tmp_path))
+
+
+def test_type_map_gives_schemas_merges_and_clashes(spark, tmp_path):
+    import json
+
+    import pytest
+    from pyspark.sql import types as T
+
+    from affinity.sources import schemas
+    from affinity.sources.type_map import asserted, merged, read_type_map
+
+    said = {"src_entity": {f.name: "category" if f.name != "age" else "float64" for f in schemas.CUSTOMERS[1:]},
+            "tar_entity": {f.name: {"bigint": "Int64"}.get(f.dataType.simpleString(), "category") for f in schemas.PRODUCTS[1:]} | {
+                "idx_group_no": "category", "garment_group_no": "category"},
+            "pkeys": {"customer_id": "Int64", "product_id": "Int64"}}
+    path = tmp_path / "types.json"
+    path.write_text(json.dumps(said, indent=2))
+    assert read_type_map(spark, str(path)) == (schemas.CUSTOMERS, schemas.PRODUCTS)
+    more = T.StructType([T.StructField("total_spent", T.DoubleType()), T.StructField("age", T.DoubleType())])
+    assert merged(schemas.CUSTOMERS, more).names == schemas.CUSTOMERS.names + ["total_spent"]
+    with pytest.raises(ValueError, match="age .double, string"):
+        merged(schemas.CUSTOMERS, T.StructType([T.StructField("age", T.StringType())]))
+    df = spark.createDataFrame([], schemas.CUSTOMERS)
+    assert asserted(df, schemas.CUSTOMERS, "customers") is df
+    for wrong in (df.drop("age"), df.select(*reversed(df.columns)), df.withColumn("age", F.lit("x"))):
+        with pytest.raises(ValueError, match="customers: "):
+            asserted(wrong, schemas.CUSTOMERS, "customers")
+    # the scans take the map's columns and types
+    path.write_text(json.dumps(said | {"src_entity": {"age": "Int64", "shoe": "category"}}))
+    (tmp_path / "c.csv").write_text("shoe,customer_id,age\n43,1,30\nNA,2,x\n")
+    i = catalog.FileInputs(spark, {"types": str(path), "customers": str(tmp_path / "c.csv")})
+    assert sorted(map(tuple, i.customers.collect())) == [(1, 30, "43"), (2, None, None)]
+    for broken, says in ((said | {"src_entity": {"age": "complex"}}, "unknown type"), ({"pkeys": {}}, "needs src_entity"),
+                         (said | {"src_entity": {"customer_id": "Int64"}}, "also a column")):
+        path.write_text(json.dumps(broken))
+        with pytest.raises(ValueError, match=says):
+            read_type_map(spark, str(path))
+
+
+def test_large_csv_files_are_read_by_many_tasks(spark, tmp_path):
+    """Quoted commas, quotes and odd spaces, but no quoted line break: ranges of one file, the same rows."""
+    path = tmp_path / "c.csv"
+    lines = [f'{i},1,,ACTIVE,NONE,{i % 90},"code ""{i}"", x"' for i in range(60_000)]
+    path.write_text("customer_id,FN,active_status,member_status,news_frequency,age,postal_code\n" + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        df = files.read_customers(spark, str(path))
+        assert df.rdd.getNumPartitions() >= 8
+        assert df.count() == 60_000 and df.where("postal_code <> concat('code \"', customer_id, '\", x')").count() == 0
+        path.write_text(path.read_text() + '70000,1,,ACTIVE,NONE,5,"two\nlines"\n')
+        whole = files.read_customers(spark, str(path))
+        assert whole.rdd.getNumPartitions() == 1 and whole.count() == 60_001
+        assert whole.where("customer_id = 70000").first().postal_code == "two\nlines"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
