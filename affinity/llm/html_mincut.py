@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Names of HTML elements, by what they do to the text.
-SKIPPED = frozenset("script style noscript template head title svg math iframe object select option button textarea "
+SKIPPED = frozenset("script style noscript template head title svg iframe object select option button textarea "
                     "canvas audio video".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -70,8 +70,11 @@ class Node:
     parent: "Node | None"
     names: tuple[str, ...] = ()  # its own and its ancestors'
     depth: int = 0
+    #: inside or itself: a boilerplate tag, or an element named as boilerplate (known once the page is read); a content tag
     boiler: bool = False
     content: bool = False
+    named: bool = False
+    chars: int = 0
 
 
 @dataclass
@@ -100,15 +103,34 @@ def _open(tag: str, attributes: str, parent: Node) -> Node:
     names = tuple(n for m in _NAMES.finditer(attributes) for n in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if n) \
         if "=" in attributes else ()
     inside = parent.content
-    boiler = parent.boiler or tag in BOILER_TAGS or (tag == "header" and not inside) or any(n in BOILER_NAMES for n in names)
+    boiler = tag in BOILER_TAGS or (tag == "header" and not inside)
+    named = tag not in ("html", "body") and any(n in BOILER_NAMES for n in names)  # the page itself is no part of it
     names = (names + parent.names)[:NAMES] if names else parent.names
-    return Node(tag, parent, names, parent.depth + 1, boiler, inside or tag in CONTENT_TAGS)
+    return Node(tag, parent, names, parent.depth + 1, boiler, inside or tag in CONTENT_TAGS, named)
+
+
+def _settle(blocks: list[Block], nodes: list[Node]) -> None:
+    """Hand boilerplate down to what an element holds.
+
+    A name does not count on the content element with most text and on the
+    elements around it: a layout named after its sidebar still holds the article.
+    """
+    for b in blocks:
+        b.node.chars += len(b.text)
+    for node in reversed(nodes):  # children come after their parents
+        node.parent.chars += node.chars
+    main = max((x for x in nodes if x.tag in CONTENT_TAGS), key=lambda x: x.chars, default=None)
+    while main is not None:
+        main.named, main = False, main.parent
+    for node in nodes:
+        node.boiler = node.boiler or node.named or node.parent.boiler
 
 
 def blocks_of(page_html: str | None) -> list[Block]:
     """The text blocks of a page in order. Broken and unfinished markup is taken as far as it goes."""
     page = _Page()
     node = root = Node("#page", None)
+    nodes: list[Node] = []
     open_tags: Counter[str] = Counter()
     unended: set[str] = set()  # skipped elements of which no end tag is left
     text = page_html or ""
@@ -164,8 +186,10 @@ def blocks_of(page_html: str | None) -> list[Block]:
                         node = node.parent
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             node = _open(tag, m[3], node)
+            nodes.append(node)
             open_tags[tag] += 1
     _flush(page, node)
+    _settle(page.blocks, nodes)
     return page.blocks
 
 

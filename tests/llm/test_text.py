@@ -227,6 +227,21 @@ def test_extraction_of_a_page_and_odd_pages(spark):
         "Head&line", "First bold, text here. More of it, and more.", "Second paragraph <ok> with some words in it."]
 
 
+def test_names_of_the_elements_around_the_article_do_not_doom_it(spark):
+    """Wrappers, the page and the article itself may be named after other parts; comments and menus stay out."""
+    main = "Head&line First bold, text here. More of it, and more. Second paragraph <ok> with some words in it."
+    odd = [PAGE.replace("<body>", '<body class="has-sidebar">'), PAGE.replace("<article>", '<article class="legal-news">'),
+           PAGE.replace("<article>", '<div id="search-layout"><div class=widgets><article>').replace("</article>", "</article></div></div>"),
+           PAGE.replace("<article>", "<main class='share'><article>").replace("</footer>", "</footer></main>"),
+           PAGE.replace('<section class="comments"><p>', '<section class="comments"><article><p>').replace("</p></section>", "</p></article></section>"),
+           PAGE.replace("<html>", '<html id="newsletter">')]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(odd)] + [(100 + i, "u", PAGE) for i in range(20)],
+                                  "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_main_text(pages).collect()}
+    assert set(got.values()) == {main}
+    assert [b.text for b in blocks_of("<article><p>Let <math><mi>x</mi></math> be.</p></article>")] == ["Let x be."]
+
+
 def test_blocks_keep_all_text_outside_skipped_elements():
     assert [b.text for b in blocks_of("a<div>b<span>c</span> d<p>e<p>f</div>g<ul><li>h<li>i</ul>&amp;")] == \
         ["a", "bc d", "e", "f", "g", "h", "i", "&"]
