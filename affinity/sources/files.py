@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.sources import schemas
+from affinity.sources.csv_ranges import csv_records
 
 
 def normalise_missing(col: Column, dtype: T.DataType) -> Column:
@@ -28,17 +29,19 @@ def normalise_missing(col: Column, dtype: T.DataType) -> Column:
     return typed
 
 
+#: quotes are doubled inside quoted text
+_FORMAT = {"quote": '"', "escape": '"', "emptyValue": ""}
+
+
 def _csv(spark: SparkSession, line_breaks: bool = True):
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
-            .option("emptyValue", "").option("inferSchema", False))
+    return spark.read.options(**_FORMAT).option("header", True).option("multiLine", line_breaks).option("inferSchema", False)
 
 
 def quoted_line_breaks(spark: SparkSession, files: list[str]) -> bool:
     """Whether some line has an odd number of quotes, as the lines of a record with a line break in quotes do.
 
     Without one, every line is a record and Spark cuts the files into ranges of
-    lines. Otherwise a file is read whole by one task, as only a reader that
-    starts at its beginning knows which line breaks are quoted.
+    lines. Otherwise `csv_ranges` puts the records together.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return bool(spark.read.text(files).where(quotes % 2 == 1).take(1))
@@ -66,8 +69,9 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
     Quotes are doubled inside quoted text, and quoted text may hold commas and
     line breaks. Files of a folder may order their columns differently: those
-    with the same header are read together, in ranges of lines where no line
-    break is quoted. Columns beyond the schema are left
+    with the same header are read together, in ranges of lines, also where line
+    breaks are quoted. Only files whose quotes follow no rule (`csv_records`) are
+    read whole, by one task each. Columns beyond the schema are left
     out; a missing one, in any file, is an error. Empty files have no rows.
     """
     orders: dict[tuple[str, ...], list[str]] = {}
@@ -82,7 +86,13 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         missing = [f.name for f in schema.fields if f.name not in header]
         if missing:
             raise ValueError(f"{files[0]}: no column {', '.join(missing)} in {list(header)}")
-        raw = _csv(spark, quoted_line_breaks(spark, files)).csv(files)
+        breaks = quoted_line_breaks(spark, files)
+        records = csv_records(spark, files) if breaks else None
+        if records is None:
+            raw = _csv(spark, breaks).csv(files)
+        else:
+            fields = T.StructType([T.StructField(name, T.StringType()) for name in header])
+            raw = records.select(F.from_csv("record", fields.toDDL(), {**_FORMAT, "multiLine": "true"}).alias("r")).select("r.*")
         parts.append(raw.select([F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields]))
     return functools.reduce(DataFrame.unionByName, parts)
 

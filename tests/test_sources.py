@@ -191,8 +191,75 @@ def test_large_csv_files_are_read_by_many_tasks(spark, tmp_path):
         assert df.rdd.getNumPartitions() >= 8
         assert df.count() == 60_000 and df.where("postal_code <> concat('code \"', customer_id, '\", x')").count() == 0
         path.write_text(path.read_text() + '70000,1,,ACTIVE,NONE,5,"two\nlines"\n')
-        whole = files.read_customers(spark, str(path))
-        assert whole.rdd.getNumPartitions() == 1 and whole.count() == 60_001
-        assert whole.where("customer_id = 70000").first().postal_code == "two\nlines"
+        more = files.read_customers(spark, str(path))
+        assert more.rdd.getNumPartitions() > 1 and more.count() == 60_001
+        assert more.where("customer_id = 70000").first().postal_code == "two\nlines"
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_line_breaks_in_ranges_equal_the_whole_file_reader(spark, tmp_path, monkeypatch):
+    """Ranges of a few bytes: records over many ranges, texts of quotes and line breaks only, several files."""
+    import random
+
+    from affinity.session import stored
+    from affinity.sources import csv_ranges
+    from affinity.sources.csv_ranges import csv_records
+
+    rng = random.Random(4)
+    pieces = ["a", "b c", ",", "\n", "\n\n", '"', '""', "é", "", "1", "\n,\n", " "]
+    quoted = lambda t: '"' + t.replace('"', '""') + '"'
+    schema = "customer_id string, note string, code string"
+    from pyspark.sql import types as T
+    columns = T.StructType([T.StructField(n, T.StringType()) for n in ("note", "customer_id")])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    ranges = []
+
+    def cut(df, tag):  # only the files are cut into such small ranges
+        ranges.append(df.rdd.getNumPartitions())
+        kept = stored(df, tag)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        return kept
+
+    monkeypatch.setattr(csv_ranges, "stored", cut)
+    try:
+        for end, size in (("\n", 90), ("\r\n", 400), ("\n", 1 << 20)):
+            folder = tmp_path / f"{len(end)}-{size}"
+            folder.mkdir()
+            for f in range(3):
+                rows = [(f"{f}-{i}", "".join(rng.choices(pieces, k=rng.choice((0, 1, 3, 8, 60)))), rng.choice(("", "x", '""', '"q,"')))
+                        for i in range(30)]
+                text = end.join(["customer_id,note,code", *(f"{a},{quoted(b)},{c}" for a, b, c in rows)]) + end * (f % 2)
+                (folder / f"{f}.csv").write_bytes(text.encode())
+            names = [str(folder / f"{f}.csv") for f in range(3)]
+            for k in before:
+                spark.conf.set(k, str(size))
+            assert csv_records(spark, names) is not None
+            for k in before:
+                spark.conf.set(k, str(size))
+            got = files.read_csv_text(spark, str(folder), columns)
+            want = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=True, emptyValue="").csv(names)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.select(*columns.names).collect()), key=repr)
+            assert got.count() == 90
+        assert ranges[0] > 20 and ranges[2] > 6
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_quotes_that_follow_no_rule_are_left_to_the_whole_file_reader(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from affinity.sources.csv_ranges import csv_records
+
+    columns = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "b")])
+    for text, want in (('a,b\n1,5" pipe\n2,6" pipe\n', [("1", '5" pipe'), ("2", '6" pipe')]),
+                       ('a,b\r1,"x\ry"\r2,"z\n"\r', [("1", "x\ny"), ("2", "z\n")])):
+        path = tmp_path / "odd.csv"
+        path.write_bytes(text.encode())
+        assert csv_records(spark, [str(path)]) is None
+        got = files.read_csv_text(spark, str(path), columns)
+        assert sorted(map(tuple, got.collect())) == want
+    path.write_bytes(b'a,b\n1,"x\ny"\n')
+    assert [tuple(r) for r in files.read_csv_text(spark, str(path), columns).collect()] == [("1", "x\ny")]
