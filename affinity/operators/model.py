@@ -208,18 +208,11 @@ def load_model(path: str):
     return PipelineModel.load(path)
 
 
-def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed: int = 73,
-                  parallelism: int = 2, grid: dict | None = None):
-    """Randomised search: ``n_configs`` settings sampled from a grid, k-fold CV on AUC (M4).
-
-    A row's fold is a keyed draw from its own values, so folds don't depend on
-    row order or partitioning. Returns the fitted ``CrossValidatorModel``; ``avgMetrics`` lines up with
-    ``getEstimatorParamMaps()``.
-    """
+def _search_inputs(training: DataFrame, n_configs: int, folds: int, seed: int, grid: dict | None):
+    """(frame with a keyed ``fold``, pipeline, settings sampled from the grid)."""
     import random
 
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from pyspark.ml.tuning import ParamGridBuilder
 
     from affinity.functions.draws import hash60, key_text
     from affinity.session import checkpoint_dir
@@ -238,15 +231,82 @@ def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed:
     for name, values in grid.items():
         builder = builder.addGrid(gbt.getParam(name), values)
     maps = builder.build()
-    chosen = random.Random(seed).sample(maps, min(n_configs, len(maps)))
+    return frame, pipe, random.Random(seed).sample(maps, min(n_configs, len(maps)))
+
+
+def _auc():
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    return BinaryClassificationEvaluator(labelCol=LABEL_COL, metricName="areaUnderROC")
+
+
+def random_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed: int = 73,
+                  parallelism: int = 2, grid: dict | None = None):
+    """Randomised search: ``n_configs`` settings sampled from a grid, k-fold CV on AUC (M4).
+
+    A row's fold is a keyed draw from its own values, so folds don't depend on
+    row order or partitioning. Returns the fitted ``CrossValidatorModel``; ``avgMetrics`` lines up with
+    ``getEstimatorParamMaps()``.
+    """
+    from pyspark.ml.tuning import CrossValidator
+
+    frame, pipe, chosen = _search_inputs(training, n_configs, folds, seed, grid)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=chosen, numFolds=folds, seed=seed,
-                        parallelism=parallelism, foldCol="fold",
-                        evaluator=BinaryClassificationEvaluator(labelCol=LABEL_COL, metricName="areaUnderROC"))
+                        parallelism=parallelism, foldCol="fold", evaluator=_auc())
     return cv.fit(frame)
 
 
+def _setting(params) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name))
+
+
+def halving_search(training: DataFrame, n_configs: int = 5, folds: int = 2, seed: int = 73, parallelism: int = 2,
+                   grid: dict | None = None, eta: int = 3, refit: bool = True):
+    """The search by successive halving (M4): (fitted pipeline or None, report).
+
+    All sampled settings are tried on a share of the rows, the best of every
+    ``eta`` go on to ``eta`` times as many, and the last is scored on all rows.
+    Shares are nested keyed draws, folds those of `random_search`, so neither
+    depends on row order or partitioning. Where a share leaves a training or
+    held-out side without both labels, it is passed over and every setting goes on.
+    The report has a row per setting and share: setting, share, auc_roc, kept.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.ml import PipelineModel
+
+    from affinity.functions.draws import hash60, key_text
+
+    frame, pipe, alive = _search_inputs(training, n_configs, folds, seed, grid)
+    *prepare, gbt = pipe.getStages()
+    ready = PipelineModel(prepare).transform(frame.withColumn(
+        "draw", hash60(key_text(F.lit(f"{seed} share"), *[F.col(c) for c in frame.columns]))))
+    left = [len(alive)]
+    while left[-1] > 1:
+        left.append(-(-left[-1] // eta))
+    report = []
+    for rung, keep in enumerate([*left[1:], 1]):
+        share = eta ** (rung + 1 - len(left))
+        rows = ready.where(F.col("draw") < int(share * (1 << 60)))
+        held = {(r.fold, r.label) for r in rows.select("fold", F.col(LABEL_COL).alias("label")).distinct().collect()}
+        if share < 1 and len(held) < 2 * folds:
+            continue
+
+        def score(params) -> float:
+            aucs = [_auc().evaluate(gbt.fit(rows.where(F.col("fold") != f), params).transform(rows.where(F.col("fold") == f)))
+                    for f in range(folds)]
+            return sum(aucs) / folds
+
+        with ThreadPool(min(parallelism, len(alive))) as pool:
+            aucs = pool.map(score, alive)
+        best = sorted(range(len(alive)), key=lambda k: (-aucs[k], k))[:keep]
+        report += [(_setting(p), float(share), float(a), k in best) for k, (p, a) in enumerate(zip(alive, aucs))]
+        alive = [alive[k] for k in sorted(best)]
+    fitted = PipelineModel([*prepare, gbt.fit(ready, alive[0])]) if refit else None
+    return fitted, training.sparkSession.createDataFrame(report, "setting string, share double, auc_roc double, kept boolean")
+
+
 def search_report(spark, fitted) -> DataFrame:
     """(setting, auc_roc) of every setting that a random search tried: as many rows as it had settings."""
-    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(a))
-            for m, a in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics)]
+    rows = [(_setting(m), float(a)) for m, a in zip(fitted.getEstimatorParamMaps(), fitted.avgMetrics)]
     return spark.createDataFrame(rows, "setting string, auc_roc double")

@@ -22,7 +22,7 @@ from affinity.functions.lists import format_id_list
 from affinity.operators import features as feat
 from affinity.operators import boosting, labels, metrics, pairs, recommend
 from affinity.operators.model import (AffinityScorer, TreeParams, fit_match_weights, fit_trees, fitted_scorer,
-                                      model_frame_indexed, random_search, search_report, tree_scores)
+                                      model_frame_indexed, halving_search, random_search, search_report, tree_scores)
 from affinity.operators.tree_topk import tree_top_k
 from affinity.session import checkpoint_dir, stored
 from affinity.sources import files, sinks, tables
@@ -377,6 +377,12 @@ def random_search_report(i):
     return search_report(i.spark, random_search(train))
 
 
+@_q
+def halving_search_report(i):
+    train = i.training_set().where(F.col("split") == "train")
+    return halving_search(train, refit=False)[1]
+
+
 @_q
 def model_inputs(i):
     return rounded(model_frame_indexed(i.training_set()))
@@ -452,7 +458,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
           products_with_features, product_numbering, label_positives, label_negatives, label_negatives_strict, labelled_pairs,
           pair_features, training_set, topk, recommendations, submission, parsed_predictions,
           customer_features_as_of, model_inputs, fitted_weights, recommendations_fitted, parsed_text, exploded_lists,
-          random_search_report, scored_pairs,
+          random_search_report, halving_search_report, scored_pairs,
           confusion_metrics, ranking_metrics, evaluation_report, gbt_scores, gbt_evaluation_report, recommendations_trees,
           boost_inputs, boosted_report, csv_customers, csv_products, csv_transactions, csv_requests, csv_label_lists]
     return {q.__name__: q for q in qs}

@@ -13,7 +13,8 @@ know that number, but needs only its parity. So
    where their record began.
 
 The tagged lines are written once: how a file is cut into ranges depends on the
-executors at hand, and both later steps have to see the same ranges.
+executors at hand, and both later steps have to see the same ranges. So are the
+records, which are looked over before they are read as columns.
 """
 
 from __future__ import annotations
@@ -87,6 +88,8 @@ def csv_records(spark: SparkSession, files: list[str]) -> DataFrame | None:
     scan = spark.read.option("lineSep", "\n").text(files).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
     lines = stored(scan.mapInArrow(_tag, _TAGGED), "csv-lines")
+    if lines.where(F.col("value").rlike("(?s)\\r.")).take(1):
+        return None
     placed = lines.join(_entered(lines), ["file", "block"], "left")
     entered = F.col("from_block").isNotNull()
     carried = entered & (F.col("first1") == -1)
@@ -99,10 +102,7 @@ def csv_records(spark: SparkSession, files: list[str]) -> DataFrame | None:
     joined = placed.where("NOT alone").groupBy("file", "at_block", "at_seq").agg(
         F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
     whole = placed.where("alone").select("value", "at_block", "at_seq").unionByName(joined.drop("file"))
-    records = whole.where("at_block > 0 OR at_seq > 0").select(
+    records = stored(whole.where("at_block > 0 OR at_seq > 0").select(
         F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("record")
-    ).where("record <> ''")
-    odd_ends = lines.where(F.col("value").rlike("(?s)\r.")).take(1)
-    if odd_ends or records.where(~F.col("record").rlike(_STRICT)).take(1):
-        return None
-    return records
+    ).where("record <> ''"), "csv-records")
+    return None if records.where(~F.col("record").rlike(_STRICT)).take(1) else records

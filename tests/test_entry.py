@@ -2,7 +2,7 @@ import __spark_entry__ as entry
 from affinity.plans import catalog, oracle
 from affinity.sources import tables
 
-ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report", "random_search_report", "recommendations_trees", "boosted_report"}
+ROWS_ONLY = {"gbt_scores", "gbt_evaluation_report", "random_search_report", "halving_search_report", "recommendations_trees", "boosted_report"}
 
 
 def test_entry_runs(spark):

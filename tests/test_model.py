@@ -92,6 +92,25 @@ def test_random_search_does_not_depend_on_partitions(spark):
     assert all(abs(x - y) < 0.02 for x, y in zip(a, b))
 
 
+def test_halving_search_finds_the_winner_of_the_full_search(spark):
+    ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
+    grid = {"maxIter": [1, 6], "maxDepth": [1, 4]}
+    cv = model.random_search(ts, n_configs=4, grid=grid)
+    full = {r.setting: r.auc_roc for r in model.search_report(spark, cv).collect()}
+    fitted, report = model.halving_search(ts.repartition(3), n_configs=4, grid=grid, eta=2)
+    rows = report.collect()
+    assert [(r.share, r.kept) for r in rows].count((0.25, True)) == 2 and len(rows) == 4 + 2 + 1
+    assert {r.setting for r in rows if r.share == 0.25} == set(full)
+    last = rows[-1]
+    assert last.share == 1 and last.kept and last.setting == max(full, key=full.get)
+    assert abs(last.auc_roc - full[last.setting]) < 0.02
+    assert model.tree_scores(fitted, ts).where("probability is null").count() == 0
+    # too few rows for a share with both labels on both sides: every setting goes on to all rows
+    few = ts.where(F.col(model.LABEL_COL) == 1).limit(3).unionByName(ts.where(F.col(model.LABEL_COL) == 0).limit(3))
+    _, report = model.halving_search(few, n_configs=2, grid={"maxIter": [1], "maxDepth": [1, 2]}, eta=100, refit=False)
+    assert [r.share for r in report.collect()] == [1.0, 1.0]
+
+
 def test_jobs_run_on_csv_files(spark):
     """The six CSV files of the reference's layout, written from the tables: same features, weights and predictions."""
     from affinity.plans import jobs
