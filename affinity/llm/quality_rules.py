@@ -5,9 +5,13 @@ source. Every metric is kept per group in a log-linear histogram: bins of
 whole numbers, exact below 32 and within 1/16 of the value above. Such a
 sketch is merged by adding counts, so sources merge into their language and
 languages into the whole, and a sketch has a bounded number of bins however
-many rows it sums up. The quartiles of a sketch give an upper (for word length
-also a lower) fence; a group with fewer than MIN_ROWS documents uses its
-language's sketch, or else the whole's. The fences join back to the documents.
+many rows it sums up. A sketch gives the quartiles and the mean distance from the
+median, which is above zero also where most values are equal. A fence lies REACH
+times the sum of quartile distance and mean distance, and a bin, above the upper
+(for word length also below the lower) quartile. A group's figures are blended with its
+language's and these with the whole's: WEIGHT rows' worth of the wider ones are
+added, so that a small group leans on its language and no size switches. The
+fences join back to the documents.
 """
 
 from __future__ import annotations
@@ -21,12 +25,13 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: words of a repeated window; fewest words; most repeated words in percent
 REPEAT, FEWEST_WORDS, MOST_REPEATED = 5, 10, 20
-#: metric -> slack: a fence is at least this far from the quartile, so that groups without spread keep small deviations
-METRICS = {"symbols": 25, "capitals": 120, "shouts": 25, "dup_lines": 500, "repeats": 200, "word_len": 20}
+#: per thousand characters of words: symbols, capitals, exclamation marks; per thousand lines: repeated
+#: ones after the first; tenths of characters a word
+METRICS = ("symbols", "capitals", "shouts", "dup_lines", "word_len")
 #: metrics with a lower fence as well
 TWO_SIDED = ("word_len",)
-#: quartile distances between a quartile and its fence; rows a group needs for a sketch of its own
-REACH, MIN_ROWS = 3, 100
+#: distances between a quartile and its fence; rows of the wider group added to a group's own
+REACH, WEIGHT = 3, 10
 _NULL = "\x00"
 
 
@@ -72,8 +77,8 @@ def document_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     share = lambda part, whole: F.expr(f"{part} * 1000 div greatest({whole}, 1)")
     return flat.withColumns({
         "symbols": share("n_symbols", "word_chars"), "capitals": share("n_capitals", "word_chars"),
-        "shouts": share("n_shouts", "word_chars"), "dup_lines": share("n_dup_lines", "n_lines"),
-        "repeats": share("n_repeat_words", "n_words"), "word_len": F.expr("word_chars * 10 div greatest(n_words, 1)"),
+        "shouts": share("n_shouts", "word_chars"), "dup_lines": share("greatest(n_dup_lines - 1, 0)", "n_lines"),
+        "word_len": F.expr("word_chars * 10 div greatest(n_words, 1)"),
         "base_failed": (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))})
 
 
@@ -91,35 +96,42 @@ def sketches(metrics: DataFrame) -> DataFrame:
     return tall.groupBy("__lang", "__source", "e.metric", "e.top").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, keys: list[str], level: str) -> DataFrame:
-    """(keys, metric, n_<level>, q1_<level>, q3_<level>) of the sketches merged to ``keys``."""
+def _figures(sketch: DataFrame, keys: list[str], level: str) -> DataFrame:
+    """(keys, metric, n, q1, q3 and away of the level) of the sketches merged to ``keys``."""
     merged = sketch.groupBy(*keys, "metric", "top").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")  # a row per bin: bounded by the bins of a sketch
     run = merged.withColumns({"so_far": F.sum("n").over(group.orderBy("top")), "all": F.sum("n").over(group)})
-    quartile = lambda k: F.min(F.when(F.col("so_far") * 4 >= F.col("all") * k, F.col("top")))
+    run = run.withColumn("middle", F.min(F.when(F.col("so_far") * 2 >= F.col("all"), F.col("top"))).over(group))
+    quartile = lambda k: F.min(F.when(F.col("so_far") * 4 >= F.col("all") * k, F.col("top"))).cast("double")
     return run.groupBy(*keys, "metric").agg(
-        F.max("all").alias(f"n_{level}"), quartile(1).alias(f"q1_{level}"), quartile(3).alias(f"q3_{level}"))
+        F.max("all").cast("double").alias(f"n_{level}"), quartile(1).alias(f"q1_{level}"), quartile(3).alias(f"q3_{level}"),
+        (F.sum(F.col("n") * F.abs(F.col("top") - F.col("middle"))).cast("double") / F.max("all").cast("double")).alias(f"away_{level}"))
 
 
-def fences(sketch: DataFrame, min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
+def fences(sketch: DataFrame, weight: int = WEIGHT, reach: int = REACH) -> DataFrame:
     """One row per group: f_lang, f_source, upper (and lower) fence of every metric."""
-    own = _quartiles(sketch, ["__lang", "__source"], "own")
-    lang = _quartiles(sketch, ["__lang"], "lang")
-    whole = _quartiles(sketch, [], "whole")
+    own = _figures(sketch, ["__lang", "__source"], "own")
+    lang = _figures(sketch, ["__lang"], "lang")
+    whole = _figures(sketch, [], "whole")
     every = own.join(lang, ["__lang", "metric"]).join(whole, "metric")
-    pick = lambda q: F.when(F.col("n_own") >= min_rows, F.col(f"{q}_own")).when(
-        F.col("n_lang") >= min_rows, F.col(f"{q}_lang")).otherwise(F.col(f"{q}_whole"))
-    chosen = every.select("__lang", "__source", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"))
+
+    def blended(figure: str) -> Column:
+        added = F.lit(float(weight))
+        wide = (F.col("n_lang") * F.col(f"{figure}_lang") + added * F.col(f"{figure}_whole")) / (F.col("n_lang") + added)
+        return ((F.col("n_own") * F.col(f"{figure}_own") + added * wide) / (F.col("n_own") + added)).alias(figure)
+
+    chosen = every.select("__lang", "__source", "metric", *[blended(x) for x in ("q1", "q3", "away")])
+    far = F.lit(float(reach)) * (F.col("q3") - F.col("q1") + F.col("away"))
     def fence(m: str, low: bool) -> Column:
-        away = reach * (F.col("q3") - F.col("q1")) + METRICS[m]
-        side = F.col("q1") - away if low else F.col("q3") + away
+        bin_of = lambda q: F.lit(1.0) + F.col(q) / F.lit(16.0)
+        side = F.col("q1") - far - bin_of("q1") if low else F.col("q3") + far + bin_of("q3")
         return F.max(F.when(F.col("metric") == m, side)).alias(f"{'low' if low else 'top'}_{m}")
     return chosen.groupBy(F.col("__lang").alias("f_lang"), F.col("__source").alias("f_source")).agg(
         *[fence(m, False) for m in METRICS], *[fence(m, True) for m in TWO_SIDED])
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  source_col: str = "source", min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
+                  source_col: str = "source", weight: int = WEIGHT, reach: int = REACH) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base counts, the metrics, base_failed, kept.
 
     ``kept`` is false if ``base_failed``, else whether every metric lies within
@@ -129,12 +141,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty table gives an empty result.
     """
     metrics = stored(document_metrics(docs, id_col, text_col, lang_col, source_col), "metrics")
-    limits = stored(fences(stored(sketches(metrics), "sketches"), min_rows, reach), "fences")
+    limits = stored(fences(stored(sketches(metrics), "sketches"), weight, reach), "fences")
     judged = metrics.join(limits, (metrics["__lang"] == limits.f_lang) & (metrics["__source"] == limits.f_source))
     within = F.lit(True)
     for m in METRICS:
         within = within & (F.col(m) <= F.col(f"top_{m}"))
     for m in TWO_SIDED:
-        within = within & (F.col(m) >= F.col(f"low_{m}"))
+        within = within & (bin_top(m) >= F.col(f"low_{m}"))  # quartiles are tops of bins, too
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS,
                          "base_failed", (~F.col("base_failed") & within).alias("kept"))

@@ -14,7 +14,7 @@ from affinity.llm.merkle_manifest import tampered_proofs
 from affinity.llm.mixing_ipf import mixture
 from affinity.llm.phrase_automata import remove_phrases
 from affinity.llm.quality_qda import quality_scores
-from affinity.llm.quality_rules import METRICS, MIN_ROWS, REACH, quality_rules
+from affinity.llm.quality_rules import quality_rules
 from affinity.llm.simhash_ball import simhash_components
 from affinity.llm.spelling_fm import spelling_forms
 from affinity.llm.token_cache import token_counts
@@ -188,15 +188,19 @@ SELECT f.word, f.form, t.root, f.n, f.n_near, f.form_n FROM f JOIN t ON t.word =
 
 def _op2() -> str:
     """Base counts in one pass, bins and quartiles per group, language and whole, then the fences."""
+    names = ("symbols", "capitals", "shouts", "dup_lines", "word_len")
     level = lambda keys, name: f"""
 {name} AS (
-  SELECT {keys} metric, max(total) AS n, min(CASE WHEN so_far * 4 >= total THEN top END) AS q1,
-    min(CASE WHEN so_far * 4 >= total * 3 THEN top END) AS q3
-  FROM (SELECT {keys} metric, top, sum(count(*)) OVER (PARTITION BY {keys} metric ORDER BY top) AS so_far,
-          sum(count(*)) OVER (PARTITION BY {keys} metric) AS total
-        FROM tall GROUP BY {keys} metric, top) AS x
+  SELECT {keys} metric, CAST(any_value(total) AS DOUBLE) AS n, CAST(min(CASE WHEN so_far * 4 >= total THEN top END) AS DOUBLE) AS q1,
+    CAST(min(CASE WHEN so_far * 4 >= total * 3 THEN top END) AS DOUBLE) AS q3,
+    CAST(sum(c * abs(top - middle)) AS DOUBLE) / CAST(any_value(total) AS DOUBLE) AS away
+  FROM (SELECT *, min(CASE WHEN so_far * 2 >= total THEN top END) OVER (PARTITION BY {keys} metric) AS middle
+    FROM (SELECT {keys} metric, top, count(*) AS c, sum(count(*)) OVER (PARTITION BY {keys} metric ORDER BY top) AS so_far,
+            sum(count(*)) OVER (PARTITION BY {keys} metric) AS total
+          FROM tall GROUP BY {keys} metric, top) AS x) AS y
   GROUP BY {keys} metric),"""
-    slack = " ".join(f"WHEN '{m}' THEN {v}" for m, v in METRICS.items())
+    blend = lambda x: (f"(own.n * own.{x} + 10::DOUBLE * ((tongue.n * tongue.{x} + 10::DOUBLE * whole.{x}) / (tongue.n + 10::DOUBLE)))"
+                       f" / (own.n + 10::DOUBLE) AS {x}")
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, chr(1)) AS lang, coalesce(source, chr(1)) AS source, coalesce(text, '') AS t,
@@ -218,26 +222,23 @@ base AS (
   FROM d LEFT JOIN r ON d.doc_id = r.doc_id),
 m AS (
   SELECT *, n_symbols * 1000 // greatest(word_chars, 1) AS symbols, n_capitals * 1000 // greatest(word_chars, 1) AS capitals,
-    n_shouts * 1000 // greatest(word_chars, 1) AS shouts, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_lines,
-    n_repeat_words * 1000 // greatest(n_words, 1) AS repeats, word_chars * 10 // greatest(n_words, 1) AS word_len,
+    n_shouts * 1000 // greatest(word_chars, 1) AS shouts, greatest(n_dup_lines - 1, 0) * 1000 // greatest(n_lines, 1) AS dup_lines,
+    word_chars * 10 // greatest(n_words, 1) AS word_len,
     n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM base),
-pairs AS (SELECT doc_id, lang, source, unnest([{", ".join(f"{{'metric': '{k}', 'v': CAST({k} AS BIGINT)}}" for k in METRICS)}]) AS e FROM m),
+pairs AS (SELECT doc_id, lang, source, unnest([{", ".join(f"{{'metric': '{k}', 'v': CAST({k} AS BIGINT)}}" for k in names)}]) AS e FROM m),
 tall AS (
   SELECT doc_id, lang, source, e.metric AS metric, e.v AS v, CASE WHEN e.v < 32 THEN e.v
     ELSE ((((e.v >> (length(bin(e.v)) - 5)) + 1) << (length(bin(e.v)) - 5)) - 1) END AS top
   FROM pairs),{level("lang, source,", "own")}{level("lang,", "tongue")}{level("", "whole")}
 q AS (
-  SELECT own.lang, own.source, own.metric,
-    CASE WHEN own.n >= {MIN_ROWS} THEN own.q1 WHEN tongue.n >= {MIN_ROWS} THEN tongue.q1 ELSE whole.q1 END AS q1,
-    CASE WHEN own.n >= {MIN_ROWS} THEN own.q3 WHEN tongue.n >= {MIN_ROWS} THEN tongue.q3 ELSE whole.q3 END AS q3,
-    CASE own.metric {slack} END AS slack
+  SELECT own.lang, own.source, own.metric, {blend("q1")}, {blend("q3")}, {blend("away")}
   FROM own JOIN tongue ON own.lang = tongue.lang AND own.metric = tongue.metric JOIN whole ON own.metric = whole.metric),
 ok AS (
-  SELECT doc_id, bool_and(v <= q3 + {REACH} * (q3 - q1) + slack
-    AND (tall.metric <> 'word_len' OR v >= q1 - {REACH} * (q3 - q1) - slack)) AS fits
+  SELECT doc_id, bool_and(v <= q3 + 3::DOUBLE * (q3 - q1 + away) + (1::DOUBLE + q3 / 16::DOUBLE)
+    AND (tall.metric <> 'word_len' OR top >= q1 - 3::DOUBLE * (q3 - q1 + away) - (1::DOUBLE + q1 / 16::DOUBLE))) AS fits
   FROM tall JOIN q ON tall.lang = q.lang AND tall.source = q.source AND tall.metric = q.metric GROUP BY doc_id)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  {", ".join(f"CAST({k} AS BIGINT) AS {k}" for k in METRICS)}, base_failed, NOT base_failed AND fits AS kept
+  {", ".join(f"CAST({k} AS BIGINT) AS {k}" for k in names)}, base_failed, NOT base_failed AND fits AS kept
 FROM m JOIN ok ON m.doc_id = ok.doc_id
 """
