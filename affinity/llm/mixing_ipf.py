@@ -1,8 +1,10 @@
 """Mixing to target weights by iterative proportional fitting (DataFrame functions only).
 
 Documents are summed into cells of (source, language, topic). Raking scales the
-cells' token weights until every marginal agrees with its target; the ratio of
-a cell's weight to its tokens is the rate at which it should be represented.
+cells' token weights until every marginal agrees with its target or, where the
+targets contradict each other, until sweeps bring them no nearer; what is left
+between a marginal and its target is part of the result. The ratio of a cell's
+weight to its tokens is the rate at which it should be represented.
 Rates become probabilities ``min(1, c * ratio)``, with ``c`` calibrated so that
 the expected number of sampled tokens is the wanted share of all tokens, and a
 keyed draw per document decides.
@@ -15,6 +17,7 @@ pre-aggregated sum and a join. What reaches the driver is one row a step.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,8 @@ DIMENSIONS = ("source", "lang", "topic")
 #: default targets: shares of tokens to this power, which lifts rare values and lowers common ones
 TEMPER = 0.7
 SAMPLE_SHARE = 0.7
-TOLERANCE, MAX_SWEEPS = 1e-3, 25
+#: raking ends when no share is off by more than TOLERANCE, or when PATIENCE sweeps take less than this part off the worst gap
+TOLERANCE, PATIENCE, GAIN = 1e-3, 10, 1e-3
 SEED = 10
 #: grid points and rounds that calibrate the common factor
 _GRID, _ROUNDS = 32, 4
@@ -63,33 +67,56 @@ def _target(cells: DataFrame, dim: str, wanted: dict | None) -> DataFrame:
     return own.select(dim, (F.col("raw") / F.lit(total)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict | None] | None = None, tolerance: float = TOLERANCE,
-         max_sweeps: int = MAX_SWEEPS) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``weight``: the share of the mixture each should have.
+def _gaps(raked: DataFrame, goal: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per dimension (value, has, share, gap): the share of every value and what it is off its target."""
+    return {d: raked.groupBy(d).agg(F.sum("weight").alias("has")).join(goal[d], d).select(
+        d, "has", "share", F.abs(F.col("has") - F.col("share")).alias("gap")) for d in DIMENSIONS}
+
+
+def _goals(cells: DataFrame, targets: dict[str, dict | None] | None) -> dict[str, DataFrame]:
+    return {d: stored(_target(cells, d, (targets or {}).get(d)), f"target-{d}") for d in DIMENSIONS}
+
 
-    Sweeps end when no marginal share is off by more than ``tolerance``, or
-    after ``max_sweeps`` where the targets contradict each other (a value that
-    occurs in no cell with the others' wanted values); the last sweep counts.
+def rake(cells: DataFrame, targets: dict[str, dict | None] | None = None, tolerance: float = TOLERANCE,
+         patience: int = PATIENCE) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens) with ``weight`` and ``gap``.
+
+    ``weight`` is the share of the mixture a cell should have. ``gap`` is how far
+    the share of its source, language or topic still is from the target, the
+    largest of the three. It is at most ``tolerance`` in every cell unless the
+    targets contradict each other (a value that occurs in no cell with the
+    others' wanted values): then sweeps end as soon as ``patience`` of them took
+    less than ``GAIN`` off the worst gap, and the last sweep counts.
     """
-    targets = targets or {}
-    goal = {d: stored(_target(cells, d, targets.get(d)), f"target-{d}") for d in DIMENSIONS}
+    goal = _goals(cells, targets)
     total = cells.agg(F.sum("tokens")).first()[0] or 1.0
     now = cells.withColumn("weight", F.col("tokens") / F.lit(total))
-    for _ in range(max_sweeps):
+    best: list[float] = []  # the smallest worst gap up to each sweep
+    while True:
         for d in DIMENSIONS:
             factor = now.groupBy(d).agg(F.sum("weight").alias("has")).join(goal[d], d).select(
                 d, F.when(F.col("has") > 0, F.col("share") / F.col("has")).otherwise(0.0).alias("factor"))
             now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         now = stored(now, "raked")
-        off = None
-        for d in DIMENSIONS[:-1]:  # the last one agrees by construction
-            gap = now.groupBy(d).agg(F.sum("weight").alias("has")).join(goal[d], d).select(
-                F.abs(F.col("has") - F.col("share")).alias("gap"))
-            off = gap if off is None else off.union(gap)
-        worst = off.agg(F.max("gap")).first()[0]
+        gaps = _gaps(now, goal)
+        worst = reduce(DataFrame.union, [g.select("gap") for g in gaps.values()]).agg(F.max("gap")).first()[0]
         if worst is None or worst <= tolerance:
             break
-    return now
+        best.append(min([worst, *best[-1:]]))
+        if len(best) > patience and best[-1] > (1 - GAIN) * best[-1 - patience]:
+            break
+    for d in DIMENSIONS:
+        now = now.join(gaps[d].select(d, F.col("gap").alias(f"gap_{d}")), d)
+    off = [f"gap_{d}" for d in DIMENSIONS]
+    return now.withColumn("gap", F.greatest(*off)).drop(*off)
+
+
+def marginals(raked: DataFrame, targets: dict[str, dict | None] | None = None) -> DataFrame:
+    """(dimension, value, share, target, gap) of raked cells: what the mixture has of every value and what was wanted."""
+    parts = [g.select(F.lit(d).alias("dimension"), F.when(F.col(d) != _NULL, F.col(d)).alias("value"),
+                      F.col("has").alias("share"), F.col("share").alias("target"), "gap")
+             for d, g in _gaps(raked, _goals(raked, targets)).items()]
+    return reduce(DataFrame.union, parts)
 
 
 def probabilities(raked: DataFrame, sample_share: float = SAMPLE_SHARE) -> DataFrame:
@@ -115,7 +142,8 @@ def cell_probabilities(slim: DataFrame, targets=None, sample_share: float = SAMP
         F.sum("n_tokens").cast("double").alias("tokens")), "cells")
     found = stored(probabilities(rake(cells, targets), sample_share), "probabilities")
     return found.select(*[F.col(d).alias(f"__cell_{d}") for d in DIMENSIONS],
-                        F.col("ratio").alias("__ratio"), F.col("probability").alias("__probability"))
+                        F.col("ratio").alias("__ratio"), F.col("probability").alias("__probability"),
+                        F.col("gap").alias("__gap"))
 
 
 def _with_probability(rows: DataFrame, cells: DataFrame) -> DataFrame:
@@ -130,11 +158,12 @@ def _draw(id_col: str, seed: int) -> Column:
 def mixture(docs: DataFrame, targets: dict[str, dict | None] | None = None, sample_share: float = SAMPLE_SHARE,
             id_col: str = "doc_id", text_col: str = "text", topic_of: Callable[[Column], Column] = topic,
             seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, lang, topic, n_tokens, weight, probability, sampled.
+    """One row per row of ``docs``: doc_id, source, lang, topic, n_tokens, weight, probability, sampled, gap.
 
     ``targets`` maps a dimension to wanted shares by value; a dimension left
     out takes its token shares to the power ``TEMPER``. ``weight`` is the
-    factor by which the cell of a document is to be over- or under-represented.
+    factor by which the cell of a document is to be over- or under-represented,
+    ``gap`` what raking left between its marginals and their targets (``rake``).
     n_tokens counts words. Null sources and languages are values of their own.
     Texts without words weigh nothing and take the probability of their cell;
     a cell without any words has ratio 1. Repeated ids share one draw. An
@@ -146,7 +175,7 @@ def mixture(docs: DataFrame, targets: dict[str, dict | None] | None = None, samp
     named = [F.when(F.col(f"__{d}") != _NULL, F.col(f"__{d}")).alias(d) for d in DIMENSIONS]
     return found.select("doc_id", *named, "n_tokens", F.col("__ratio").alias("weight"),
                         F.col("__probability").alias("probability"),
-                        (_draw("doc_id", seed) < F.col("__probability")).alias("sampled"))
+                        (_draw("doc_id", seed) < F.col("__probability")).alias("sampled"), F.col("__gap").alias("gap"))
 
 
 def sample_mixture(docs: DataFrame, targets: dict[str, dict | None] | None = None, sample_share: float = SAMPLE_SHARE,

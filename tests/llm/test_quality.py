@@ -1,5 +1,6 @@
 """Quality classifier, quality rules and mixing."""
 
+import hashlib
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.llm import queries
-from affinity.llm.mixing_ipf import mixture, rake, sample_mixture
+from affinity.llm.mixing_ipf import SEED, marginals, mixture, probabilities, rake, sample_mixture
 from affinity.llm.quality_qda import FEATURES, Discriminant, drop_low_quality, quality_scores, statistics
 from affinity.llm.quality_rules import bin_top, quality_rules
 
@@ -118,6 +119,59 @@ def test_raking_equals_brute_force(spark):
     assert all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
 
 
+CELLS = "source string, lang string, topic string, tokens double"
+
+
+def test_contradicting_targets_end_and_say_what_is_left(spark):
+    # lang y occurs in source b only, so 0.9 of y and 0.2 of b can't both be had
+    cells = spark.createDataFrame([("a", "x", "p", 60.0), ("b", "x", "p", 20.0), ("b", "y", "p", 20.0)], CELLS)
+    targets = {"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.1, "y": 0.9}}
+    got = rake(cells, targets)
+    assert max(r.gap for r in got.collect()) > 0.5
+    report = {(r.dimension, r.value): r for r in marginals(got, targets).collect()}
+    assert report.keys() == {("source", "a"), ("source", "b"), ("lang", "x"), ("lang", "y"), ("topic", "p")}
+    assert report["lang", "y"].target == pytest.approx(0.9) and report["topic", "p"].gap == pytest.approx(0, abs=1e-9)
+    for r in report.values():
+        assert r.gap == pytest.approx(abs(r.share - r.target))
+    cells_gap = {r.lang: r.gap for r in got.where("source = 'b'").collect()}
+    assert cells_gap["y"] == pytest.approx(max(report["source", "b"].gap, report["lang", "y"].gap))
+
+
+def test_slow_raking_goes_on_until_it_agrees(spark):
+    # two dimensions that nearly determine each other: the gap shrinks by a few percent in each of 31 sweeps
+    cells = {("a", "x", "p"): 100.0, ("a", "y", "p"): 1.0, ("b", "x", "p"): 1.0, ("b", "y", "p"): 100.0}
+    targets = [{"a": 0.5, "b": 0.5}, {"x": 0.45, "y": 0.55}, {"p": 1.0}]
+    got = rake(spark.createDataFrame([(*k, v) for k, v in cells.items()], CELLS), dict(zip(("source", "lang", "topic"), targets)))
+    want = raked(cells, targets)
+    assert all(r.gap <= 1e-3 and r.weight == pytest.approx(want[r.source, r.lang, r.topic], abs=5e-3) for r in got.collect())
+
+
+@pytest.mark.parametrize("share", [0.1, 0.7, 1.0])
+def test_probabilities_equal_brute_force(spark, share):
+    cells = [(f"s{i % 3}", f"l{i % 4}", f"t{i}", float(5 + 13 * i), 1.0 / (1 + i % 5), 0.0) for i in range(12)]
+    weights = sum(c[4] for c in cells)
+    cells = [(*c[:4], c[4] / weights, 0.0) for c in cells]
+    got = {r.topic: r for r in probabilities(spark.createDataFrame(cells, CELLS + ", weight double, gap double"), share).collect()}
+    total = sum(c[3] for c in cells)
+    ratio = {c[2]: c[4] * total / c[3] for c in cells}
+    low, high = 0.0, 1 / min(ratio.values())
+    for _ in range(100):  # bisection for the factor that samples the wanted tokens
+        mid = (low + high) / 2
+        low, high = (low, mid) if sum(c[3] * min(1, mid * ratio[c[2]]) for c in cells) >= share * total else (mid, high)
+    for c in cells:
+        assert got[c[2]].ratio == pytest.approx(ratio[c[2]])
+        assert got[c[2]].probability == pytest.approx(min(1, high * ratio[c[2]]), abs=1e-4)
+
+
+def test_draws_equal_their_definition(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = mixture(docs, sample_share=0.5).collect()
+    for r in rows:
+        draw = int(hashlib.md5(f"{SEED}|{r.doc_id}".encode()).hexdigest()[:15], 16) / 2**60
+        assert r.sampled == (draw < r.probability)
+    assert len({r.sampled for r in rows}) == 2
+
+
 def test_mixture_follows_its_targets(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = mixture(docs, {"lang": {"en": 0.4, "de": 0.3}}, sample_share=0.3).collect()
