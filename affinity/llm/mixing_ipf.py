@@ -103,7 +103,7 @@ def rake(cells: DataFrame, targets: dict[str, dict | None] | None = None, tolera
         if worst is None or worst <= tolerance:
             break
         best.append(min([worst, *best[-1:]]))
-        if len(best) > patience and best[-1] > (1 - GAIN) * best[-1 - patience]:
+        if len(best) > patience and not best[-1] <= (1 - GAIN) * best[-1 - patience]:  # a NaN ends it too
             break
     for d in DIMENSIONS:
         now = now.join(gaps[d].select(d, F.col("gap").alias(f"gap_{d}")), d)
