@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.draws import hash60, key_text, uniform_index
 from affinity.functions.lists import parse_id_list
+from affinity.session import stored
 from affinity.sources.schemas import LABEL_COL
 
 SEED = 73
@@ -96,9 +97,14 @@ def labelled_pairs(positives: DataFrame, products: DataFrame, seed: int = SEED,
 ROW_KEY = ["split", "time_date", "customer_id", "item_key"]
 
 
-def _keyed(*columns: str) -> Column:
-    """A join key that is never null, of columns that may be."""
-    return F.md5(F.to_json(F.struct(*columns)))
+def _who() -> dict[str, Column]:
+    """The customer of a split as join keys that are never null, of columns that may be."""
+    split, customer = F.col("split"), F.col("customer_id")
+    return {"no_split": split.isNull(), "of_split": F.coalesce(split, F.lit("")),
+            "no_customer": customer.isNull(), "of_customer": F.coalesce(customer, F.lit(0))}
+
+
+WHO = ["no_split", "of_split", "no_customer", "of_customer"]
 
 
 def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int = SEED, per_round: int = 4,
@@ -108,43 +114,51 @@ def sample_negatives_strict(positives: DataFrame, products: DataFrame, seed: int
     Exact rejection sampling: draw number j of a row is the keyed draw of
     (row, j); the negative is the product of the smallest j that is not a
     positive of the customer. The result does not depend on how draws are
-    dealt into rounds. Round i makes ``per_round * 2**i`` draws for the rows
-    still unresolved, so a customer owning all products but one needs about
-    log2(products) rounds, and no draw count is capped. The customers' known
-    products and each round's open rows are written to the shared checkpoint
-    folder once. A customer who bought every product has no valid negative;
-    such rows are kept with a null product. Rows with a null split, date,
-    customer, product or item key are rows like any other: null customers of a
-    split are one customer.
+    dealt into rounds. Every row makes its first draw in one pass, whose result
+    is written once. Only rows whose draw was a positive go on: round i makes
+    ``per_round * 2**i`` draws for the rows still unresolved, so a customer
+    owning all products but one needs about log2(products) rounds, and no draw
+    count is capped. The positives, the known products and each round's open
+    rows are written to the shared checkpoint folder as Parquet. A customer who
+    bought every product has no valid negative; such rows are kept with a null
+    product. Rows with a null split, date, customer, product or item key are
+    rows like any other: null customers of a split are one customer.
     """
-    from affinity.session import checkpoint_dir
-
-    checkpoint_dir(positives.sparkSession)
-    numbered = number_products(products, buckets).withColumnRenamed("product_id", "neg").checkpoint()
     n = products.where(F.col("product_id").isNotNull()).count()
-    keys = {"row": _keyed(*ROW_KEY, "product_id"), "who": _keyed("split", "customer_id")}
-    known = (positives.where(F.col("product_id").isNotNull())
-             .select(keys["who"].alias("who"), F.col("product_id").alias("neg")).distinct().checkpoint())
+    negative = lambda df, c: df.select(*ROW_KEY, c.alias("product_id")).withColumn(LABEL_COL, F.lit(0))
+    nothing = F.lit(None).cast("bigint")
+    if not n:
+        return negative(positives, nothing)
+    numbered = stored(number_products(products, buckets).withColumnRenamed("product_id", "neg"), "numbered")
+    rows = stored(positives.select(*ROW_KEY, "product_id"), "positives")
+    known = stored(rows.where(F.col("product_id").isNotNull())
+                   .select(*[c.alias(k) for k, c in _who().items()], F.col("product_id").alias("neg")).distinct(), "known")
+
+    def drawn(df: DataFrame, j: Column) -> DataFrame:
+        """``df`` with the product ``neg`` of draw ``j`` and ``taken``, true where the customer has bought it."""
+        text = key_text(F.lit(str(seed)), F.col("time_date"), F.col("customer_id"), F.col("product_id"), F.col("item_key"), j)
+        found = df.withColumn("product_idx", uniform_index(text, F.lit(n))).join(numbered, "product_idx")
+        return (found.drop("product_idx").withColumns(_who()).join(known.withColumn("taken", F.lit(True)), [*WHO, "neg"], "left"))
+
+    first = stored(drawn(rows, F.lit(0)).select(*ROW_KEY, "product_id", "neg", F.coalesce("taken", F.lit(False)).alias("taken")), "first-draws")
+    out = negative(first.where(~F.col("taken")), F.col("neg"))
+    # identical rows share their draws: each distinct one goes on once, with the number of its copies
+    row = [*ROW_KEY, "product_id", "copies"]
+    left = stored(first.where("taken").groupBy(*row[:-1]).agg(F.count("*").alias("copies")), "open")
     # products a customer can still be given: positives outside the product table don't narrow the choice
-    per_customer = known.join(numbered.select("neg"), "neg").groupBy("who").agg(F.count(F.lit(1)).alias("n_known"))
-    # identical positive rows share their draws: resolve each distinct row once, then join back
-    rows = positives.select(*ROW_KEY, "product_id").distinct().withColumns(keys)
-    impossible = rows.join(per_customer, "who", "left").where(F.coalesce("n_known", F.lit(0)) >= n).select("row").checkpoint()
-    pending = rows.join(impossible, "row", "left_anti").checkpoint()
-    found = []
-    first, draws_now = 0, per_round
-    while pending.take(1):
-        draws = pending.select("*", F.explode(F.sequence(F.lit(first), F.lit(first + draws_now - 1))).alias("j"))
-        draws = draws.select("row", "who", "j", uniform_index(
-            key_text(F.lit(str(seed)), F.col("time_date"), F.col("customer_id"), F.col("product_id"),
-                     F.col("item_key"), F.col("j")), F.lit(n)).alias("product_idx"))
-        ok = draws.join(numbered, "product_idx").join(known, ["who", "neg"], "left_anti")
-        hit = ok.groupBy("row").agg(F.min_by("neg", "j").alias("negative")).checkpoint()
-        found.append(hit)
-        pending = pending.join(hit.select("row"), "row", "left_anti").checkpoint()
-        first, draws_now = first + draws_now, 2 * draws_now
-    resolved = impossible.withColumn("negative", F.lit(None).cast("bigint"))
-    for hit in found:
-        resolved = resolved.unionByName(hit)
-    out = positives.withColumn("row", keys["row"]).join(resolved, "row")
-    return out.select(*ROW_KEY, F.col("negative").alias("product_id")).withColumn(LABEL_COL, F.lit(0))
+    whose = left.withColumns(_who())
+    per_customer = (known.join(whose.select(*WHO).distinct(), WHO, "left_semi").join(numbered.select("neg"), "neg")
+                    .groupBy(*WHO).agg(F.count(F.lit(1)).alias("n_known")).where(F.col("n_known") >= n))
+    hits = [whose.join(per_customer, WHO, "left_semi").select(*row, nothing.alias("neg"))]
+    left = stored(whose.join(per_customer, WHO, "left_anti").select(*row), "open")
+    begin, draws_now = 1, per_round
+    while left.take(1):
+        tried = drawn(left.withColumn("j", F.explode(F.sequence(F.lit(begin), F.lit(begin + draws_now - 1)))), F.col("j"))
+        done = stored(tried.groupBy(*row).agg(F.min_by("neg", F.when(F.col("taken").isNull(), F.col("j"))).alias("neg")), "draws")
+        hits.append(done.where(F.col("neg").isNotNull()))
+        left = done.where(F.col("neg").isNull()).select(*row)
+        begin, draws_now = begin + draws_now, 2 * draws_now
+    for hit in hits:
+        copies = hit.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        out = out.unionByName(negative(copies, F.col("neg")))
+    return out

@@ -113,3 +113,27 @@ def test_strict_negatives_of_rows_with_null_keys(spark):
     assert neg["train", None, "a"] == neg["train", None, "b"] == neg["train", None, None] == 3
     assert neg["train", 5, "c"] in (1, 2) and neg["train", 5, None] in (1, 2) and neg[None, 5, "d"] in (2, 3)
     assert {r.product_id for r in labels.sample_negatives_strict(pos, prods.limit(0)).collect()} == {None}
+
+
+def test_strict_negatives_go_on_with_refused_draws_only(spark, monkeypatch):
+    """Every row makes one draw; what is drawn again are the rows whose first draw was a positive, copies kept."""
+    d = dt.date(2020, 1, 1)
+    prods = spark.createDataFrame([(p,) for p in range(50)], "product_id bigint")
+    pos = spark.createDataFrame([("train", d, c, p, str(p)) for c in range(20) for p in (c, c + 1, c + 1)],
+                                "split string, time_date date, customer_id bigint, product_id bigint, item_key string")
+    written = {}
+
+    def counted(df, tag, to=labels.stored):
+        out = to(df, tag)
+        written.setdefault(tag, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(labels, "stored", counted)
+    neg = labels.sample_negatives_strict(pos, prods)
+    first = labels.with_negatives(pos.withColumn("item_key", F.concat("item_key", F.lit("|0"))), prods)
+    own = {(c, p) for c in range(20) for p in (c, c + 1)}
+    refused = {(r.customer_id, r.product_id) for r in first.collect() if (r.customer_id, r.negative) in own}
+    assert 0 < written["open"][0] == len(refused) < 40
+    assert written["first-draws"] == [60] and neg.count() == 60
+    assert neg.groupBy("customer_id").count().where("count <> 3").count() == 0
+    assert not own & {(r.customer_id, r.product_id) for r in neg.collect()}
