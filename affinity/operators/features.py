@@ -4,9 +4,12 @@ Shape of the work at scale
 --------------------------
 * Customer features are ONE aggregate keyed by customer: recency, frequency,
   spend and the eleven favourite values (``mode`` with the smallest value on
-  ties) are computed together, so transactions are shuffled once, after a
-  map-side partial aggregate. A customer owning a large share of all rows is
-  therefore pre-combined in every map task before the shuffle.
+  ties) are computed together. The narrow rows are hash-partitioned by
+  customer first and counted where they arrive: past a shuffled product join
+  a customer's rows lie all over, and a count per (customer, attribute, value)
+  of every map task takes several times the bytes of the rows it counts. A
+  task streams its customers' rows (sorting spills), its counts are bounded
+  by the attributes' domains; a hot customer's rows are one task's work.
 * Product features are ONE aggregate keyed by product: price mean / std,
   popularity and buyer-demographic mean / std.
 * The product attribute table and the encoded customer table are joined with
@@ -45,12 +48,18 @@ def _known_customers(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("customer_id").isNotNull())
 
 
+def _purchases(tx: DataFrame, products: DataFrame, *columns: str) -> DataFrame:
+    """Known customers' purchases with the product attributes, a customer's rows in one partition."""
+    txp = _known_customers(tx).select("customer_id", "product_id", *columns).join(
+        product_attributes(products), "product_id", "left")
+    return txp.drop("product_id").repartition("customer_id")
+
+
 def attribute_counts(tx: DataFrame, products: DataFrame) -> DataFrame:
     """Purchases per (customer, attribute, value), long form, values as text (A1)."""
-    txp = _known_customers(tx).select("customer_id", "product_id").join(
-        product_attributes(products), "product_id", "left")
-    longf = txp.select("customer_id", *[F.col(a).cast("string").alias(a) for a in ATTRIBUTES]).unpivot(
-        ["customer_id"], ATTRIBUTES, "attribute", "value")
+    # exploded, not unpivoted: an explode keeps the partitioning by customer, so the count needs no further exchange
+    pairs = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in ATTRIBUTES])
+    longf = _purchases(tx, products).select("customer_id", F.inline(pairs))
     return (longf.where(F.col("value").isNotNull())
             .groupBy("customer_id", "attribute", "value").agg(F.count(F.lit(1)).alias("cnt")))
 
@@ -87,9 +96,7 @@ def _with_closed_domain(df: DataFrame, products: DataFrame) -> DataFrame:
 
 def favourites(tx: DataFrame, products: DataFrame, closed_domain: bool = True) -> DataFrame:
     """Favourite value of each attribute per customer (A2, with A2z unless disabled)."""
-    txp = _known_customers(tx).select("customer_id", "product_id").join(
-        product_attributes(products), "product_id", "left")
-    out = txp.groupBy("customer_id").agg(*[F.mode(f.attribute, True).alias(f.top) for f in FAVOURITES])
+    out = _purchases(tx, products).groupBy("customer_id").agg(*[F.mode(f.attribute, True).alias(f.top) for f in FAVOURITES])
     return _with_closed_domain(out, products) if closed_domain else out
 
 
@@ -109,9 +116,7 @@ def _rfm_aggs():
 
 def customer_features(tx: DataFrame, products: DataFrame) -> DataFrame:
     """All customer features in one customer-keyed aggregate (Q1; J4 folded away)."""
-    txp = _known_customers(tx).select("customer_id", "product_id", "time_date", "price").join(
-        product_attributes(products), "product_id", "left")
-    out = txp.groupBy("customer_id").agg(
+    out = _purchases(tx, products, "time_date", "price").groupBy("customer_id").agg(
         *_rfm_aggs(), *[F.mode(f.attribute, True).alias(f.top) for f in FAVOURITES])
     return _with_closed_domain(out, products).select("customer_id", *CUSTOMER_FEATURE_COLUMNS)
 

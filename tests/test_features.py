@@ -70,3 +70,14 @@ def test_customer_features_single_customer_exchange(spark):
     plan = feat.customer_features(tx, prods)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(customer_id") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_counts_and_favourites_meet_by_customer_once(spark):
+    """The rows are shuffled by customer, not the long counts: neither the count nor the ranking adds an exchange."""
+    tx, prods = tables.transactions(spark, SF_SMALL), tables.products(spark, SF_SMALL)
+    counts = feat.attribute_counts(tx, prods)
+    for df in (counts, feat.favourites_rownumber(counts, prods), feat.favourites(tx, prods)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(customer_id") == 1 and "REPARTITION_BY_COL" in plan
+    # what crosses that exchange are the rows: nothing is counted before it
+    assert "partial_count" not in counts._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_COL")[1]
