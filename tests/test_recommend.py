@@ -137,3 +137,20 @@ def test_prediction_lines_with_headers_and_bad_lines(spark, tmp_path):
     odd = spark.createDataFrame([("x7,[1]",), ("8",), (None,), ("9,[1, 2]",)], "line string")
     assert {r.line for r in recommend.unparsed_prediction_lines(odd).collect()} == {"x7,[1]", "8", None}
     assert [r.list_product_id for r in recommend.parse_prediction_lines(odd).where("customer_id = 9").collect()] == ["[1 2]"]
+
+
+def test_candidate_attributes_are_text_before_they_fan_out(spark):
+    """Lists hold attributes as they are compared, so that no candidate row casts them."""
+    _, _, cdf, pdf = _fixture(spark, 5)
+    items = recommend.product_candidates(pdf, AffinityScorer()).schema["items"].dataType.elementType
+    assert {items[a].dataType.typeName() for a in ATTRS} == {"string"}
+
+
+def test_bonus_stops_at_the_heaviest_match(spark):
+    from pyspark.sql import functions as F
+
+    scorer = AffinityScorer(match_weights={"a": 0.2, "b": 0.9, "c": 0.0})
+    rows = [(x, y, z) for x in (True, False, None) for y in (True, False, None) for z in (True, False, None)]
+    flags = spark.createDataFrame(rows, "a boolean, b boolean, c boolean")
+    got = flags.select("*", scorer.match_bonus({c: F.col(c) for c in "abc"}).alias("bonus")).collect()
+    assert all(r.bonus == max([0.0] + [w for c, w in scorer.match_weights.items() if r[c]]) for r in got)
