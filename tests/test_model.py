@@ -3,6 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from affinity.functions.draws import hash60, key_text
 from affinity.operators import model, recommend
 from affinity.operators.pairs import MODEL_FEATURES, TRAINING_COLUMNS
 from affinity.operators.tree_topk import tree_top_k
@@ -111,6 +112,16 @@ def test_halving_search_finds_the_winner_of_the_full_search(spark):
     assert [r.share for r in report.collect()] == [1.0, 1.0]
 
 
+def test_search_keys_are_stored_not_made_in_every_pass(spark):
+    ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
+    frame, pipe, _ = model._search_inputs(ts, 1, 2, 73, {"maxIter": [1]}, shares=True)
+    *prepare, _ = pipe.getStages()
+    assert "md5" not in prepare[0].transform(frame)._jdf.queryExecution().toString()
+    columns = [F.col(c) for c in frame.columns if c != "draw"]
+    want = hash60(key_text(F.lit("73 share"), *columns))
+    assert frame.count() and frame.where(F.col("draw") != want).count() == 0
+
+
 def test_jobs_run_on_csv_files(spark):
     """The six CSV files of the reference's layout, written from the tables: same features, weights and predictions."""
     from affinity.plans import jobs
