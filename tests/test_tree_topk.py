@@ -1,6 +1,7 @@
 """Recommendations from fitted trees against scoring every pair."""
 
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -108,6 +109,60 @@ def test_bounds_hold_and_pruning_loses_nothing(seed):
     assert sum(seen) <= full.size
 
 
+def whole_tree(rng, depth):
+    """Every path has the full depth, so that a tree has 2 ** depth leaves."""
+    split = random_tree(rng, depth) if depth else float(rng.normal())
+    while depth and not isinstance(split, tree_topk.Split):
+        split = random_tree(rng, depth)
+    return replace(split, left=whole_tree(rng, depth - 1), right=whole_tree(rng, depth - 1)) if depth else split
+
+
+@pytest.mark.parametrize("depth,trees", [(0, 1), (3, 5), (5, 4), (8, 3)])
+def test_single_products_are_scored_by_masks_as_by_the_walk(monkeypatch, depth, trees):
+    """The same doubles, trees of more leaves than half a word too; no walk over the trees for single products."""
+    rng = np.random.default_rng(depth)
+    trees = [(float(rng.choice([1.0, 0.08])), whole_tree(rng, depth)) for _ in range(trees)]
+    products, requests = random_side(rng, 300, False), random_side(rng, 20, True)
+    requests.means[5:9] = requests.means[5]
+    full = np.broadcast_to(tree_topk.margins(trees, *tree_topk._single(products, requests)), (20, 300))
+    scorer = tree_topk.Scorer(tree_topk.Masks(trees), products)
+    kept = scorer.customers(requests)
+    rests = scorer.rests(kept)
+    for i in range(20):
+        scorer.demographics(requests.means[i])
+        at, found = scorer.margins(kept[i], requests.attributes[i], slice(7, 290))
+        assert (at == np.arange(283)).all() and (found == full[i, 7:290]).all()
+        at, found = scorer.margins(kept[i], requests.attributes[i], slice(7, 290), 0.5, rests[i])
+        assert (found == full[i, 7:290][at]).all() and set(np.flatnonzero(full[i, 7:290] >= 0.5)) <= set(at)
+
+    def walked(*sides):
+        raise AssertionError("a walk over the trees for every pair")
+
+    monkeypatch.setattr(tree_topk, "_single", walked)
+    top, ids = tree_topk.best_of_block(trees, products, requests, 5, 16)
+    for i in range(20):
+        want = sorted((-m, p) for m, p in zip(full[i], products.ids) if m >= 0)[:5]
+        assert [(-m, p) for m, p in zip(top[i], ids[i]) if m >= 0] == want
+
+
+def test_products_that_cannot_reach_the_best_are_left_out_before_the_last_tree(monkeypatch):
+    monkeypatch.setattr(tree_topk, "LOOK", 1)
+    rng = np.random.default_rng(4)
+    trees = [(1.0 / (1 + t), whole_tree(rng, 4)) for t in range(40)]
+    products, requests = random_side(rng, 500, False), random_side(rng, 20, True)
+    full = np.broadcast_to(tree_topk.margins(trees, *tree_topk._single(products, requests)), (20, 500))
+    scorer = tree_topk.Scorer(tree_topk.Masks(trees), products)
+    kept = scorer.customers(requests)
+    rests, scored = scorer.rests(kept), 0
+    for i in range(20):
+        scorer.demographics(requests.means[i])
+        least = float(np.sort(full[i])[-12])
+        at, found = scorer.margins(kept[i], requests.attributes[i], slice(0, 500), least, rests[i])
+        assert (found == full[i][at]).all() and set(np.flatnonzero(full[i] >= least)) <= set(at)
+        scored += len(at)
+    assert scored < 20 * 500
+
+
 def test_top_k_of_any_scored_frame(spark):
     rows = [(1, 3, 0.5), (1, 2, 0.5), (1, 9, 0.9), (1, 4, None), (2, 1, 0.1)]
     scored = spark.createDataFrame(rows, "customer_id bigint, product_id bigint, p double")
