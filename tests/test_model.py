@@ -1,6 +1,8 @@
 import os
 import tempfile
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
 from affinity.functions.draws import hash60, key_text
@@ -93,6 +95,48 @@ def test_random_search_does_not_depend_on_partitions(spark):
     assert all(abs(x - y) < 0.02 for x, y in zip(a, b))
 
 
+def test_random_search_fits_settings_and_folds_beside_each_other(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import CrossValidator
+
+    ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
+    inputs = model._search_inputs(ts, 2, 2, 73, {"maxIter": [1, 2], "maxDepth": [2]})
+    monkeypatch.setattr(model, "_search_inputs", lambda *a, **k: inputs)
+    frame, pipe, chosen = inputs
+    plain = CrossValidator(estimator=pipe, estimatorParamMaps=chosen, numFolds=2, foldCol="fold", evaluator=model._auc()).fit(frame)
+
+    # the four fits of two settings and two folds are at work at the same time, the longest begun first
+    fit, met, begun = Pipeline.fit, threading.Barrier(4, timeout=60), []
+
+    def meeting(self, rows, params):
+        begun.append(next(v for p, v in params.items() if p.name == "maxIter"))
+        if len(begun) <= 4:
+            met.wait()
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(Pipeline, "fit", meeting)
+    cv = model.random_search(ts, n_configs=2, folds=2)
+    assert sorted(begun[:4]) == [1, 1, 2, 2] and len(begun) == 5
+    assert all(abs(a - b) < 1e-4 for a, b in zip(cv.avgMetrics, plain.avgMetrics))
+    assert all(abs(a - b) < 1e-4 for a, b in zip(cv.stdMetrics, plain.stdMetrics))
+    assert cv.getEstimatorParamMaps() == chosen and cv.getNumFolds() == 2 and cv.getFoldCol() == "fold"
+    assert cv.bestModel.stages[-1].toDebugString.split("\n")[1:] == plain.bestModel.stages[-1].toDebugString.split("\n")[1:]
+
+    # a fold without rows has nothing to be scored on
+    inputs = frame.where("fold = 0"), pipe, chosen
+    with pytest.raises(ValueError, match="training data at fold 0 is empty"):
+        model.random_search(ts, n_configs=2, folds=2)
+    inputs = frame, pipe, chosen
+    with pytest.raises(ValueError, match="validation data at fold 2 is empty"):
+        model.random_search(ts, n_configs=2, folds=3)
+
+
+def test_search_has_as_many_fits_at_a_time_as_the_cores_take(spark):
+    cores = spark.sparkContext.defaultParallelism
+    of = lambda parts, fits=10: model._fits_at_a_time(spark.range(0, 100, 1, parts).toDF("x"), fits)
+    assert of(1) == min(10, 2 * cores) and of(cores) == 2 and of(20 * cores) == 2 and of(20 * cores, 1) == 1
+
+
 def test_halving_search_finds_the_winner_of_the_full_search(spark):
     ts = catalog.Inputs(spark, SF_SMALL).training_set().where(F.col("split") == "train")
     grid = {"maxIter": [1, 6], "maxDepth": [1, 4]}
