@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinity.functions.packing import packed, unpacked
+from affinity.functions.packing import folded, packed, packed_text, unfolded, unpacked, unpacked_text
 from affinity.operators import features as feat
 from affinity.operators import labels, pairs
 from affinity.plans import catalog
@@ -66,3 +66,38 @@ def test_rows_go_to_their_product_before_they_are_aggregated(spark):
     customers = spark.createDataFrame([(1, 1.0, None, "ACTIVE", "NONE", 30.0, None)], schemas.CUSTOMERS)
     plan = feat.product_features(tx, customers)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("RepartitionByExpression [product_id") < plan.index("Join")
+
+
+def test_folded_rows_are_one_word_a_group_where_values_are_small(spark):
+    rows = [(1, *range(10), 30.5, 0.0, dt.date(2020, 1, 1), "x"), (2, *range(120, 130), -1.0, None, None, None),
+            (3, *range(-5, 5), 1e9, -0.0, dt.date(1492, 1, 1), "y"), (4, *[None] * 14)]
+    names = [f"n{i}" for i in range(10)]
+    df = spark.createDataFrame(rows, "id bigint, " + ", ".join(f"{n} bigint" for n in names) + ", a double, b double, d date, t string")
+    columns = [*names, "a", "t", "b", "d"]
+    small = folded(df, columns)
+    # one word for nine numbers, one for the tenth, one for the doubles, one for the day, and nothing beside them
+    assert small.columns == ["id", "t", "tight_n0", "tight_n9", "tight_a", "tight_d", "packed_wide", "packed_rest"]
+    held = {r.id: (r.packed_wide, r.packed_rest) for r in small.collect()}
+    assert held[1] == held[4] == (None, None) and held[2][0] is not None and held[2][1] is None and held[3][1] is not None
+    back = unfolded(small, columns).select(df.columns)
+    assert back.dtypes == df.dtypes and sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+    missed = unfolded(spark.range(1).join(small.drop("id").limit(0), F.lit(True), "left"), columns)
+    assert set(missed.drop("id").first()) == {None}
+
+
+def test_keys_of_digits_travel_as_half_their_length(spark):
+    texts = ["1:2:3", "12:3", "", "0:00", ":", "::", "7", "a", "1:b", "1:2\n", "F", "A", "-1:2", None, "0"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed_text(F.col("t")).alias("p")).select(
+        "t", "p", unpacked_text(F.col("p")).alias("back")).collect()
+    for r in got:
+        assert (r.p is not None) == (r.t is not None and set(r.t) <= set("0123456789:")), r
+        assert r.p is None or (r.back == r.t and len(r.p) == (len(r.t) + 1) // 2), r
+
+
+def test_pairs_meet_written_entities(spark):
+    """The shuffles that make the entity tables are over before pairs are joined; line items meet their orders once."""
+    of = lambda name: catalog.queries()[name](spark, SF_SMALL).inputFiles()
+    files = of("training_set")
+    assert all(any(part in f for f in files) for part in ("/customers-wf-", "/products-wf-", "/sales-"))
+    files = of("pair_features")
+    assert all(any(part in f for f in files) for part in ("/customers-wf-", "/products-wf-"))
